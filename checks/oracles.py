@@ -170,6 +170,7 @@ select g.merchant_id, g.hour, g.failure_rate_pct, b.anomaly_threshold_pct, g.tot
 from gold g join baseline b on g.merchant_id = b.merchant_id
 where g.failure_rate_pct > b.anomaly_threshold_pct
 order by g.failure_rate_pct desc, g.merchant_id, g.hour"""
+    found["layers_flagged_hours"] = found["payments_flagged_hours"]
     found["payments_top_failure_hours"] = f"""with {gold_parts('payments')}
 select * from gold order by failure_rate_pct desc, merchant_id, hour limit 5"""
     found["system_logs_top_error_hours"] = f"""with {gold_parts('system_logs')}

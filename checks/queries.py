@@ -11,7 +11,7 @@ from pyspark.sql.types import TimestampType
 from checks.mapping import bronze_rows
 from tidemark.functions.rounding import round2
 from tidemark.operators import report
-from tidemark.operators.baseline import baseline, flagged_hours, worst_first
+from tidemark.operators.baseline import baseline, flagged_hours_in_one_pass, worst_first
 from tidemark.operators.cleaning import clean
 from tidemark.operators.envelope import decode, encode, log_records
 from tidemark.operators.hourly import highest, hourly
@@ -80,8 +80,14 @@ def payments_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payments_flagged_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = gold_of(spark, sf_dir, PAYMENTS)
-    flagged = flagged_hours(hours, baseline(hours, PAYMENTS), PAYMENTS)
-    return zoneless(worst_first(flagged, PAYMENTS))
+    return zoneless(worst_first(flagged_hours_in_one_pass(hours, PAYMENTS), PAYMENTS))
+
+
+def layers_flagged_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged hours from a written Gold table, joined with its own thresholds."""
+    lake = Lakehouse(spark, scratch_path(spark, "flagged"))
+    replace_table(gold_of(spark, sf_dir, PAYMENTS), lake.gold_path(PAYMENTS))
+    return zoneless(worst_first(lake.flagged(PAYMENTS), PAYMENTS))
 
 
 def top_hours(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
@@ -172,6 +178,7 @@ def all_queries() -> dict[str, Query]:
     found["stream_bronze_payments_resume"] = partial(stream_bronze_resume, spec=PAYMENTS)
     found["payments_baseline"] = payments_baseline
     found["payments_flagged_hours"] = payments_flagged_hours
+    found["layers_flagged_hours"] = layers_flagged_hours
     found["payments_top_failure_hours"] = partial(top_hours, spec=PAYMENTS)
     found["system_logs_top_error_hours"] = partial(top_hours, spec=SYSTEM_LOGS)
     found["report_total_events"] = partial(payments_report, question=report.total_events)

@@ -1,0 +1,89 @@
+"""Hand-written event rows."""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.plans.streams import StreamSpec
+
+NOON = datetime(2024, 5, 1, 12, 0)
+
+PAYMENT = {
+    "event_id": "evt_1",
+    "merchant_id": "merchant_001",
+    "user_id": "user_1",
+    "amount": 10.0,
+    "currency": "USD",
+    "status": "completed",
+    "timestamp": "2024-05-01T12:30:00.000001+00:00",
+}
+USER_EVENT = {
+    "event_id": "evt_1",
+    "user_id": "user_1",
+    "session_id": "session_1",
+    "event_type": "page_view",
+    "page": "/home",
+    "device": "mobile",
+    "timestamp": "2024-05-01T12:30:00+00:00",
+}
+SYSTEM_LOG = {
+    "event_id": "evt_1",
+    "service": "payments-service",
+    "level": "INFO",
+    "message": "ok",
+    "latency_ms": 12.5,
+    "cpu_percent": 50.0,
+    "memory_percent": 60.0,
+    "timestamp": "2024-05-01T12:30:00+00:00",
+}
+GOOD = {"payments": PAYMENT, "user_events": USER_EVENT, "system_logs": SYSTEM_LOG}
+
+
+def bronze(spark: SparkSession, spec: StreamSpec, changes: list[dict]) -> DataFrame:
+    """Bronze rows: the stream's good event with each change applied.
+
+    Ids, offsets and log times count up unless a change sets them.
+    """
+    names = [*spec.field_names, "partition", "offset", "kafka_timestamp"]
+    rows = []
+    for place, change in enumerate(changes):
+        row = {
+            **GOOD[spec.name],
+            "event_id": f"evt_{place}",
+            "partition": 0,
+            "offset": place,
+            "kafka_timestamp": NOON + timedelta(seconds=place),
+            **change,
+        }
+        rows.append(tuple(row[name] for name in names))
+    schema = f"{spec.ddl}, partition int, offset bigint, kafka_timestamp timestamp"
+    return spark.createDataFrame(rows, schema)
+
+
+def log(spark: SparkSession, values: list[str | None], topic: str = "raw-payments") -> DataFrame:
+    """Log records with the given values."""
+    rows = [
+        (b"k", None if v is None else v.encode(), topic, 0, place, NOON, 0)
+        for place, v in enumerate(values)
+    ]
+    return spark.createDataFrame(
+        rows,
+        "key binary, value binary, topic string, partition int, offset bigint, "
+        "timestamp timestamp, timestampType int",
+    )
+
+
+def gold(spark: SparkSession, rates: dict[str, list[float]]) -> DataFrame:
+    """Hourly payment rates per merchant, ten transactions an hour."""
+    rows = [
+        (merchant, NOON + timedelta(hours=place), 10, 0, 0, 0.0, rate)
+        for merchant, hours in rates.items()
+        for place, rate in enumerate(hours)
+    ]
+    return spark.createDataFrame(
+        rows,
+        "merchant_id string, hour timestamp, total_transactions bigint, completed_count bigint, "
+        "failed_count bigint, completed_volume double, failure_rate_pct double",
+    )

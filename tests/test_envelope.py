@@ -1,0 +1,85 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.rows import PAYMENT, bronze, log
+from tidemark.operators.envelope import decode, encode, log_records
+from tidemark.plans.streams import PAYMENTS, STREAMS
+
+
+def decoded(spark, values, **options):
+    return decode(log(spark, values), PAYMENTS, **options).orderBy("offset").collect()
+
+
+def test_columns_are_fields_then_log_position(spark):
+    rows = decode(log(spark, [json.dumps(PAYMENT)]), PAYMENTS)
+    assert rows.columns == [*PAYMENTS.field_names, "partition", "offset", "kafka_timestamp"]
+    assert dict(rows.dtypes)["amount"] == "double"
+    assert rows.first()["merchant_id"] == "merchant_001"
+
+
+@pytest.mark.parametrize("value", ["not json", "[]", "{}", "", None])
+def test_malformed_record_is_kept_as_nulls(spark, value):
+    [row] = decoded(spark, [value])
+    assert all(row[name] is None for name in PAYMENTS.field_names)
+    assert (row["partition"], row["offset"]) == (0, 0)
+    assert row["kafka_timestamp"] is not None
+
+
+def test_wrong_type_loses_only_its_field(spark):
+    [row] = decoded(spark, [json.dumps({**PAYMENT, "amount": "12.5"})])
+    assert row["amount"] is None
+    assert row["status"] == "completed"
+
+
+def test_number_in_text_field_becomes_its_text(spark):
+    [row] = decoded(spark, [json.dumps({**PAYMENT, "user_id": 5})])
+    assert row["user_id"] == "5"
+
+
+def test_unknown_and_missing_fields(spark):
+    partial = {k: v for k, v in PAYMENT.items() if k != "merchant_id"}
+    [row] = decoded(spark, [json.dumps({**partial, "extra": 1})])
+    assert row["merchant_id"] is None
+    assert "extra" not in row.asDict()
+
+
+def test_keep_raw_preserves_the_delivered_bytes(spark):
+    values = ["not json", json.dumps({**PAYMENT, "extra": 1})]
+    rows = decoded(spark, values, keep_raw=True)
+    assert [bytes(row["raw_value"]).decode() for row in rows] == values
+
+
+def test_message_has_entity_key_and_explicit_nulls(spark):
+    events = bronze(spark, PAYMENTS, [{}, {"merchant_id": None, "amount": None}])
+    first, second = encode(events, PAYMENTS).collect()
+    assert bytes(first["key"]) == b"merchant_001"
+    assert first["topic"] == "raw-payments"
+    assert bytes(second["key"]) == b"unknown"
+    assert json.loads(bytes(second["value"]))["amount"] is None
+    assert list(json.loads(bytes(second["value"]))) == PAYMENTS.field_names
+
+
+@pytest.mark.parametrize("spec", STREAMS.values(), ids=STREAMS)
+def test_decode_reverses_log_records(spark, spec):
+    rows = bronze(spark, spec, [{}, {spec.key: None}, {"timestamp": "garbage"}])
+    back = decode(log_records(rows, spec), spec)
+    assert back.collect() == rows.collect()
+    assert back.columns == rows.columns
+
+
+def test_decode_parses_each_value_once(spark, tmp_path):
+    log_records(bronze(spark, PAYMENTS, [{}]), PAYMENTS).write.parquet(str(tmp_path / "log"))
+    rows = decode(spark.read.parquet(str(tmp_path / "log")), PAYMENTS)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_non_finite_numbers_survive_the_log(spark):
+    [row] = decoded(spark, ['{"amount": NaN}'])
+    assert str(row["amount"]) == "nan"
+    rows = bronze(spark, PAYMENTS, [{"amount": float("inf")}])
+    assert decode(log_records(rows, PAYMENTS), PAYMENTS).where(
+        F.col("amount") == float("inf")
+    ).count() == 1

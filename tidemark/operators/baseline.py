@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.rounding import round2
 from tidemark.plans.streams import HOUR, StreamSpec
@@ -12,37 +12,63 @@ THRESHOLD = "anomaly_threshold_pct"
 SIGMAS = 2
 
 
+def _columns(spec: StreamSpec) -> tuple[str, str]:
+    stem = spec.rate.removesuffix("_pct")
+    return f"avg_{stem}", f"stddev_{stem}"
+
+
+def _with_threshold(rows: DataFrame, spec: StreamSpec) -> DataFrame:
+    mean, spread = _columns(spec)
+    return rows.withColumn(THRESHOLD, F.expr(f"round({mean} + {SIGMAS} * {spread}, 2)"))
+
+
+def _over_threshold(rows: DataFrame, spec: StreamSpec) -> DataFrame:
+    total = next(iter(spec.measures))
+    return rows.where(F.col(spec.rate) > F.col(THRESHOLD)).select(
+        spec.entity, HOUR, spec.rate, THRESHOLD, total
+    )
+
+
 def baseline(gold: DataFrame, spec: StreamSpec) -> DataFrame:
     """Mean and sample deviation of the hourly rate per entity, and the threshold.
 
     The threshold is built from the rounded figures, so what a reader can see
     reproduces it. One hour of history has no deviation and thus a NULL threshold.
     """
-    stem = spec.rate.removesuffix("_pct")
-    mean, spread = f"avg_{stem}", f"stddev_{stem}"
-    return (
-        gold.groupBy(spec.entity)
-        .agg(
-            F.expr(round2(f"avg({spec.rate})")).alias(mean),
-            F.expr(round2(f"stddev_samp({spec.rate})")).alias(spread),
-        )
-        .withColumn(THRESHOLD, F.expr(f"round({mean} + {SIGMAS} * {spread}, 2)"))
+    mean, spread = _columns(spec)
+    figures = gold.groupBy(spec.entity).agg(
+        F.expr(round2(f"avg({spec.rate})")).alias(mean),
+        F.expr(round2(f"stddev_samp({spec.rate})")).alias(spread),
     )
+    return _with_threshold(figures, spec)
 
 
 def flagged_hours(gold: DataFrame, thresholds: DataFrame, spec: StreamSpec) -> DataFrame:
-    """Hours whose rate exceeds their own entity's threshold.
+    """Hours whose rate exceeds their entity's threshold, for a stored Gold table.
 
     There is one threshold row per entity. Whether that side is small enough to
     broadcast is left to its measured size; otherwise the join shuffles on the
     entity, of which Gold holds at most one row per hour of history.
     """
-    total = next(iter(spec.measures))
-    return (
-        gold.join(thresholds.select(spec.entity, THRESHOLD), spec.entity)
-        .where(F.col(spec.rate) > F.col(THRESHOLD))
-        .select(spec.entity, HOUR, spec.rate, THRESHOLD, total)
-    )
+    joined = gold.join(thresholds.select(spec.entity, THRESHOLD), spec.entity)
+    return _over_threshold(joined, spec)
+
+
+def flagged_hours_in_one_pass(gold: DataFrame, spec: StreamSpec) -> DataFrame:
+    """The same hours for a Gold frame that is still to be computed.
+
+    A join would compute Gold once per side. Here each entity's hours meet in one
+    window instead: at most one row per hour of history, whatever its traffic.
+    """
+    mean, spread = _columns(spec)
+    history = Window.partitionBy(spec.entity)
+    seen = gold.withColumns(
+        {
+            "_mean": F.avg(spec.rate).over(history),
+            "_spread": F.stddev_samp(spec.rate).over(history),
+        }
+    ).withColumns({mean: F.expr(round2("_mean")), spread: F.expr(round2("_spread"))})
+    return _over_threshold(_with_threshold(seen, spec), spec)
 
 
 def worst_first(flagged: DataFrame, spec: StreamSpec) -> DataFrame:

@@ -33,11 +33,15 @@ def keep_latest(
     Spark turns the rank filter into a group limit that already runs before the
     exchange, so each task ships at most one row per key. A key repeated in a third
     of the table costs the reducer one row per map task.
+
+    The window leads with a hash of the key: ids tend to share a long text prefix,
+    and comparing a number first spares the sort most text comparisons.
     """
-    newest_first = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in recency])
-    return rows.select("*", F.row_number().over(newest_first).alias("_rank")).where(
-        "_rank = 1"
-    ).drop("_rank")
+    newest_first = Window.partitionBy(F.xxhash64(key), key).orderBy(
+        *[F.col(column).desc() for column in recency]
+    )
+    ranked = rows.withColumn("_rank", F.row_number().over(newest_first))
+    return ranked.where("_rank = 1").drop("_rank")
 
 
 def accepted(bronze: DataFrame, spec: StreamSpec) -> DataFrame:
@@ -46,8 +50,13 @@ def accepted(bronze: DataFrame, spec: StreamSpec) -> DataFrame:
 
 
 def clean(bronze: DataFrame, spec: StreamSpec) -> DataFrame:
-    """Silver rows. Validity comes first, so the latest *valid* copy survives."""
+    """Silver rows. Validity comes first, so the latest *valid* copy survives.
+
+    The time is parsed before duplicates go: the exchange then carries eight bytes
+    per row in place of the text.
+    """
     kept = [name for name in spec.field_names if name != "timestamp"]
-    return keep_latest(accepted(bronze, spec)).select(
+    typed = accepted(bronze, spec).select(
         *kept, *LOG_POSITION, parse_event_time("timestamp").alias("event_timestamp")
     )
+    return keep_latest(typed)

@@ -41,12 +41,12 @@ def stream_topics(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 
 
 def stream_log_files(
-    spark: SparkSession, path: str, max_bytes_per_trigger: str | None = None
+    spark: SparkSession, path: str, max_bytes_per_trigger: int | None = None
 ) -> DataFrame:
     """Unbounded log of parquet files with log records, oldest files first."""
     reader = spark.readStream.schema(ENVELOPE_DDL)
     if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return reader.parquet(path)
 
 
