@@ -24,6 +24,17 @@ def sql_tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# Column types of Spark results and their SQL names.
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def normal_form(rows: pd.DataFrame) -> list[tuple]:
     """Rows as sorted tuples, columns in name order, missing values alike."""
     ordered = rows[sorted(rows.columns)]
@@ -34,12 +45,17 @@ def normal_form(rows: pd.DataFrame) -> list[tuple]:
 
 
 def differences(spark: SparkSession, sf_dir: str, name: str) -> tuple[int, list, list]:
-    """Row count, rows only in Spark's result, rows only in the SQL result."""
+    """Row count, what only Spark's result has, what only the SQL result has.
+
+    Columns that differ in name or type are reported in place of rows.
+    """
+    tables, sql = sql_tables(sf_dir), all_oracles()[name]
     ours = all_queries()[name](spark, sf_dir)
-    theirs = sql_tables(sf_dir).execute(all_oracles()[name]).fetchdf()
-    if sorted(ours.columns) != sorted(theirs.columns):
-        return -1, sorted(ours.columns), sorted(theirs.columns)
-    left, right = normal_form(ours.toPandas()), normal_form(theirs)
+    our_types = {(column, SQL_TYPES.get(kind, kind)) for column, kind in ours.dtypes}
+    their_types = {row[:2] for row in tables.execute(f"describe {sql}").fetchall()}
+    if our_types != their_types:
+        return -1, sorted(our_types - their_types), sorted(their_types - our_types)
+    left, right = normal_form(ours.toPandas()), normal_form(tables.execute(sql).fetchdf())
     if left == right:
         return len(left), [], []
     return len(left), sorted(set(left) - set(right)), sorted(set(right) - set(left))

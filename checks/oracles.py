@@ -153,6 +153,100 @@ TOPICS = {
 }
 
 
+DAILY_PAYMENTS = f"""
+select merchant_id, date_trunc('day', hour) as day,
+    cast(sum(total_transactions) as bigint) as total_transactions,
+    cast(sum(completed_count) as bigint) as completed_count,
+    cast(sum(failed_count) as bigint) as failed_count,
+    {round2("sum(completed_volume)")} as completed_volume,
+    round(sum(failed_count) / sum(total_transactions) * 100, 2) as failure_rate_pct
+from gold group by merchant_id, day"""
+
+WEEKLY_USER_EVENTS = """
+select cast(date_trunc('week', hour) as timestamp) as week, device,
+    cast(sum(total_events) as bigint) as total_events,
+    cast(sum(page_views) as bigint) as page_views,
+    cast(sum(add_to_carts) as bigint) as add_to_carts,
+    cast(sum(checkouts) as bigint) as checkouts,
+    cast(sum(purchases) as bigint) as purchases
+from gold group by week, device"""
+
+ESCALATIONS = """,
+placed as (
+  select *, row_number() over in_order as position,
+    lag(level, 1) over in_order as one, lag(level, 2) over in_order as two,
+    lag(level, 3) over in_order as three
+  from silver window in_order as (partition by service order by "partition", "offset"))
+select event_id, service, level, "partition", "offset", position from placed
+where level = 'ERROR' and one = 'WARN' and two = 'WARN' and three = 'WARN'"""
+
+JOURNEYS = """,
+times as (
+  select user_id,
+    min(case when event_type = 'page_view' then event_timestamp end) as viewed,
+    min(case when event_type = 'add_to_cart' then event_timestamp end) as carted,
+    min(case when event_type = 'checkout' then event_timestamp end) as checked,
+    min(case when event_type = 'purchase' then event_timestamp end) as bought
+  from silver group by user_id)"""
+
+FUNNEL = f"""{JOURNEYS}
+select count(*) as users, count(viewed) as page_view_users,
+  {count_where("carted >= viewed")} as add_to_cart_users,
+  {count_where("carted >= viewed and checked >= carted")} as checkout_users,
+  {count_where("carted >= viewed and checked >= carted and bought >= checked")} as purchase_users
+from times"""
+
+ABANDONED = """
+select user_id, max(case when event_type = 'add_to_cart' then event_timestamp end)
+    as last_add_to_cart,
+  max(case when event_type = 'purchase' then event_timestamp end) as last_purchase
+from silver group by user_id
+having last_add_to_cart is not null
+  and (last_purchase is null or last_purchase < last_add_to_cart)"""
+
+
+def gold_of(stream: str) -> str:
+    return f"(with {gold_parts(stream)} select * from gold)"
+
+
+INCIDENTS = f"""
+with p as (
+  select hour, count(*) as n from (
+    select hour, failure_rate_pct as rate,
+      {round2("avg(failure_rate_pct) over (partition by merchant_id)")} as mean,
+      {round2("stddev_samp(failure_rate_pct) over (partition by merchant_id)")} as spread
+    from {gold_of("payments")}) where rate > round(mean + 2 * spread, 2) group by hour),
+s as (
+  select hour, count(*) as n from (
+    select hour, error_rate_pct as rate,
+      {round2("avg(error_rate_pct) over (partition by service)")} as mean,
+      {round2("stddev_samp(error_rate_pct) over (partition by service)")} as spread
+    from {gold_of("system_logs")}) where rate > round(mean + 2 * spread, 2) group by hour),
+u as (
+  select hour, count(*) as n from (
+    select hour, checkouts,
+      {round2("avg(checkouts) over (partition by device)")} as mean,
+      {round2("stddev_samp(checkouts) over (partition by device)")} as spread
+    from {gold_of("user_events")}) where checkouts < mean - 2 * spread group by hour),
+hours as (select hour from p union select hour from s union select hour from u)
+select hours.hour, coalesce(p.n, 0) as failing_merchants, coalesce(s.n, 0) as failing_services,
+  coalesce(u.n, 0) as dropping_devices,
+  cast(p.n is not null as int) + cast(s.n is not null as int) + cast(u.n is not null as int)
+    as streams
+from hours left join p on p.hour = hours.hour left join s on s.hour = hours.hour
+  left join u on u.hour = hours.hour"""
+
+HALF_MINUTES = f"""
+select merchant_id, window_start, window_start + interval 30 seconds as window_end,
+    count(*) as total_transactions,
+    {count_where("status = 'completed'")} as completed_count,
+    {count_where("status = 'failed'")} as failed_count,
+    {round2("sum(case when status = 'completed' then amount else 0 end)")} as completed_volume,
+    round({count_where("status = 'failed'")} / count(*) * 100, 2) as failure_rate_pct
+from (select *, time_bucket(interval 30 seconds, event_timestamp) as window_start from silver)
+group by merchant_id, window_start"""
+
+
 def all_oracles() -> dict[str, str]:
     found: dict[str, str] = {}
     for stream in FIELDS:
@@ -192,4 +286,35 @@ select merchant_id, status, count(*) as "count" from raw group by merchant_id, s
 select merchant_id, "partition", "offset",
   row_number() over (partition by merchant_id order by "partition", "offset") as position
 from raw"""
+    gold = f"with {gold_parts('payments')}"
+    found["payments_versus_last_week"] = f"""{gold}
+select g.merchant_id, g.hour, g.failure_rate_pct, e.failure_rate_pct as last_week_pct,
+  round(g.failure_rate_pct - e.failure_rate_pct, 2) as change_pct
+from gold g left join gold e
+  on e.merchant_id = g.merchant_id and e.hour = g.hour - interval 7 days"""
+    found["payments_daily"] = f"{gold} {DAILY_PAYMENTS}"
+    found["user_events_weekly"] = f"with {gold_parts('user_events')} {WEEKLY_USER_EVENTS}"
+    found["payments_flagged_hours_with_history"] = f"""{gold}, {BASELINE},
+enough as (select merchant_id from gold group by merchant_id having count(*) >= 168)
+select g.merchant_id, g.hour, g.failure_rate_pct, b.anomaly_threshold_pct, g.total_transactions
+from gold g join baseline b on g.merchant_id = b.merchant_id
+where g.failure_rate_pct > b.anomaly_threshold_pct
+  and g.merchant_id in (select merchant_id from enough)"""
+    found["payments_percentile_thresholds"] = f"""{gold}
+select merchant_id, {round2("quantile_cont(failure_rate_pct, 0.95)")} as anomaly_threshold_pct
+from gold group by merchant_id"""
+    found["service_escalations"] = f"with {silver_parts('system_logs')} {ESCALATIONS}"
+    found["user_funnel"] = f"with {silver_parts('user_events')} {FUNNEL}"
+    found["abandoned_carts"] = f"with {silver_parts('user_events')} {ABANDONED}"
+    found["incident_hours"] = INCIDENTS
+    found["user_key_load"] = f"""with {raw("user_events")},
+volumes as (select user_id, count(*) as events from raw where user_id is not null group by user_id),
+level as (select avg(events) as mean from volumes)
+select user_id, events, round(mean, 2) as mean_events, events > 10 * mean as hot
+from volumes cross join level"""
+    found["payments_half_minutes"] = f"with {silver_parts('payments')} {HALF_MINUTES}"
+    found["retained_payments"] = f"""{bronze("payments")}
+where kafka_timestamp >= timestamp '2024-01-31 00:00:00' - interval 7 days"""
+    found["retained_system_logs"] = f"""{bronze("system_logs")}
+where kafka_timestamp >= timestamp '2024-01-31 00:00:00' - interval 24 hours"""
     return found

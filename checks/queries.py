@@ -11,19 +11,31 @@ from pyspark.sql.types import TimestampType
 from checks.mapping import bronze_rows
 from tidemark.functions.rounding import round2
 from tidemark.operators import report
-from tidemark.operators.baseline import baseline, flagged_hours_in_one_pass, worst_first
+from tidemark.operators.baseline import (
+    baseline,
+    flagged_hours_in_one_pass,
+    percentile_baseline,
+    worst_first,
+)
 from tidemark.operators.cleaning import clean
 from tidemark.operators.envelope import decode, encode, log_records
 from tidemark.operators.hourly import highest, hourly
+from tidemark.operators.incidents import incidents
+from tidemark.operators.journeys import abandoned_carts, funnel
+from tidemark.operators.keys import key_load
+from tidemark.operators.patterns import escalations
 from tidemark.operators.quality import quality
+from tidemark.operators.retention import retained
 from tidemark.operators.sequence import entity_sequence
 from tidemark.operators.timeline import timeline, timeline_of_log
+from tidemark.operators.trends import coarser, versus_last_week
 from tidemark.plans.layers import Lakehouse
 from tidemark.plans.streams import PAYMENTS, STREAMS, SYSTEM_LOGS, USER_EVENTS, StreamSpec
 from tidemark.session import scratch_path
 from tidemark.sources.tables import replace_table
 from tidemark.sources.topics import append_log_files, stream_log_files
 from tidemark.streaming.ingest import start_bronze
+from tidemark.streaming.windows import windowed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,6 +177,61 @@ def _ingest(lake: Lakehouse, log: str, spec: StreamSpec) -> None:
     ).awaitTermination()
 
 
+# The end of the test tables' month, seen from which retention is measured.
+AS_OF = "2024-01-31 00:00:00"
+WEEK_OF_HOURS = 168
+
+
+def silver_of(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
+    return clean(rows_of(spark, sf_dir, spec), spec)
+
+
+def last_week(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
+    return zoneless(versus_last_week(gold_of(spark, sf_dir, spec), spec))
+
+
+def rolled_up(spark: SparkSession, sf_dir: str, spec: StreamSpec, unit: str) -> DataFrame:
+    return comparable(coarser(gold_of(spark, sf_dir, spec), spec, unit))
+
+
+def flagged_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hours = gold_of(spark, sf_dir, PAYMENTS)
+    return zoneless(flagged_hours_in_one_pass(hours, PAYMENTS, min_hours=WEEK_OF_HOURS))
+
+
+def percentile_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return percentile_baseline(gold_of(spark, sf_dir, PAYMENTS), PAYMENTS)
+
+
+def service_escalations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = silver_of(spark, sf_dir, SYSTEM_LOGS)
+    ordered = logs.select("event_id", "service", "level", "partition", "offset")
+    return escalations(ordered)
+
+
+def user_journeys(spark: SparkSession, sf_dir: str, summary) -> DataFrame:
+    return zoneless(summary(silver_of(spark, sf_dir, USER_EVENTS)))
+
+
+def incident_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    payments, users, logs = (
+        gold_of(spark, sf_dir, spec) for spec in (PAYMENTS, USER_EVENTS, SYSTEM_LOGS)
+    )
+    return zoneless(incidents(payments, users, logs))
+
+
+def load_of_keys(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
+    return key_load(rows_of(spark, sf_dir, spec), spec)
+
+
+def half_minutes(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
+    return comparable(windowed(rows_of(spark, sf_dir, spec), spec))
+
+
+def retained_rows(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
+    return zoneless(retained(rows_of(spark, sf_dir, spec), spec.name, AS_OF))
+
+
 def all_queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
     for name, spec in STREAMS.items():
@@ -194,4 +261,17 @@ def all_queries() -> dict[str, Query]:
     found["unified_timeline"] = unified_timeline
     found["unified_log_timeline"] = unified_log_timeline
     found["entity_sequence"] = payments_sequence
+    found["payments_versus_last_week"] = partial(last_week, spec=PAYMENTS)
+    found["payments_daily"] = partial(rolled_up, spec=PAYMENTS, unit="day")
+    found["user_events_weekly"] = partial(rolled_up, spec=USER_EVENTS, unit="week")
+    found["payments_flagged_hours_with_history"] = flagged_with_history
+    found["payments_percentile_thresholds"] = percentile_thresholds
+    found["service_escalations"] = service_escalations
+    found["user_funnel"] = partial(user_journeys, summary=funnel)
+    found["abandoned_carts"] = partial(user_journeys, summary=abandoned_carts)
+    found["incident_hours"] = incident_hours
+    found["user_key_load"] = partial(load_of_keys, spec=USER_EVENTS)
+    found["payments_half_minutes"] = partial(half_minutes, spec=PAYMENTS)
+    found["retained_payments"] = partial(retained_rows, spec=PAYMENTS)
+    found["retained_system_logs"] = partial(retained_rows, spec=SYSTEM_LOGS)
     return found

@@ -89,6 +89,7 @@ def parse_options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--root", default="./data/lakehouse", help="folder of all tables")
     parser.add_argument("--format", default="parquet", help="table format, such as delta")
     parser.add_argument("--packages", help="Maven coordinates of further connectors")
+    parser.add_argument("--input-bytes", type=int, help="size of the table to read")
     parser.add_argument("--servers", default="localhost:9092", help="Kafka bootstrap servers")
     parser.add_argument("--log", help="read log records from parquet files, not from Kafka")
     parser.add_argument("--keep-raw", action="store_true", help="keep undecoded bytes in Bronze")
@@ -103,7 +104,10 @@ def parse_options(arguments: list[str] | None = None) -> argparse.Namespace:
 def main(arguments: list[str] | None = None) -> None:
     options = parse_options(arguments)
     spark = build_session(
-        f"tidemark-{options.layer}-{options.stream}", options.format, options.packages
+        f"tidemark-{options.layer}-{options.stream}",
+        options.format,
+        options.packages,
+        options.input_bytes,
     )
     lake = Lakehouse(spark, options.root, options.format)
     spec = STREAMS[options.stream]

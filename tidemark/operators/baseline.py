@@ -17,9 +17,11 @@ def _columns(spec: StreamSpec) -> tuple[str, str]:
     return f"avg_{stem}", f"stddev_{stem}"
 
 
-def _with_threshold(rows: DataFrame, spec: StreamSpec) -> DataFrame:
+def _with_threshold(rows: DataFrame, spec: StreamSpec, min_hours: int) -> DataFrame:
+    """Adds the threshold, NULL where ``_hours`` of history are too few."""
     mean, spread = _columns(spec)
-    return rows.withColumn(THRESHOLD, F.expr(f"round({mean} + {SIGMAS} * {spread}, 2)"))
+    threshold = F.expr(f"round({mean} + {SIGMAS} * {spread}, 2)")
+    return rows.withColumn(THRESHOLD, F.when(F.col("_hours") >= min_hours, threshold))
 
 
 def _over_threshold(rows: DataFrame, spec: StreamSpec) -> DataFrame:
@@ -29,18 +31,30 @@ def _over_threshold(rows: DataFrame, spec: StreamSpec) -> DataFrame:
     )
 
 
-def baseline(gold: DataFrame, spec: StreamSpec) -> DataFrame:
+def baseline(gold: DataFrame, spec: StreamSpec, min_hours: int = 1) -> DataFrame:
     """Mean and sample deviation of the hourly rate per entity, and the threshold.
 
     The threshold is built from the rounded figures, so what a reader can see
-    reproduces it. One hour of history has no deviation and thus a NULL threshold.
+    reproduces it. One hour of history has no deviation and thus a NULL threshold;
+    ``min_hours`` asks for more history before an entity gets one.
     """
     mean, spread = _columns(spec)
     figures = gold.groupBy(spec.entity).agg(
         F.expr(round2(f"avg({spec.rate})")).alias(mean),
         F.expr(round2(f"stddev_samp({spec.rate})")).alias(spread),
+        F.count("*").alias("_hours"),
     )
-    return _with_threshold(figures, spec)
+    return _with_threshold(figures, spec, min_hours).drop("_hours")
+
+
+def percentile_baseline(gold: DataFrame, spec: StreamSpec, share: float = 0.95) -> DataFrame:
+    """Thresholds for rates that are far from normal: a percentile of the history.
+
+    The percentile is exact. Its state is one counter per distinct rate, and a rate
+    of 0 to 100 with two decimals has at most 10,001 values.
+    """
+    threshold = F.expr(round2(f"percentile({spec.rate}, {share})"))
+    return gold.groupBy(spec.entity).agg(threshold.alias(THRESHOLD))
 
 
 def flagged_hours(gold: DataFrame, thresholds: DataFrame, spec: StreamSpec) -> DataFrame:
@@ -54,7 +68,9 @@ def flagged_hours(gold: DataFrame, thresholds: DataFrame, spec: StreamSpec) -> D
     return _over_threshold(joined, spec)
 
 
-def flagged_hours_in_one_pass(gold: DataFrame, spec: StreamSpec) -> DataFrame:
+def flagged_hours_in_one_pass(
+    gold: DataFrame, spec: StreamSpec, min_hours: int = 1
+) -> DataFrame:
     """The same hours for a Gold frame that is still to be computed.
 
     A join would compute Gold once per side. Here each entity's hours meet in one
@@ -66,9 +82,10 @@ def flagged_hours_in_one_pass(gold: DataFrame, spec: StreamSpec) -> DataFrame:
         {
             "_mean": F.avg(spec.rate).over(history),
             "_spread": F.stddev_samp(spec.rate).over(history),
+            "_hours": F.count("*").over(history),
         }
     ).withColumns({mean: F.expr(round2("_mean")), spread: F.expr(round2("_spread"))})
-    return _over_threshold(_with_threshold(seen, spec), spec)
+    return _over_threshold(_with_threshold(seen, spec, min_hours), spec)
 
 
 def worst_first(flagged: DataFrame, spec: StreamSpec) -> DataFrame:

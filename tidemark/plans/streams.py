@@ -47,6 +47,11 @@ class StreamSpec:
     def entity(self) -> str:
         return next(column for column in self.grain if column != HOUR)
 
+    @property
+    def additive(self) -> list[str]:
+        """Measures whose hourly values add up to those of a longer span."""
+        return [name for name, sql in self.measures.items() if sql.startswith(("count", "sum("))]
+
     @property
     def rate(self) -> str:
         """The stream's one health rate, which its baseline watches."""

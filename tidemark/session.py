@@ -26,19 +26,48 @@ DELTA_SETTINGS = {
 }
 
 
+MEBIBYTE = 1 << 20
+TEBIBYTE = 1 << 40
+BYTES_PER_SHUFFLE_PARTITION = 512 * MEBIBYTE
+MIN_SHUFFLE_PARTITIONS = 200
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
+def sizing(input_bytes: int) -> dict[str, str]:
+    """Settings for a run over a table of about ``input_bytes``.
+
+    Adaptive execution merges shuffle partitions that turn out small but does not
+    divide those of an aggregate or a window, so a run starts with enough of them.
+    Past a tebibyte, scan tasks get larger: shuffle blocks number scan tasks times
+    shuffle partitions.
+    """
+    wanted = -(-input_bytes // BYTES_PER_SHUFFLE_PARTITION)
+    partitions = min(max(wanted, MIN_SHUFFLE_PARTITIONS), MAX_SHUFFLE_PARTITIONS)
+    scan = 512 * MEBIBYTE if input_bytes > TEBIBYTE else 128 * MEBIBYTE
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MEBIBYTE),
+        "spark.sql.files.maxPartitionBytes": str(scan),
+    }
+
+
 def build_session(
     app: str,
     table_format: str = "parquet",
     packages: str | None = None,
+    input_bytes: int | None = None,
     settings: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A session for the layers. Master and sizes come from spark-submit.
+    """A session for the layers. Master and memory come from spark-submit.
 
     ``packages`` are Maven coordinates of connectors (Delta, Kafka) that are not on
-    the class path yet.
+    the class path yet; ``input_bytes`` sizes the run, see :func:`sizing`.
     """
     builder = SparkSession.builder.appName(app)
     chosen = dict(SETTINGS)
+    if input_bytes is not None:
+        chosen.update(sizing(input_bytes))
     if table_format == "delta":
         chosen.update(DELTA_SETTINGS)
     if packages:
