@@ -236,15 +236,21 @@ select hours.hour, coalesce(p.n, 0) as failing_merchants, coalesce(s.n, 0) as fa
 from hours left join p on p.hour = hours.hour left join s on s.hour = hours.hour
   left join u on u.hour = hours.hour"""
 
-HALF_MINUTES = f"""
+HALF_MINUTES = f""",
+windows as (
+  select *, time_bucket(interval 30 seconds, cast("timestamp" as timestamp)) as window_start
+  from valid),
+latest as (
+  select *, row_number() over (partition by event_id, window_start
+    order by kafka_timestamp desc, "partition" desc, "offset" desc) as copy
+  from windows)
 select merchant_id, window_start, window_start + interval 30 seconds as window_end,
     count(*) as total_transactions,
     {count_where("status = 'completed'")} as completed_count,
     {count_where("status = 'failed'")} as failed_count,
     {round2("sum(case when status = 'completed' then amount else 0 end)")} as completed_volume,
     round({count_where("status = 'failed'")} / count(*) * 100, 2) as failure_rate_pct
-from (select *, time_bucket(interval 30 seconds, event_timestamp) as window_start from silver)
-group by merchant_id, window_start"""
+from latest where copy = 1 group by merchant_id, window_start"""
 
 
 def all_oracles() -> dict[str, str]:

@@ -53,6 +53,18 @@ def test_refresh_replaces_earlier_content(spark, tmp_path):
     assert lake.silver(PAYMENTS).count() == 1
 
 
+def test_timeline_goes_to_a_table_or_the_console(spark, tmp_path):
+    records = log_records(bronze(spark, PAYMENTS, CHANGES), PAYMENTS)
+    append_log_files(records, f"{tmp_path}/log")
+    common = ["timeline", "--root", f"{tmp_path}/lake", "--log", f"{tmp_path}/log", "--once"]
+    main([*common, "--out", f"{tmp_path}/feed"])
+    assert spark.read.parquet(f"{tmp_path}/feed").count() == len(CHANGES)
+    assert spark.read.parquet(f"{tmp_path}/feed").where(
+        "line like '%$10.0 USD | COMPLETED'"
+    ).count() == len(CHANGES)
+    main(common)  # the JVM prints; ends once the log is shown
+
+
 def test_silver_of_days_reads_those_days_only(spark, tmp_path):
     lake = filled(spark, tmp_path, PAYMENTS)
     lake.refresh_silver(PAYMENTS)
@@ -67,6 +79,37 @@ def plan(rows):
     return rows._jdf.queryExecution().executedPlan().toString()
 
 
+def changed(spark, lake, changes):
+    """Silver after Bronze has got other events."""
+    replace_table(bronze(spark, PAYMENTS, changes), lake.bronze_path(PAYMENTS))
+    lake.refresh_silver(PAYMENTS)
+
+
+def days(gold):
+    rows = gold.where("hour is not null").orderBy("hour").collect()
+    return [(r["hour"].day, r["total_transactions"]) for r in rows]
+
+
+def test_gold_days_replace_those_days_only(spark, tmp_path):
+    lake = filled(spark, tmp_path, PAYMENTS)
+    lake.refresh_silver(PAYMENTS)
+    assert days(lake.refresh_gold(PAYMENTS)) == [(1, 1), (2, 1), (3, 1)]
+    changed(spark, lake, [*CHANGES, CHANGES[2], CHANGES[3]])
+    assert days(lake.refresh_gold_days(PAYMENTS, "2024-05-02", "2024-05-02")) == [
+        (1, 1), (2, 2), (3, 1)
+    ]
+    assert lake.gold(PAYMENTS).where("hour is null").count() == 1
+    assert days(lake.gold(PAYMENTS, "2024-05-03")) == [(3, 1)]
+
+
+def test_gold_days_drop_a_day_that_silver_lost(spark, tmp_path):
+    lake = filled(spark, tmp_path, PAYMENTS)
+    lake.refresh_silver(PAYMENTS)
+    lake.refresh_gold(PAYMENTS)
+    changed(spark, lake, [{}, CHANGES[3]])
+    assert days(lake.refresh_gold_days(PAYMENTS, "2024-05-02", "2024-05-03")) == [(1, 1), (3, 1)]
+
+
 def test_flagged_hours_of_stored_gold(spark, tmp_path):
     changes = [
         {"timestamp": f"2024-05-01T{hour:02}:10:00Z", "status": "failed" if hour == 9 else "pending"}

@@ -17,7 +17,12 @@ from tidemark.plans.layers import Lakehouse
 from tidemark.plans.streams import HOUR, PAYMENTS, STREAMS, StreamSpec
 from tidemark.session import build_session
 from tidemark.sources.topics import kafka_options, stream_log_files, stream_topics
-from tidemark.streaming.ingest import DEFAULT_INTERVAL, start_bronze, start_timeline
+from tidemark.streaming.ingest import (
+    DEFAULT_INTERVAL,
+    show_timeline,
+    start_bronze,
+    start_timeline,
+)
 
 
 def preview(title: str, rows: DataFrame, n: int = 20) -> None:
@@ -55,8 +60,11 @@ def run_silver(lake: Lakehouse, spec: StreamSpec) -> None:
     preview("Data quality", quality)
 
 
-def run_gold(lake: Lakehouse, spec: StreamSpec) -> None:
-    gold = lake.refresh_gold(spec)
+def run_gold(lake: Lakehouse, spec: StreamSpec, options: argparse.Namespace) -> None:
+    if options.first_date and options.last_date:
+        gold = lake.refresh_gold_days(spec, options.first_date, options.last_date)
+    else:
+        gold = lake.refresh_gold(spec)
     preview("Hourly metrics", gold.orderBy(HOUR, spec.entity))
     if spec.rates:
         preview(f"Highest {spec.rate}", highest(gold, spec))
@@ -76,8 +84,14 @@ def run_report(lake: Lakehouse) -> None:
 
 
 def run_timeline(lake: Lakehouse, options: argparse.Namespace) -> None:
-    topics = [spec.topic for spec in STREAMS.values()]
-    start_timeline(open_log(lake.spark, options, topics)).awaitTermination()
+    log = open_log(lake.spark, options, [spec.topic for spec in STREAMS.values()])
+    interval = None if options.once else options.interval
+    if options.out:
+        checkpoint = lake.path("checkpoints", "timeline")
+        feed = start_timeline(log, options.out, checkpoint, lake.table_format, interval)
+    else:
+        feed = show_timeline(log, interval=interval)
+    feed.awaitTermination()
 
 
 def parse_options(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -97,6 +111,9 @@ def parse_options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-offsets", type=int, help="most Kafka records per batch")
     parser.add_argument("--min-partitions", type=int, help="fewest tasks per Kafka batch")
     parser.add_argument("--max-bytes", type=int, help="most bytes of log files per batch")
+    parser.add_argument("--out", help="table for the whole timeline, not the console")
+    parser.add_argument("--first-date", help="first day of Gold to rebuild, with --last-date")
+    parser.add_argument("--last-date", help="last day of Gold to rebuild")
     parser.add_argument("--once", action="store_true", help="ingest what is there and end")
     return parser.parse_args(arguments)
 
@@ -116,7 +133,7 @@ def main(arguments: list[str] | None = None) -> None:
     elif options.layer == "silver":
         run_silver(lake, spec)
     elif options.layer == "gold":
-        run_gold(lake, spec)
+        run_gold(lake, spec, options)
     elif options.layer == "baseline":
         run_baseline(lake, spec)
     elif options.layer == "report":

@@ -10,8 +10,8 @@ from tidemark.operators.baseline import baseline, flagged_hours
 from tidemark.operators.cleaning import clean
 from tidemark.operators.hourly import hourly
 from tidemark.operators.quality import quality_of_run
-from tidemark.plans.streams import StreamSpec
-from tidemark.sources.tables import read_table, replace_table
+from tidemark.plans.streams import HOUR, StreamSpec
+from tidemark.sources.tables import read_table, replace_partitions, replace_table
 
 EVENT_DATE = "event_date"
 
@@ -50,27 +50,19 @@ class Lakehouse:
         A range reads the files of its days only.
         """
         rows = read_table(self.spark, self.silver_path(spec), self.table_format)
-        if first_date is not None:
-            rows = rows.where(F.col(EVENT_DATE) >= F.lit(first_date).cast("date"))
-        if last_date is not None:
-            rows = rows.where(F.col(EVENT_DATE) <= F.lit(last_date).cast("date"))
-        return rows.drop(EVENT_DATE)
+        return _of_days(rows, first_date, last_date).drop(EVENT_DATE)
 
-    def gold(self, spec: StreamSpec) -> DataFrame:
-        return read_table(self.spark, self.gold_path(spec), self.table_format)
+    def gold(
+        self, spec: StreamSpec, first_date: str | None = None, last_date: str | None = None
+    ) -> DataFrame:
+        """Gold rows, of all days or of a range of days."""
+        rows = read_table(self.spark, self.gold_path(spec), self.table_format)
+        return _of_days(rows, first_date, last_date).drop(EVENT_DATE)
 
     def refresh_silver(self, spec: StreamSpec) -> DataFrame:
-        """Rebuilds Silver from all of Bronze; returns the quality row of the run.
-
-        Silver is stored by day. The rebalance gathers a day's rows into files of
-        the advisory size and spreads a large day over many tasks.
-        """
+        """Rebuilds Silver from all of Bronze; returns the quality row of the run."""
         bronze = self.bronze(spec)
-        by_day = (
-            clean(bronze, spec)
-            .withColumn(EVENT_DATE, F.to_date("event_timestamp"))
-            .hint("rebalance", EVENT_DATE)
-        )
+        by_day = _by_day(clean(bronze, spec), "event_timestamp")
         replace_table(by_day, self.silver_path(spec), self.table_format, [EVENT_DATE])
         return quality_of_run(bronze, self.silver(spec), spec)
 
@@ -79,13 +71,50 @@ class Lakehouse:
 
         Gold is not sorted before the write: order belongs to the queries that show it.
         """
-        replace_table(
-            hourly(self.silver(spec), spec), self.gold_path(spec), self.table_format
-        )
+        by_day = _by_day(hourly(self.silver(spec), spec), HOUR)
+        replace_table(by_day, self.gold_path(spec), self.table_format, [EVENT_DATE])
         return self.gold(spec)
 
+    def refresh_gold_days(self, spec: StreamSpec, first_date: str, last_date: str) -> DataFrame:
+        """Rebuilds Gold for a range of days, from those days of Silver.
+
+        A day that Silver no longer has would keep its old Gold rows; if there is one,
+        all of Gold is rebuilt.
+        """
+        if not self._gold_only_days(spec, first_date, last_date).isEmpty():
+            return self.refresh_gold(spec)
+        by_day = _by_day(hourly(self.silver(spec, first_date, last_date), spec), HOUR)
+        replace_partitions(by_day, self.gold_path(spec), [EVENT_DATE], self.table_format)
+        return self.gold(spec)
+
+    def _gold_only_days(self, spec: StreamSpec, first_date: str, last_date: str) -> DataFrame:
+        silver, gold = (
+            _of_days(read_table(self.spark, path, self.table_format), first_date, last_date)
+            .select(EVENT_DATE)
+            .distinct()
+            for path in (self.silver_path(spec), self.gold_path(spec))
+        )
+        return gold.join(silver, EVENT_DATE, "left_anti")
+
     def thresholds(self, spec: StreamSpec) -> DataFrame:
         return baseline(self.gold(spec), spec)
 
     def flagged(self, spec: StreamSpec) -> DataFrame:
         return flagged_hours(self.gold(spec), self.thresholds(spec), spec)
+
+
+def _by_day(rows: DataFrame, time: str) -> DataFrame:
+    """Rows with their date, arranged for a write by day.
+
+    The rebalance gathers a day's rows into files of the advisory size and spreads a
+    large day over many tasks.
+    """
+    return rows.withColumn(EVENT_DATE, F.to_date(time)).hint("rebalance", EVENT_DATE)
+
+
+def _of_days(rows: DataFrame, first_date: str | None, last_date: str | None) -> DataFrame:
+    if first_date is not None:
+        rows = rows.where(F.col(EVENT_DATE) >= F.lit(first_date).cast("date"))
+    if last_date is not None:
+        rows = rows.where(F.col(EVENT_DATE) <= F.lit(last_date).cast("date"))
+    return rows

@@ -27,3 +27,16 @@ def replace_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
+
+
+def replace_partitions(
+    rows: DataFrame, path: str, partition_by: Sequence[str], table_format: str = "parquet"
+) -> None:
+    """Replaces the partitions that ``rows`` have data for; others stay as they are."""
+    (
+        rows.write.format(table_format)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .save(path)
+    )

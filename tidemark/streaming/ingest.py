@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.operators.envelope import decode
 from tidemark.operators.timeline import timeline_of_log
@@ -35,22 +35,48 @@ def start_bronze(
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
-    if interval is None:
-        writer = writer.trigger(availableNow=True)
-    else:
-        writer = writer.trigger(processingTime=interval)
-    return writer.start(path)
+    return _triggered(writer, interval).start(path)
 
 
-def start_timeline(log: DataFrame, checkpoint: str | None = None) -> StreamingQuery:
-    """Prints the unified feed of a streaming multi-topic log to the console."""
+def start_timeline(
+    log: DataFrame,
+    path: str,
+    checkpoint: str,
+    table_format: str = "parquet",
+    interval: str | None = DEFAULT_INTERVAL,
+) -> StreamingQuery:
+    """Starts appending the unified feed of a streaming multi-topic log to a table."""
     writer = (
         timeline_of_log(log)
-        .writeStream.format("console")
+        .writeStream.format(table_format)
         .queryName("timeline")
         .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+    )
+    return _triggered(writer, interval).start(path)
+
+
+def show_timeline(
+    log: DataFrame, lines: int = 1000, interval: str | None = None
+) -> StreamingQuery:
+    """Shows the feed on the console, at most ``lines`` of each batch.
+
+    The console prints on the driver, hence the bound; the whole feed goes to a table
+    with :func:`start_timeline`.
+    """
+    writer = (
+        timeline_of_log(log)
+        .writeStream.format("console")
+        .queryName("timeline_console")
+        .outputMode("append")
         .option("truncate", "false")
+        .option("numRows", str(lines))
     )
-    if checkpoint:
-        writer = writer.option("checkpointLocation", checkpoint)
-    return writer.start()
+    return _triggered(writer, interval).start()
+
+
+def _triggered(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
+    """A pause between batches, or (``None``) one run over what is available."""
+    if interval is None:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=interval)

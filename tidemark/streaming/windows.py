@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.times import parse_event_time
-from tidemark.operators.cleaning import accepted, keep_latest
+from tidemark.operators.cleaning import RECENCY, accepted
 from tidemark.plans.streams import StreamSpec
 
 DEFAULT_WIDTH = "30 seconds"
@@ -20,31 +20,38 @@ def windowed(
 ) -> DataFrame:
     """The stream's measures and rates per entity and window, valid events only.
 
-    On a stream, copies of an event within ``lateness`` count once (the first to
-    arrive), a window is final once no event may be later than it by ``lateness``,
-    and state older than that is dropped. On a table, the latest copy of an event
-    counts, as in Silver. Events without a readable time belong to no window.
+    Works on tables and on streams. Copies of an event with times in one window
+    count once, the latest of them. On a stream a window is final once no event may
+    be late for it by less than ``lateness``, and its state is then dropped. Events
+    without a readable time belong to no window.
+
+    Copies are merged by an aggregate, which combines them within each task before
+    the exchange; a streaming deduplication would send every copy of a hot id to
+    one task.
     """
+    fields = [name for name in spec.field_names if name not in ("event_id", "timestamp")]
     timed = (
         accepted(bronze, spec)
         .withColumn("event_timestamp", parse_event_time("timestamp"))
         .where(F.col("event_timestamp").isNotNull())
+        .withWatermark("event_timestamp", lateness)
     )
-    if bronze.isStreaming:
-        unique = timed.withWatermark("event_timestamp", lateness).dropDuplicatesWithinWatermark(
-            ["event_id"]
-        )
-    else:
-        unique = keep_latest(timed)
-    measures = [F.expr(sql).alias(name) for name, sql in spec.measures.items()]
-    counted = unique.groupBy(spec.entity, F.window("event_timestamp", width).alias("_window")).agg(
-        *measures
+    latest = F.max(F.struct(*RECENCY, *fields)).alias("_latest")
+    unique = (
+        timed.groupBy("event_id", F.window("event_timestamp", width).alias("_window"))
+        .agg(latest)
+        .select("_window", *[F.col(f"_latest.{name}").alias(name) for name in fields])
     )
+    measures = [F.expr(sql).alias(name) for name, sql in spec.measures.items()]
     rates = [F.expr(sql).alias(name) for name, sql in spec.rates.items()]
-    return counted.select(
-        spec.entity,
-        F.col("_window.start").alias("window_start"),
-        F.col("_window.end").alias("window_end"),
-        *spec.measures,
-        *rates,
+    return (
+        unique.groupBy(spec.entity, "_window")
+        .agg(*measures)
+        .select(
+            spec.entity,
+            F.col("_window.start").alias("window_start"),
+            F.col("_window.end").alias("window_end"),
+            *spec.measures,
+            *rates,
+        )
     )
