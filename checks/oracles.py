@@ -288,6 +288,12 @@ from raw where status = 'completed' group by currency order by total_volume desc
 select merchant_id, status, count(*) as "count" from raw group by merchant_id, status"""
     found["unified_timeline"] = TIMELINE
     found["unified_log_timeline"] = TIMELINE
+    found["payments_trace"] = f"""with {payments}
+select kafka_timestamp, '← partition=' || cast("partition" as varchar)
+  || ' offset=' || cast("offset" as varchar) || ' | ' || coalesce(merchant_id, 'None')
+  || ' | $' || coalesce(cast(amount as varchar), 'None') || ' ' || coalesce(currency, 'None')
+  || ' | ' || coalesce(status, 'None') as line
+from raw"""
     found["entity_sequence"] = f"""with {payments}
 select merchant_id, "partition", "offset",
   row_number() over (partition by merchant_id order by "partition", "offset") as position

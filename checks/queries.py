@@ -27,7 +27,7 @@ from tidemark.operators.patterns import escalations
 from tidemark.operators.quality import quality
 from tidemark.operators.retention import retained
 from tidemark.operators.sequence import entity_sequence
-from tidemark.operators.timeline import timeline, timeline_of_log
+from tidemark.operators.timeline import payment_trace, timeline, timeline_of_log
 from tidemark.operators.trends import coarser, versus_last_week
 from tidemark.plans.layers import Lakehouse
 from tidemark.plans.streams import PAYMENTS, STREAMS, SYSTEM_LOGS, USER_EVENTS, StreamSpec
@@ -120,6 +120,10 @@ def unified_log_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(timeline_of_log(payments.unionByName(users).unionByName(logs)))
 
 
+def payments_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zoneless(payment_trace(rows_of(spark, sf_dir, PAYMENTS)))
+
+
 def payments_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = rows_of(spark, sf_dir, PAYMENTS).select("merchant_id", "partition", "offset")
     return entity_sequence(keyed, "merchant_id")
@@ -260,6 +264,7 @@ def all_queries() -> dict[str, Query]:
     )
     found["unified_timeline"] = unified_timeline
     found["unified_log_timeline"] = unified_log_timeline
+    found["payments_trace"] = payments_trace
     found["entity_sequence"] = payments_sequence
     found["payments_versus_last_week"] = partial(last_week, spec=PAYMENTS)
     found["payments_daily"] = partial(rolled_up, spec=PAYMENTS, unit="day")

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import timedelta
 
 import pytest
@@ -5,7 +6,7 @@ import pytest
 from tests.rows import NOON, bronze
 from tidemark.operators.cleaning import clean
 from tidemark.operators.quality import quality
-from tidemark.plans.streams import PAYMENTS, STREAMS, SYSTEM_LOGS, USER_EVENTS
+from tidemark.plans.streams import PAYMENTS, STREAMS, SYSTEM_LOGS, USER_EVENTS, finite
 
 NULLS, INVALID, DUPLICATE, KEPT = "dropped_nulls", "dropped_invalid", "dropped_duplicates", None
 
@@ -122,6 +123,13 @@ def test_cleaning_is_idempotent(spark):
     assert sorted(again.collect()) == sorted(once.collect())
 
 
+def test_finite_is_an_optional_rule(spark):
+    strict = replace(PAYMENTS, rules=(*PAYMENTS.rules, finite("amount")))
+    amounts = [1.0, float("nan"), float("inf")]
+    rows = bronze(spark, PAYMENTS, [{"amount": amount} for amount in amounts])
+    assert [r["amount"] for r in clean(rows, strict).collect()] == [1.0]
+
+
 def test_quality_of_empty_table(spark):
     row = quality(bronze(spark, PAYMENTS, []), PAYMENTS).first()
     assert row["total"] == row["after_dedup"] == row["dropped_total"] == 0

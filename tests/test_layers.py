@@ -53,14 +53,15 @@ def test_refresh_replaces_earlier_content(spark, tmp_path):
     assert lake.silver(PAYMENTS).count() == 1
 
 
-def test_timeline_goes_to_a_table_or_the_console(spark, tmp_path):
+@pytest.mark.parametrize("feed, line", [("timeline", "COMPLETED"), ("trace", "completed")])
+def test_feed_goes_to_a_table_or_the_console(spark, tmp_path, feed, line):
     records = log_records(bronze(spark, PAYMENTS, CHANGES), PAYMENTS)
     append_log_files(records, f"{tmp_path}/log")
-    common = ["timeline", "--root", f"{tmp_path}/lake", "--log", f"{tmp_path}/log", "--once"]
+    common = [feed, "--root", f"{tmp_path}/lake", "--log", f"{tmp_path}/log", "--once"]
     main([*common, "--out", f"{tmp_path}/feed"])
     assert spark.read.parquet(f"{tmp_path}/feed").count() == len(CHANGES)
     assert spark.read.parquet(f"{tmp_path}/feed").where(
-        "line like '%$10.0 USD | COMPLETED'"
+        f"line like '%$10.0 USD | {line}'"
     ).count() == len(CHANGES)
     main(common)  # the JVM prints; ends once the log is shown
 

@@ -6,7 +6,7 @@ from tidemark.functions.lines import number_text
 from tidemark.operators import report
 from tidemark.operators.envelope import log_records
 from tidemark.operators.sequence import entity_sequence
-from tidemark.operators.timeline import timeline, timeline_of_log
+from tidemark.operators.timeline import payment_trace, timeline, timeline_of_log
 from tidemark.plans.streams import PAYMENTS, STREAMS, SYSTEM_LOGS, USER_EVENTS
 
 
@@ -74,6 +74,14 @@ def test_timeline_of_one_log(spark):
     assert [(r["entity"], r["line"]) for r in feed if r["topic"] == "raw-other"] == [(None, None)]
 
 
+def test_trace_names_the_log_position(spark):
+    rows = bronze(spark, PAYMENTS, [{"partition": 2, "offset": 7}, {"amount": None, "status": None}])
+    assert [r["line"] for r in payment_trace(rows).collect()] == [
+        "← partition=2 offset=7 | merchant_001 | $10.0 USD | completed",
+        "← partition=0 offset=1 | merchant_001 | $None USD | None",
+    ]
+
+
 @pytest.mark.parametrize(
     "number", [0.0, 0.001, 0.0005, 1.0, 12.34, -7.5, 9999999.0, 10000000.0, 123456789.25, 4.5e15]
 )

@@ -3,12 +3,13 @@ import json
 import pytest
 
 from tests.rows import PAYMENT, bronze, log
-from tidemark.operators.envelope import decode, log_records
+from tidemark.operators.envelope import decode, encode, log_records
 from tidemark.plans.layers import Lakehouse
 from tidemark.plans.streams import PAYMENTS, STREAMS
 from tidemark.sources.topics import (
     append_log_files,
     kafka_options,
+    publish,
     stream_log_files,
     stream_topics,
 )
@@ -88,3 +89,9 @@ def test_kafka_scan_needs_its_connector(spark):
     """Reaches the connector look-up; the connector itself is not installed here."""
     with pytest.raises(Exception, match="kafka"):
         stream_topics(spark, kafka_options("localhost:1", "raw-payments"))
+
+
+def test_publish_needs_its_connector(spark):
+    messages = encode(bronze(spark, PAYMENTS, [{}]), PAYMENTS)
+    with pytest.raises(Exception, match="kafka"):
+        publish(messages, "localhost:1")

@@ -12,17 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import report
 from tidemark.operators.baseline import worst_first
+from tidemark.operators.envelope import decode
 from tidemark.operators.hourly import highest
+from tidemark.operators.timeline import payment_trace, timeline_of_log
 from tidemark.plans.layers import Lakehouse
 from tidemark.plans.streams import HOUR, PAYMENTS, STREAMS, StreamSpec
 from tidemark.session import build_session
 from tidemark.sources.topics import kafka_options, stream_log_files, stream_topics
-from tidemark.streaming.ingest import (
-    DEFAULT_INTERVAL,
-    show_timeline,
-    start_bronze,
-    start_timeline,
-)
+from tidemark.streaming.ingest import DEFAULT_INTERVAL, show_feed, start_bronze, start_feed
 
 
 def preview(title: str, rows: DataFrame, n: int = 20) -> None:
@@ -83,21 +80,31 @@ def run_report(lake: Lakehouse) -> None:
     preview("Payments by merchant and status", report.status_breakdown(bronze))
 
 
-def run_timeline(lake: Lakehouse, options: argparse.Namespace) -> None:
-    log = open_log(lake.spark, options, [spec.topic for spec in STREAMS.values()])
+def run_feed(lake: Lakehouse, name: str, lines: DataFrame, options: argparse.Namespace) -> None:
     interval = None if options.once else options.interval
     if options.out:
-        checkpoint = lake.path("checkpoints", "timeline")
-        feed = start_timeline(log, options.out, checkpoint, lake.table_format, interval)
+        checkpoint = lake.path("checkpoints", name)
+        feed = start_feed(lines, name, options.out, checkpoint, lake.table_format, interval)
     else:
-        feed = show_timeline(log, interval=interval)
+        feed = show_feed(lines, name, interval=interval)
     feed.awaitTermination()
 
 
+def run_timeline(lake: Lakehouse, options: argparse.Namespace) -> None:
+    log = open_log(lake.spark, options, [spec.topic for spec in STREAMS.values()])
+    run_feed(lake, "timeline", timeline_of_log(log), options)
+
+
+def run_trace(lake: Lakehouse, options: argparse.Namespace) -> None:
+    payments = decode(open_log(lake.spark, options, [PAYMENTS.topic]), PAYMENTS)
+    run_feed(lake, "trace", payment_trace(payments), options)
+
+
 def parse_options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tidemark", description=__doc__.splitlines()[0])
     parser.add_argument(
-        "layer", choices=["bronze", "silver", "gold", "baseline", "report", "timeline"]
+        "layer",
+        choices=["bronze", "silver", "gold", "baseline", "report", "timeline", "trace"],
     )
     parser.add_argument("stream", nargs="?", choices=sorted(STREAMS), default=PAYMENTS.name)
     parser.add_argument("--root", default="./data/lakehouse", help="folder of all tables")
@@ -111,7 +118,7 @@ def parse_options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-offsets", type=int, help="most Kafka records per batch")
     parser.add_argument("--min-partitions", type=int, help="fewest tasks per Kafka batch")
     parser.add_argument("--max-bytes", type=int, help="most bytes of log files per batch")
-    parser.add_argument("--out", help="table for the whole timeline, not the console")
+    parser.add_argument("--out", help="table for the whole feed, not the console")
     parser.add_argument("--first-date", help="first day of Gold to rebuild, with --last-date")
     parser.add_argument("--last-date", help="last day of Gold to rebuild")
     parser.add_argument("--once", action="store_true", help="ingest what is there and end")
@@ -138,8 +145,10 @@ def main(arguments: list[str] | None = None) -> None:
         run_baseline(lake, spec)
     elif options.layer == "report":
         run_report(lake)
-    else:
+    elif options.layer == "timeline":
         run_timeline(lake, options)
+    else:
+        run_trace(lake, options)
 
 
 if __name__ == "__main__":

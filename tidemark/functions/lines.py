@@ -47,10 +47,14 @@ def _joined(head: Column, *parts: Column) -> Column:
     return F.concat_ws(SEPARATOR, head, *[_shown(part) for part in parts])
 
 
-def payment_line(field: Field) -> Column:
+def _money(field: Field) -> Column:
     amount = _shown(number_text(field("amount")))
-    money = F.concat(F.lit("$"), amount, F.lit(" "), _shown(field("currency")))
-    return _joined(F.lit(PAYMENT_HEAD), field("merchant_id"), money, F.upper(field("status")))
+    return F.concat(F.lit("$"), amount, F.lit(" "), _shown(field("currency")))
+
+
+def payment_line(field: Field) -> Column:
+    status = F.upper(field("status"))
+    return _joined(F.lit(PAYMENT_HEAD), field("merchant_id"), _money(field), status)
 
 
 def user_event_line(field: Field) -> Column:
@@ -66,3 +70,14 @@ def system_log_line(field: Field) -> Column:
     latency = F.concat(F.lit("latency="), _shown(number_text(field("latency_ms"))), F.lit("ms"))
     head = F.concat(mark, F.lit(SYSTEM_LABEL))
     return _joined(head, field("service"), level, field("message"), latency)
+
+
+def payment_trace_line(field: Field) -> Column:
+    """A payment with its place in the log, for watching a topic."""
+    place = F.concat(
+        F.lit("← partition="),
+        _shown(field("partition").cast("string")),
+        F.lit(" offset="),
+        _shown(field("offset").cast("string")),
+    )
+    return _joined(place, field("merchant_id"), _money(field), field("status"))

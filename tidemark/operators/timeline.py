@@ -7,7 +7,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.lines import Field, payment_line, system_log_line, user_event_line
+from tidemark.functions.lines import (
+    Field,
+    payment_line,
+    payment_trace_line,
+    system_log_line,
+    user_event_line,
+)
 from tidemark.plans.streams import PAYMENTS, STREAMS, SYSTEM_LOGS, USER_EVENTS, StreamSpec
 
 LINES: dict[str, Callable[[Field], Column]] = {
@@ -32,6 +38,11 @@ def timeline(bronze: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, feeds)
 
 
+def payment_trace(bronze: DataFrame) -> DataFrame:
+    """Payments as lines that name their log position, to check what a topic delivers."""
+    return bronze.select("kafka_timestamp", payment_trace_line(F.col).alias("line"))
+
+
 def timeline_of_log(log: DataFrame) -> DataFrame:
     """Feed of a log that carries several topics, read and parsed once.
 

@@ -1,4 +1,4 @@
-"""Continuous ingest of a topic into its Bronze table."""
+"""Continuous ingest of topics: into Bronze tables, and as feeds of lines."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.operators.envelope import decode
-from tidemark.operators.timeline import timeline_of_log
 from tidemark.plans.streams import StreamSpec
 
 # Each micro-batch writes one file per task; a pause between batches keeps them few.
@@ -38,39 +37,38 @@ def start_bronze(
     return _triggered(writer, interval).start(path)
 
 
-def start_timeline(
-    log: DataFrame,
+def start_feed(
+    lines: DataFrame,
+    name: str,
     path: str,
     checkpoint: str,
     table_format: str = "parquet",
     interval: str | None = DEFAULT_INTERVAL,
 ) -> StreamingQuery:
-    """Starts appending the unified feed of a streaming multi-topic log to a table."""
+    """Starts appending a streaming feed of lines to a table."""
     writer = (
-        timeline_of_log(log)
-        .writeStream.format(table_format)
-        .queryName("timeline")
+        lines.writeStream.format(table_format)
+        .queryName(name)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
     return _triggered(writer, interval).start(path)
 
 
-def show_timeline(
-    log: DataFrame, lines: int = 1000, interval: str | None = None
+def show_feed(
+    lines: DataFrame, name: str, rows: int = 1000, interval: str | None = None
 ) -> StreamingQuery:
-    """Shows the feed on the console, at most ``lines`` of each batch.
+    """Shows a streaming feed on the console, at most ``rows`` of each batch.
 
     The console prints on the driver, hence the bound; the whole feed goes to a table
-    with :func:`start_timeline`.
+    with :func:`start_feed`.
     """
     writer = (
-        timeline_of_log(log)
-        .writeStream.format("console")
-        .queryName("timeline_console")
+        lines.writeStream.format("console")
+        .queryName(f"{name}_console")
         .outputMode("append")
         .option("truncate", "false")
-        .option("numRows", str(lines))
+        .option("numRows", str(rows))
     )
     return _triggered(writer, interval).start()
 
