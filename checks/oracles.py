@@ -253,6 +253,14 @@ select merchant_id, window_start, window_start + interval 30 seconds as window_e
 from latest where copy = 1 group by merchant_id, window_start"""
 
 
+def positions(stream: str) -> str:
+    _, key = TOPICS[stream]
+    return f"""with {raw(stream)}
+select {key}, "partition", "offset",
+  row_number() over (partition by {key} order by "partition", "offset") as position
+from raw"""
+
+
 def all_oracles() -> dict[str, str]:
     found: dict[str, str] = {}
     for stream in FIELDS:
@@ -294,10 +302,9 @@ select kafka_timestamp, '← partition=' || cast("partition" as varchar)
   || ' | $' || coalesce(cast(amount as varchar), 'None') || ' ' || coalesce(currency, 'None')
   || ' | ' || coalesce(status, 'None') as line
 from raw"""
-    found["entity_sequence"] = f"""with {payments}
-select merchant_id, "partition", "offset",
-  row_number() over (partition by merchant_id order by "partition", "offset") as position
-from raw"""
+    found["entity_sequence"] = positions("payments")
+    found["entity_sequence_user_events"] = positions("user_events")
+    found["entity_sequence_system_logs"] = positions("system_logs")
     gold = f"with {gold_parts('payments')}"
     found["payments_versus_last_week"] = f"""{gold}
 select g.merchant_id, g.hour, g.failure_rate_pct, e.failure_rate_pct as last_week_pct,

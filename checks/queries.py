@@ -124,9 +124,9 @@ def payments_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(payment_trace(rows_of(spark, sf_dir, PAYMENTS)))
 
 
-def payments_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = rows_of(spark, sf_dir, PAYMENTS).select("merchant_id", "partition", "offset")
-    return entity_sequence(keyed, "merchant_id")
+def sequence(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
+    keyed = rows_of(spark, sf_dir, spec).select(spec.key, "partition", "offset")
+    return entity_sequence(keyed, spec.key)
 
 
 def encode_roundtrip(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
@@ -265,7 +265,9 @@ def all_queries() -> dict[str, Query]:
     found["unified_timeline"] = unified_timeline
     found["unified_log_timeline"] = unified_log_timeline
     found["payments_trace"] = payments_trace
-    found["entity_sequence"] = payments_sequence
+    found["entity_sequence"] = partial(sequence, spec=PAYMENTS)
+    found["entity_sequence_user_events"] = partial(sequence, spec=USER_EVENTS)
+    found["entity_sequence_system_logs"] = partial(sequence, spec=SYSTEM_LOGS)
     found["payments_versus_last_week"] = partial(last_week, spec=PAYMENTS)
     found["payments_daily"] = partial(rolled_up, spec=PAYMENTS, unit="day")
     found["user_events_weekly"] = partial(rolled_up, spec=USER_EVENTS, unit="week")

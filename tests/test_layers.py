@@ -44,6 +44,17 @@ def test_layers_equal_their_operators(spark, tmp_path, spec):
     assert sorted(gold.collect(), key=str) == sorted(hourly(silver, spec).collect(), key=str)
 
 
+@pytest.mark.parametrize("spec", STREAMS.values(), ids=STREAMS)
+def test_layers_of_nothing_are_empty(spark, tmp_path, spec):
+    lake = Lakehouse(spark, str(tmp_path))
+    replace_table(bronze(spark, spec, []), lake.bronze_path(spec))
+    counts = lake.refresh_silver(spec).first()
+    assert (counts["total"], counts["after_dedup"], counts["quality_score"]) == (0, 0, None)
+    assert lake.refresh_gold(spec).count() == 0
+    assert lake.gold(spec).columns == hourly(clean(lake.bronze(spec), spec), spec).columns
+    assert lake.silver(spec).count() == 0
+
+
 def test_refresh_replaces_earlier_content(spark, tmp_path):
     lake = filled(spark, tmp_path, PAYMENTS)
     first = lake.refresh_silver(PAYMENTS).collect()

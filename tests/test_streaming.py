@@ -70,7 +70,7 @@ def test_raw_values_are_kept_on_request(spark, tmp_path):
     lake, path = Lakehouse(spark, str(tmp_path)), f"{tmp_path}/log"
     append_log_files(log(spark, ["not json"]), path)
     ingest(lake, PAYMENTS, path, keep_raw=True)
-    assert bytes(lake.bronze(PAYMENTS).first()["raw_value"]) == b"not json"
+    assert bytes(lake.bronze(PAYMENTS, with_raw=True).first()["raw_value"]) == b"not json"
 
 
 def test_kafka_options():

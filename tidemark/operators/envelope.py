@@ -15,6 +15,7 @@ ENVELOPE_DDL = (
     "key binary, value binary, topic string, partition int, offset bigint, "
     "timestamp timestamp, timestampType int"
 )
+LOG_POSITION_DDL = "partition int, offset bigint, kafka_timestamp timestamp"
 LOG_POSITION = ["partition", "offset", "kafka_timestamp"]
 
 # Fixed value: the key of an event that lacks its entity.

@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators.baseline import baseline, flagged_hours
 from tidemark.operators.cleaning import clean
+from tidemark.operators.envelope import LOG_POSITION_DDL
 from tidemark.operators.hourly import hourly
 from tidemark.operators.quality import quality_of_run
 from tidemark.plans.streams import HOUR, StreamSpec
@@ -39,8 +41,10 @@ class Lakehouse:
     def gold_path(self, spec: StreamSpec) -> str:
         return self.path("gold", f"{spec.name}_hourly")
 
-    def bronze(self, spec: StreamSpec) -> DataFrame:
-        return read_table(self.spark, self.bronze_path(spec), self.table_format)
+    def bronze(self, spec: StreamSpec, with_raw: bool = False) -> DataFrame:
+        """Bronze rows; ``with_raw`` for tables that keep the undecoded bytes."""
+        raw = ", raw_value binary" if with_raw else ""
+        return self._read(self.bronze_path(spec), f"{spec.ddl}, {LOG_POSITION_DDL}{raw}")
 
     def silver(
         self, spec: StreamSpec, first_date: str | None = None, last_date: str | None = None
@@ -49,15 +53,33 @@ class Lakehouse:
 
         A range reads the files of its days only.
         """
-        rows = read_table(self.spark, self.silver_path(spec), self.table_format)
-        return _of_days(rows, first_date, last_date).drop(EVENT_DATE)
+        return self._silver_days(spec, first_date, last_date).drop(EVENT_DATE)
 
     def gold(
         self, spec: StreamSpec, first_date: str | None = None, last_date: str | None = None
     ) -> DataFrame:
         """Gold rows, of all days or of a range of days."""
-        rows = read_table(self.spark, self.gold_path(spec), self.table_format)
-        return _of_days(rows, first_date, last_date).drop(EVENT_DATE)
+        return self._gold_days(spec, first_date, last_date).drop(EVENT_DATE)
+
+    def _read(self, path: str, schema: StructType | str) -> DataFrame:
+        return read_table(self.spark, path, self.table_format, schema)
+
+    def _silver_days(
+        self, spec: StreamSpec, first_date: str | None = None, last_date: str | None = None
+    ) -> DataFrame:
+        schema = self._silver_schema(spec).add(EVENT_DATE, "date")
+        return _of_days(self._read(self.silver_path(spec), schema), first_date, last_date)
+
+    def _gold_days(
+        self, spec: StreamSpec, first_date: str | None = None, last_date: str | None = None
+    ) -> DataFrame:
+        no_silver = self.spark.createDataFrame([], self._silver_schema(spec))
+        schema = hourly(no_silver, spec).schema.add(EVENT_DATE, "date")
+        return _of_days(self._read(self.gold_path(spec), schema), first_date, last_date)
+
+    def _silver_schema(self, spec: StreamSpec) -> StructType:
+        no_bronze = self.spark.createDataFrame([], f"{spec.ddl}, {LOG_POSITION_DDL}")
+        return clean(no_bronze, spec).schema
 
     def refresh_silver(self, spec: StreamSpec) -> DataFrame:
         """Rebuilds Silver from all of Bronze; returns the quality row of the run."""
@@ -88,12 +110,8 @@ class Lakehouse:
         return self.gold(spec)
 
     def _gold_only_days(self, spec: StreamSpec, first_date: str, last_date: str) -> DataFrame:
-        silver, gold = (
-            _of_days(read_table(self.spark, path, self.table_format), first_date, last_date)
-            .select(EVENT_DATE)
-            .distinct()
-            for path in (self.silver_path(spec), self.gold_path(spec))
-        )
+        silver = self._silver_days(spec, first_date, last_date).select(EVENT_DATE).distinct()
+        gold = self._gold_days(spec, first_date, last_date).select(EVENT_DATE).distinct()
         return gold.join(silver, EVENT_DATE, "left_anti")
 
     def thresholds(self, spec: StreamSpec) -> DataFrame:

@@ -5,10 +5,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
-def read_table(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame:
-    return spark.read.format(table_format).load(path)
+# Formats that keep the schema with the table and refuse another.
+SELF_DESCRIBING = ("delta",)
+
+
+def read_table(
+    spark: SparkSession,
+    path: str,
+    table_format: str = "parquet",
+    schema: StructType | str | None = None,
+) -> DataFrame:
+    """The table at ``path``.
+
+    With ``schema``, plain files need not be opened to learn it, and a table that was
+    written without any row can be read.
+    """
+    reader = spark.read.format(table_format)
+    if schema is not None and table_format not in SELF_DESCRIBING:
+        reader = reader.schema(schema)
+    return reader.load(path)
 
 
 def replace_table(
