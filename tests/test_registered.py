@@ -4,13 +4,15 @@ import pytest
 
 import __spark_entry__ as driver
 from checks.compare import differences
+from checks.oracles import all_oracles
+from checks.queries import all_queries
 from tests.conftest import SMALL
 
-QUERIES = driver.queries()
+QUERIES = all_queries()
 
 
 def test_every_query_has_a_counterpart():
-    assert set(driver.oracle_sql()) == set(QUERIES)
+    assert set(all_oracles()) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", QUERIES)
