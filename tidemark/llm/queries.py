@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import exact_dedup, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,8 +33,15 @@ WINDOW same AS (PARTITION BY own_text ORDER BY code_points DESC, doc_id)
 """
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_exact_dedup": op5_exact_dedup}
+    return {
+        "op5_exact_dedup": op5_exact_dedup,
+        "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    }
 
 
 def all_oracles() -> dict[str, str]:
