@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import DataFrame
 
 from tidemark.session import scratch_path
@@ -12,3 +14,14 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(rows.sparkSession, purpose)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def mounted(path: str) -> str:
+    """``path`` as a plain file name, for arrays that workers map into memory.
+
+    The shared folder must then be a mounted file system; object stores are refused.
+    """
+    parts = urlparse(path)
+    if parts.scheme not in ("", "file"):
+        raise ValueError(f"{path}: memory-mapped arrays need a mounted shared folder")
+    return parts.path
