@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, kneser_ney, simhash
+from tidemark.llm import exact_dedup, kneser_ney, pairwise_quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,11 +41,18 @@ def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.scores(table(spark, sf_dir, "documents"))
 
 
+def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairwise_quality.scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_exact_dedup": op5_exact_dedup,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
         "op8_kneser_ney": op8_kneser_ney,
+        "op9_pairwise_quality": op9_pairwise_quality,
     }
 
 
