@@ -1,0 +1,76 @@
+import hashlib
+import random
+
+import public_tokenizers
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tests.conftest import SMALL
+from tests.llm.rows import AWKWARD, awkward, clashing, collected, documents
+from tidemark.llm import bpe_tree
+
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+RANKS = bpe_tree.read_ranks(PATH)
+PATTERN = public_tokenizers.PATTERN
+LIBRARY = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=RANKS, special_tokens={})
+
+
+def small(leaf_chars, leaf_bytes):
+    return bpe_tree.Codec(RANKS, PATTERN, leaf_chars, leaf_bytes)
+
+
+CODECS = [small(1, 1), small(3, 2), small(7, 5), bpe_tree.Codec(RANKS, PATTERN)]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.sampled_from("ab'stlredvm  \n\t　 1²9é漢.,!|\U0001f600"), max_size=60))
+def test_tree_equals_library_on_seams(text):
+    expected = LIBRARY.encode_ordinary(text)
+    for codec in CODECS:
+        assert codec.encode(text) == expected
+        assert codec.decode(expected) == text.encode()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(max_size=200))
+def test_tree_equals_library_on_any_text(text):
+    for codec in CODECS[1:]:
+        assert codec.encode(text) == LIBRARY.encode_ordinary(text)
+
+
+def test_long_matches_join():
+    draw = random.Random(5)
+    for alphabet in ("x", "ab", "the", "=-", " \n", "0123456789", "éa"):
+        text = "".join(draw.choice(alphabet) for _ in range(3000))
+        for codec in CODECS:
+            assert codec.encode(text) == LIBRARY.encode_ordinary(text)
+
+
+def test_every_token_is_the_encoding_of_its_bytes():
+    leaf = CODECS[0].leaf
+    assert all(leaf(token) == [rank] for token, rank in RANKS.items())
+
+
+def expected(rows):
+    out = []
+    for i, text in rows:
+        ids = LIBRARY.encode_ordinary(text or "")
+        listed = ",".join(map(str, ids)).encode()
+        own = hashlib.sha256((text or "").encode()).hexdigest()
+        out.append((i, len(ids), hashlib.sha256(listed).hexdigest(), own))
+    return sorted(out, key=repr)
+
+
+def test_tables(spark):
+    assert collected(bpe_tree.digests(awkward(spark), PATH, PATTERN)) == expected(AWKWARD)
+    assert collected(bpe_tree.digests(clashing(spark), PATH, PATTERN)) == expected(AWKWARD)
+    assert bpe_tree.digests(documents(spark, []), PATH, PATTERN).count() == 0
+
+
+def test_whole_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [(row["doc_id"], row["text"]) for row in docs.collect()]
+    assert collected(bpe_tree.digests(docs, PATH, PATTERN)) == expected(rows)
+    found = {row["doc_id"]: bytes(row["decoded"]) for row in bpe_tree.tokens(docs, PATH, PATTERN).collect()}
+    assert found == {i: text.encode() for i, text in rows}

@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, kneser_ney, pairwise_quality, simhash
+from tidemark.llm import bpe_tree, exact_dedup, kneser_ney, pairwise_quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_tree.digests(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,6 +58,7 @@ def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_bpe_tree": op2_bpe_tree,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
         "op8_kneser_ney": op8_kneser_ney,
