@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_tree, exact_dedup, kneser_ney, pairwise_quality, simhash
+from tidemark.llm import bpe_tree, exact_dedup, kneser_ney, pairwise_quality, qgram_decontam, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,12 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qgram_decontam.matches(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.scores(table(spark, sf_dir, "documents"))
 
@@ -61,6 +67,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_bpe_tree": op2_bpe_tree,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
+        "op7_qgram_decontamination": op7_qgram_decontamination,
         "op8_kneser_ney": op8_kneser_ney,
         "op9_pairwise_quality": op9_pairwise_quality,
     }
