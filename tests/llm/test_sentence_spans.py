@@ -1,0 +1,78 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from tests.llm.rows import AWKWARD, awkward, clashing, collected, documents
+from tidemark.llm import sentence_spans as spans
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def split(text):
+    """Start of each sentence and its words."""
+    found, last = [], None
+    for match in WORD.finditer(text):
+        if last is None or last[0][-1] in ".!?" or "\n" in text[last.end() : match.start()]:
+            found.append((match.start(), []))
+        found[-1][1].append(lowered(match[0]))
+        last = match
+    return found
+
+
+def brute(rows, span, min_words):
+    first, own = {}, []
+    for i, text in rows:
+        parts = split(text or "")
+        width = min(span, len(parts))
+        runs = []
+        for k in range(len(parts) - width + 1 if parts else 0):
+            words = tuple(w for _, part in parts[k : k + width] for w in part)
+            if len(words) >= min_words:
+                runs.append((k, words))
+                owner = spans.LAST if i is None else i
+                first[words] = min(first.get(words, owner), owner)
+        own.append((parts, width, runs))
+    out = []
+    for (i, text), (parts, width, runs) in zip(rows, own):
+        gone, seen = set(), set()
+        for k, words in runs:
+            if words in seen or first[words] < (spans.LAST if i is None else i):
+                gone |= set(range(k, k + width))
+            seen.add(words)
+        edges = [start for start, _ in parts] + [len(text or "")]
+        kept = (text or "")[: edges[0]]
+        kept += "".join(text[edges[k] : edges[k + 1]] for k in range(len(parts)) if k not in gone)
+        n_spans = sum(k in gone and k - 1 not in gone for k in range(len(parts)))
+        out.append((i, len(parts), len(gone), n_spans, hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize(("span", "min_words"), [(2, 10), (3, 1), (1, 4)])
+def test_equals_brute_force(spark, span, min_words):
+    draw = random.Random(span)
+    stock = [" ".join(draw.choices("abcdefgh", k=draw.randrange(1, 9))) + draw.choice([".", "!", "", "?"])
+             for _ in range(25)]
+    rows = [(i, draw.choice([" ", "\n", "  "]).join(draw.choices(stock, k=draw.randrange(0, 14))))
+            for i in range(120)]
+    rows += [(None, rows[3][1]), (None, rows[4][1] + " More."), (7, rows[7][1]), (7, rows[9][1])]
+    found = spans.digests(documents(spark, rows), span=span, min_words=min_words)
+    assert collected(found) == brute(rows, span, min_words)
+
+
+def test_awkward_rows(spark):
+    expected = brute(AWKWARD, spans.SPAN, spans.MIN_WORDS)
+    assert collected(spans.digests(awkward(spark))) == expected
+    assert collected(spans.digests(clashing(spark))) == expected
+    assert spans.digests(documents(spark, [])).count() == 0
+
+
+def test_kept_text_is_the_input_where_nothing_repeats(spark):
+    rows = [(1, "  Aé b. C d\n\ne f!  "), (2, "Other text. Entirely.")]
+    found = {row["doc_id"]: row["kept_text"] for row in spans.cleaned(documents(spark, rows)).collect()}
+    assert found == dict(rows)

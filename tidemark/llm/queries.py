@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_tree, exact_dedup, kneser_ney, pairwise_quality, qgram_decontam, simhash
+from tidemark.llm import (
+    bpe_tree,
+    exact_dedup,
+    kneser_ney,
+    pairwise_quality,
+    qgram_decontam,
+    sentence_spans,
+    simhash,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +30,10 @@ def op2_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -65,6 +77,7 @@ def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bpe_tree": op2_bpe_tree,
+        "op4_sentence_spans": op4_sentence_spans,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
         "op7_qgram_decontamination": op7_qgram_decontamination,
