@@ -11,6 +11,7 @@ from tidemark.llm import (
     bpe_tree,
     exact_dedup,
     kneser_ney,
+    licence_rules,
     pairwise_quality,
     qgram_decontam,
     sentence_spans,
@@ -74,6 +75,10 @@ def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_rules.licences(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bpe_tree": op2_bpe_tree,
@@ -83,8 +88,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_qgram_decontamination": op7_qgram_decontamination,
         "op8_kneser_ney": op8_kneser_ney,
         "op9_pairwise_quality": op9_pairwise_quality,
+        "op10_licence_rules": op10_licence_rules,
     }
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL}
+    return {"op5_exact_dedup": OP5_SQL, "op10_licence_rules": licence_rules.oracle_sql()}
