@@ -11,6 +11,7 @@ from tidemark.llm import (
     bpe_tree,
     exact_dedup,
     kneser_ney,
+    langid_crf,
     licence_rules,
     pairwise_quality,
     qgram_decontam,
@@ -23,6 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_langid_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid_crf.languages(table(spark, sf_dir, "documents"))
+
+
 def op2_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.digests(
         table(spark, sf_dir, "documents"),
@@ -81,6 +86,7 @@ def op10_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_langid_crf": op1_langid_crf,
         "op2_bpe_tree": op2_bpe_tree,
         "op4_sentence_spans": op4_sentence_spans,
         "op5_exact_dedup": op5_exact_dedup,

@@ -26,6 +26,9 @@ IS_SPACE[list(SPACES)] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+LETTER = np.zeros(256, bool)
+LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
+
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
@@ -108,12 +111,18 @@ class Powers:
         return mixed((sums[width:] - sums[:n]) * self.down[:n])
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and rows of the words ``[^\\x20\\x09-\\x0D]+``; none crosses a row."""
+def words(
+    data: np.ndarray, offsets: np.ndarray, inside: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and rows of the words, runs of ``inside``; none crosses a row.
+
+    Without ``inside``, words are ``[^\\x20\\x09-\\x0D]+``.
+    """
     if not len(data):
         empty = np.zeros(0, np.int64)
         return empty, empty, empty
-    inside = ~IS_SPACE[data]
+    if inside is None:
+        inside = ~IS_SPACE[data]
     begins = np.zeros(len(data) + 1, bool)
     begins[offsets[:-1]] = True
     begins[len(data)] = True
