@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tidemark.llm import (
     bpe_tree,
     exact_dedup,
@@ -95,6 +96,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_kneser_ney": op8_kneser_ney,
         "op9_pairwise_quality": op9_pairwise_quality,
         "op10_licence_rules": op10_licence_rules,
+        "pipeline": corpus_pipeline.run,
     }
 
 
