@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import os
 import struct
-import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -27,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.storage import mounted, stored
+from tidemark.llm.storage import mounted, saved, stored
 from tidemark.llm.text import LOWER, Powers, held_out, mixed, pieces, text_bytes, words
 from tidemark.session import scratch_path
 
@@ -183,14 +182,6 @@ def counted(texts: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
     return texts.mapInArrow(run, "bucket long, payload binary")
 
 
-def saved(folder: str, name: str, array: np.ndarray) -> None:
-    """Written aside and renamed, so that a repeated task leaves one whole file."""
-    aside = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    with open(aside, "wb") as out:
-        np.save(out, array)
-    os.replace(aside, f"{folder}/{name}.npy")
-
-
 def counts_of_counts(column: np.ndarray) -> list[int]:
     return [int((column == k).sum()) for k in (1, 2, 3, 4)] + [int((column > 0).sum())]
 

@@ -18,6 +18,7 @@ from tidemark.llm import (
     qgram_decontam,
     sentence_spans,
     simhash,
+    suffix_dedup,
 )
 
 
@@ -37,6 +38,10 @@ def op2_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.digests(table(spark, sf_dir, "documents"))
 
@@ -89,6 +94,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_langid_crf": op1_langid_crf,
         "op2_bpe_tree": op2_bpe_tree,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_sentence_spans": op4_sentence_spans,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,

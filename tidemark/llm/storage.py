@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from urllib.parse import urlparse
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from tidemark.session import scratch_path
@@ -25,3 +28,11 @@ def mounted(path: str) -> str:
     if parts.scheme not in ("", "file"):
         raise ValueError(f"{path}: memory-mapped arrays need a mounted shared folder")
     return parts.path
+
+
+def saved(folder: str, name: str, array: np.ndarray) -> None:
+    """Written aside and renamed, so that a repeated task leaves one whole file."""
+    aside = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    with open(aside, "wb") as out:
+        np.save(out, array)
+    os.replace(aside, f"{folder}/{name}.npy")
