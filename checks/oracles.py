@@ -6,7 +6,18 @@ stream specifications that drive the Spark side.
 
 from __future__ import annotations
 
-from checks.mapping import FIELDS, KAFKA_TIMESTAMP, OFFSET, PARTITION
+from checks import shop
+from checks.mapping import (
+    AS_TEXT,
+    FIELDS,
+    KAFKA_TIMESTAMP,
+    NO_FIELD,
+    NO_JSON,
+    NO_OBJECT,
+    NUMBERS,
+    OFFSET,
+    PARTITION,
+)
 from tidemark.functions.rounding import round2
 
 BRONZE_FIELDS = {name: ", ".join(f'"{field}"' for field in FIELDS[name]) for name in FIELDS}
@@ -66,10 +77,23 @@ def raw(stream: str) -> str:
     fields = ",\n    ".join(f'{sql} as "{name}"' for name, sql in FIELDS[stream].items())
     return f"""raw as (
   select {fields},
-    {PARTITION} as "partition", {OFFSET} as "offset", {KAFKA_TIMESTAMP} as kafka_timestamp
+    {PARTITION[stream]} as "partition", {OFFSET} as "offset",
+    {KAFKA_TIMESTAMP} as kafka_timestamp
   from events)"""
 
 
+def parsed(stream: str) -> str:
+    """CTEs up to ``parsed``: what the log's records hold of the stream's fields."""
+    unread = f"{NO_JSON} or {NO_OBJECT} or {NO_FIELD}"
+    fields = ",\n    ".join(
+        f'case when {unread}{f" or {AS_TEXT}" if name == NUMBERS[stream] else ""} then null '
+        f'else "{name}" end as "{name}"'
+        for name in FIELDS[stream]
+    )
+    return f"""{raw(stream)},
+parsed as (select {fields}, "partition", "offset", kafka_timestamp from raw)"""
+
+
 def silver_parts(stream: str) -> str:
     """CTEs up to ``silver``."""
     kept = ", ".join(f'"{field}"' for field in FIELDS[stream] if field != "timestamp")
@@ -82,7 +106,7 @@ ranked as (
   from valid),
 silver as (
   select {kept}, "partition", "offset", kafka_timestamp,
-    cast("timestamp" as timestamp) as event_timestamp
+    try_cast("timestamp" as timestamp) as event_timestamp
   from ranked where place = 1)"""
 
 
@@ -101,7 +125,7 @@ BASELINE = f"""baseline as (
 
 
 def bronze(stream: str) -> str:
-    return f"with {raw(stream)} select * from raw"
+    return f"with {parsed(stream)} select * from parsed"
 
 
 def dq(stream: str) -> str:
@@ -124,10 +148,14 @@ def encoded(stream: str, topic: str, key: str) -> str:
 select coalesce({key}, 'unknown') as key, '{topic}' as topic, {BRONZE_FIELDS[stream]} from raw"""
 
 
-TIMELINE = f"""
-with p as (with {raw("payments")} select * from raw),
-u as (with {raw("user_events")} select * from raw),
-s as (with {raw("system_logs")} select * from raw)
+def timeline_of(cte, name: str) -> str:
+    return f"""
+with p as (with {cte("payments")} select * from {name}),
+u as (with {cte("user_events")} select * from {name}),
+s as (with {cte("system_logs")} select * from {name}){TIMELINE}"""
+
+
+TIMELINE = """
 select 'raw-payments' as topic, merchant_id as entity, kafka_timestamp,
   '💳 PAYMENT   | ' || coalesce(merchant_id, 'None') || ' | $'
     || coalesce(cast(amount as varchar), 'None') || ' ' || coalesce(currency, 'None')
@@ -171,30 +199,39 @@ select cast(date_trunc('week', hour) as timestamp) as week, device,
     cast(sum(purchases) as bigint) as purchases
 from gold group by week, device"""
 
+# A pattern lies in one partition: between partitions the log has no order.
 ESCALATIONS = """,
 placed as (
-  select *, row_number() over in_order as position,
+  select *, row_number() over (partition by service order by "partition", "offset") as position,
     lag(level, 1) over in_order as one, lag(level, 2) over in_order as two,
     lag(level, 3) over in_order as three
-  from silver window in_order as (partition by service order by "partition", "offset"))
+  from silver window in_order as (partition by service, "partition" order by "offset"))
 select event_id, service, level, "partition", "offset", position from placed
 where level = 'ERROR' and one = 'WARN' and two = 'WARN' and three = 'WARN'"""
 
-JOURNEYS = """,
-times as (
-  select user_id,
-    min(case when event_type = 'page_view' then event_timestamp end) as viewed,
-    min(case when event_type = 'add_to_cart' then event_timestamp end) as carted,
-    min(case when event_type = 'checkout' then event_timestamp end) as checked,
-    min(case when event_type = 'purchase' then event_timestamp end) as bought
-  from silver group by user_id)"""
-
-FUNNEL = f"""{JOURNEYS}
-select count(*) as users, count(viewed) as page_view_users,
-  {count_where("carted >= viewed")} as add_to_cart_users,
-  {count_where("carted >= viewed and checked >= carted")} as checkout_users,
-  {count_where("carted >= viewed and checked >= carted and bought >= checked")} as purchase_users
-from times"""
+# From the definition: a user got as far as a stage if there is a chain of events, each after
+# the one before it, through all stages up to that one. Walking a user's events in order, an
+# event ends such a chain if its stage follows one that some earlier event has ended.
+FUNNEL = """,
+walked as (
+  select user_id, event_type, row_number() over in_order as step
+  from silver where event_timestamp is not null
+  window in_order as (partition by user_id
+    order by event_timestamp, kafka_timestamp, "partition", "offset")),
+v as (select *, min(case when event_type = 'page_view' then step end)
+  over (partition by user_id) as viewed from walked),
+c as (select *, min(case when event_type = 'add_to_cart' and step > viewed then step end)
+  over (partition by user_id) as carted from v),
+k as (select *, min(case when event_type = 'checkout' and step > carted then step end)
+  over (partition by user_id) as checked from c),
+p as (select *, min(case when event_type = 'purchase' and step > checked then step end)
+  over (partition by user_id) as bought from k)
+select (select count(distinct user_id) from silver) as users,
+  count(distinct case when viewed is not null then user_id end) as page_view_users,
+  count(distinct case when carted is not null then user_id end) as add_to_cart_users,
+  count(distinct case when checked is not null then user_id end) as checkout_users,
+  count(distinct case when bought is not null then user_id end) as purchase_users
+from p"""
 
 ABANDONED = """
 select user_id, max(case when event_type = 'add_to_cart' then event_timestamp end)
@@ -210,7 +247,8 @@ def gold_of(stream: str) -> str:
 
 
 INCIDENTS = f"""
-with p as (
+with g as {gold_of("user_events")},
+p as (
   select hour, count(*) as n from (
     select hour, failure_rate_pct as rate,
       {round2("avg(failure_rate_pct) over (partition by merchant_id)")} as mean,
@@ -227,7 +265,13 @@ u as (
     select hour, checkouts,
       {round2("avg(checkouts) over (partition by device)")} as mean,
       {round2("stddev_samp(checkouts) over (partition by device)")} as spread
-    from {gold_of("user_events")}) where checkouts < mean - 2 * spread group by hour),
+    from (
+      select device, hour, coalesce(sum(checkouts), 0) as checkouts
+      from (select unnest(generate_series((select min(hour) from g), (select max(hour) from g),
+          interval 1 hour)) as hour)
+        cross join (select distinct device from g where hour is not null)
+        left join g using (device, hour) group by device, hour))
+  where checkouts < mean - 2 * spread group by hour),
 hours as (select hour from p union select hour from s union select hour from u)
 select hours.hour, coalesce(p.n, 0) as failing_merchants, coalesce(s.n, 0) as failing_services,
   coalesce(u.n, 0) as dropping_devices,
@@ -236,21 +280,27 @@ select hours.hour, coalesce(p.n, 0) as failing_merchants, coalesce(s.n, 0) as fa
 from hours left join p on p.hour = hours.hour left join s on s.hour = hours.hour
   left join u on u.hour = hours.hour"""
 
-HALF_MINUTES = f""",
-windows as (
-  select *, time_bucket(interval 30 seconds, cast("timestamp" as timestamp)) as window_start
-  from valid),
-latest as (
-  select *, row_number() over (partition by event_id, window_start
-    order by kafka_timestamp desc, "partition" desc, "offset" desc) as copy
-  from windows)
-select merchant_id, window_start, window_start + interval 30 seconds as window_end,
+# Windows of Silver's rows: an event lies in one window, that of its latest copy.
+HALF_MINUTES = f"""
+select merchant_id, time_bucket(interval 30 seconds, event_timestamp) as window_start,
+    time_bucket(interval 30 seconds, event_timestamp) + interval 30 seconds as window_end,
     count(*) as total_transactions,
     {count_where("status = 'completed'")} as completed_count,
     {count_where("status = 'failed'")} as failed_count,
     {round2("sum(case when status = 'completed' then amount else 0 end)")} as completed_volume,
     round({count_where("status = 'failed'")} / count(*) * 100, 2) as failure_rate_pct
-from latest where copy = 1 group by merchant_id, window_start"""
+from silver where event_timestamp is not null group by merchant_id, window_start, window_end"""
+
+BY_CURRENCY = f"""with {silver_parts("payments")},
+gold as (
+  select merchant_id, currency, date_trunc('hour', event_timestamp) as hour,
+    count(*) as total_transactions,
+    round({count_where("status = 'failed'")} / count(*) * 100, 2) as failure_rate_pct
+  from silver group by 1, 2, 3)"""
+
+DAILY_LOGS = f"""with {silver_parts("system_logs")},
+hours as (select *, date_trunc('day', event_timestamp) as day from silver)
+{GOLD["system_logs"].replace("hour", "day").replace("days", "hours")}"""
 
 
 def positions(stream: str) -> str:
@@ -277,25 +327,26 @@ def all_oracles() -> dict[str, str]:
 select g.merchant_id, g.hour, g.failure_rate_pct, b.anomaly_threshold_pct, g.total_transactions
 from gold g join baseline b on g.merchant_id = b.merchant_id
 where g.failure_rate_pct > b.anomaly_threshold_pct
-order by g.failure_rate_pct desc, g.merchant_id, g.hour"""
+order by g.failure_rate_pct desc, g.merchant_id nulls first, g.hour nulls first"""
     found["layers_flagged_hours"] = found["payments_flagged_hours"]
     found["payments_top_failure_hours"] = f"""with {gold_parts('payments')}
-select * from gold order by failure_rate_pct desc, merchant_id, hour limit 5"""
+select * from gold order by failure_rate_pct desc, merchant_id nulls first, hour nulls first limit 5"""
     found["system_logs_top_error_hours"] = f"""with {gold_parts('system_logs')}
-select * from gold order by error_rate_pct desc, service, hour limit 5"""
+select * from gold order by error_rate_pct desc, service nulls first, hour nulls first limit 5"""
     payments = raw("payments")
     found["report_total_events"] = f"with {payments} select count(*) as total_events from raw"
     found["report_failures_by_merchant"] = f"""with {payments}
 select merchant_id, count(*) as failures from raw where status = 'failed'
-group by merchant_id order by failures desc, merchant_id"""
+group by merchant_id order by failures desc, merchant_id nulls first"""
     found["report_volume_by_currency"] = f"""with {payments}
 select currency, count(*) as transactions, {round2("sum(amount)")} as total_volume,
   {round2("avg(amount)")} as avg_amount
 from raw where status = 'completed' group by currency order by total_volume desc"""
     found["report_status_breakdown"] = f"""with {payments}
-select merchant_id, status, count(*) as "count" from raw group by merchant_id, status"""
-    found["unified_timeline"] = TIMELINE
-    found["unified_log_timeline"] = TIMELINE
+select merchant_id, status, count(*) as "count" from raw group by merchant_id, status
+order by merchant_id nulls first, status nulls first"""
+    found["unified_timeline"] = timeline_of(raw, "raw")
+    found["unified_log_timeline"] = timeline_of(parsed, "parsed")
     found["payments_trace"] = f"""with {payments}
 select kafka_timestamp, '← partition=' || cast("partition" as varchar)
   || ' offset=' || cast("offset" as varchar) || ' | ' || coalesce(merchant_id, 'None')
@@ -323,6 +374,27 @@ where g.failure_rate_pct > b.anomaly_threshold_pct
 select merchant_id, {round2("quantile_cont(failure_rate_pct, 0.95)")} as anomaly_threshold_pct
 from gold group by merchant_id"""
     found["service_escalations"] = f"with {silver_parts('system_logs')} {ESCALATIONS}"
+    found["service_escalations_in_chunks"] = found["service_escalations"]
+    found["entity_sequence_in_runs"] = found["entity_sequence_user_events"]
+    found["system_logs_daily"] = DAILY_LOGS
+    found["payments_stored_flagged_hours"] = found["payments_flagged_hours_with_history"]
+    found["payments_by_currency_versus_last_week"] = f"""{BY_CURRENCY}
+select g.merchant_id, g.currency, g.hour, g.failure_rate_pct,
+  e.failure_rate_pct as last_week_pct,
+  round(g.failure_rate_pct - e.failure_rate_pct, 2) as change_pct
+from gold g left join gold e on e.merchant_id = g.merchant_id and e.currency = g.currency
+  and e.hour = g.hour - interval 7 days"""
+    found["payments_by_currency_flagged_hours"] = f"""{BY_CURRENCY},
+base as (select merchant_id, currency, {round2("avg(failure_rate_pct)")} as mean,
+    {round2("stddev_samp(failure_rate_pct)")} as spread from gold group by 1, 2)
+select g.merchant_id, g.currency, g.hour, g.failure_rate_pct,
+  round(mean + 2 * spread, 2) as anomaly_threshold_pct, g.total_transactions
+from gold g join base b on g.merchant_id = b.merchant_id and g.currency = b.currency
+where g.failure_rate_pct > round(mean + 2 * spread, 2)"""
+    found["merchant_dated_keys"] = f"""with {payments}
+select coalesce(merchant_id, 'unknown') || '_' || coalesce(strftime(kafka_timestamp, '%Y-%m-%d'),
+  'unknown') as dated_key, count(*) as events from raw group by 1"""
+    found |= shop.all_oracles()
     found["user_funnel"] = f"with {silver_parts('user_events')} {FUNNEL}"
     found["abandoned_carts"] = f"with {silver_parts('user_events')} {ABANDONED}"
     found["incident_hours"] = INCIDENTS
@@ -332,8 +404,8 @@ level as (select avg(events) as mean from volumes)
 select user_id, events, round(mean, 2) as mean_events, events > 10 * mean as hot
 from volumes cross join level"""
     found["payments_half_minutes"] = f"with {silver_parts('payments')} {HALF_MINUTES}"
-    found["retained_payments"] = f"""{bronze("payments")}
+    found["retained_payments"] = f"""with {raw("payments")} select * from raw
 where kafka_timestamp >= timestamp '2024-01-31 00:00:00' - interval 7 days"""
-    found["retained_system_logs"] = f"""{bronze("system_logs")}
+    found["retained_system_logs"] = f"""with {raw("system_logs")} select * from raw
 where kafka_timestamp >= timestamp '2024-01-31 00:00:00' - interval 24 hours"""
     return found

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import TimestampType
 
-from checks.mapping import bronze_rows
+from checks import shop
+from checks.mapping import bronze_rows, with_bad_records
 from tidemark.functions.rounding import round2
 from tidemark.operators import report
 from tidemark.operators.baseline import (
@@ -22,15 +24,15 @@ from tidemark.operators.envelope import decode, encode, log_records
 from tidemark.operators.hourly import highest, hourly
 from tidemark.operators.incidents import incidents
 from tidemark.operators.journeys import abandoned_carts, funnel
-from tidemark.operators.keys import key_load
+from tidemark.operators.keys import dated_key, key_load
 from tidemark.operators.patterns import escalations
 from tidemark.operators.quality import quality
 from tidemark.operators.retention import retained
-from tidemark.operators.sequence import entity_sequence
+from tidemark.operators.sequence import CHUNK_OFFSETS, entity_sequence
 from tidemark.operators.timeline import payment_trace, timeline, timeline_of_log
 from tidemark.operators.trends import coarser, versus_last_week
 from tidemark.plans.layers import Lakehouse
-from tidemark.plans.streams import PAYMENTS, STREAMS, SYSTEM_LOGS, USER_EVENTS, StreamSpec
+from tidemark.plans.streams import HOUR, PAYMENTS, STREAMS, SYSTEM_LOGS, USER_EVENTS, StreamSpec
 from tidemark.session import scratch_path
 from tidemark.sources.tables import replace_table
 from tidemark.sources.topics import append_log_files, stream_log_files
@@ -56,7 +58,7 @@ def rows_of(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
 
 
 def log_of(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
-    return log_records(rows_of(spark, sf_dir, spec), spec)
+    return with_bad_records(log_records(rows_of(spark, sf_dir, spec), spec), spec.name)
 
 
 def bronze(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
@@ -124,9 +126,11 @@ def payments_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(payment_trace(rows_of(spark, sf_dir, PAYMENTS)))
 
 
-def sequence(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
+def sequence(
+    spark: SparkSession, sf_dir: str, spec: StreamSpec, chunk_offsets: int = CHUNK_OFFSETS
+) -> DataFrame:
     keyed = rows_of(spark, sf_dir, spec).select(spec.key, "partition", "offset")
-    return entity_sequence(keyed, spec.key)
+    return entity_sequence(keyed, spec.key, chunk_offsets)
 
 
 def encode_roundtrip(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
@@ -207,14 +211,51 @@ def percentile_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return percentile_baseline(gold_of(spark, sf_dir, PAYMENTS), PAYMENTS)
 
 
-def service_escalations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = silver_of(spark, sf_dir, SYSTEM_LOGS)
+def stored_silver(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
+    """Silver as a table, for operators that read it more than once."""
+    lake = Lakehouse(spark, scratch_path(spark, "silver"))
+    return lake.store(silver_of(spark, sf_dir, spec), "silver", spec.name)
+
+
+def service_escalations(
+    spark: SparkSession, sf_dir: str, chunk_rows: int = CHUNK_OFFSETS
+) -> DataFrame:
+    logs = stored_silver(spark, sf_dir, SYSTEM_LOGS)
     ordered = logs.select("event_id", "service", "level", "partition", "offset")
-    return escalations(ordered)
+    return escalations(ordered, chunk_rows)
 
 
 def user_journeys(spark: SparkSession, sf_dir: str, summary) -> DataFrame:
-    return zoneless(summary(silver_of(spark, sf_dir, USER_EVENTS)))
+    return zoneless(summary(stored_silver(spark, sf_dir, USER_EVENTS)))
+
+
+def system_logs_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zoneless(hourly(silver_of(spark, sf_dir, SYSTEM_LOGS), SYSTEM_LOGS, "day"))
+
+
+# Payments with two columns that name the entity.
+BY_CURRENCY = replace(
+    PAYMENTS, name="payments_by_currency", grain=("merchant_id", "currency", HOUR)
+)
+
+
+def by_currency(spark: SparkSession, sf_dir: str, question) -> DataFrame:
+    silver = silver_of(spark, sf_dir, PAYMENTS)
+    return zoneless(question(hourly(silver, BY_CURRENCY), BY_CURRENCY))
+
+
+def stored_flagged_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged hours as a baseline run stores them, with a week of history asked for."""
+    lake = Lakehouse(spark, scratch_path(spark, "baseline"))
+    replace_table(gold_of(spark, sf_dir, PAYMENTS), lake.gold_path(PAYMENTS))
+    _, flagged = lake.refresh_baseline(PAYMENTS, min_hours=WEEK_OF_HOURS)
+    return zoneless(flagged)
+
+
+def dated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rows_of(spark, sf_dir, PAYMENTS)
+    keys = rows.select(dated_key(PAYMENTS, "kafka_timestamp").alias("dated_key"))
+    return keys.groupBy("dated_key").agg(F.count("*").alias("events"))
 
 
 def incident_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,6 +315,18 @@ def all_queries() -> dict[str, Query]:
     found["payments_flagged_hours_with_history"] = flagged_with_history
     found["payments_percentile_thresholds"] = percentile_thresholds
     found["service_escalations"] = service_escalations
+    found["service_escalations_in_chunks"] = partial(service_escalations, chunk_rows=100)
+    found["entity_sequence_in_runs"] = partial(sequence, spec=USER_EVENTS, chunk_offsets=150)
+    found["system_logs_daily"] = system_logs_daily
+    found["payments_by_currency_versus_last_week"] = partial(
+        by_currency, question=versus_last_week
+    )
+    found["payments_by_currency_flagged_hours"] = partial(
+        by_currency, question=flagged_hours_in_one_pass
+    )
+    found["payments_stored_flagged_hours"] = stored_flagged_hours
+    found["merchant_dated_keys"] = dated_keys
+    found |= shop.all_queries()
     found["user_funnel"] = partial(user_journeys, summary=funnel)
     found["abandoned_carts"] = partial(user_journeys, summary=abandoned_carts)
     found["incident_hours"] = incident_hours
