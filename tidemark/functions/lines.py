@@ -18,24 +18,35 @@ LEVEL_MARKS = {"INFO": "🟢", "WARN": "🟡", "ERROR": "🔴"}
 UNKNOWN_LEVEL_MARK = "⚪"
 SEPARATOR = " | "
 ABSENT = "None"
+PARTITION_LABEL = "← partition="
+OFFSET_LABEL = " offset="
+LATENCY_LABEL = "latency="
 
 Field = Callable[[str], Column]
 
 
 def number_text(value: Column) -> Column:
-    """Text of a double in positional notation from 1e-4 up to 1e16.
+    """Text of a double: positional from 1e-4 up to 1e16, else scientific (``5e-05``).
 
     A cast to string is positional only from 1e-3 up to 1e7; around that range
     the digits come from a decimal, less its trailing zeros. Beyond 1e-4 .. 1e16
-    the text stays scientific.
+    the cast's exponent gets a sign and two digits at least.
     """
     size = F.abs(value)
+    parts = F.split(F.regexp_replace(value.cast("string"), "[.]0E", "E"), "E")
+    power = parts[1].cast("int")
+    exponent = F.concat(
+        F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
+        F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")),
+    )
+    special = F.when(F.isnan(value), F.lit("nan")).when(value > 0, F.lit("inf")).otherwise(F.lit("-inf"))
     digits = F.regexp_replace(value.try_cast("decimal(38,20)").cast("string"), "0+$", "")
     positional = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
     return (
         F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), value.cast("string"))
         .when((size >= 1e-4) & (size < 1e16), positional)
-        .otherwise(value.cast("string"))
+        .when(size < float("inf"), F.concat(parts[0], exponent))
+        .when(value.isNotNull(), special)
     )
 
 
@@ -67,7 +78,7 @@ def system_log_line(field: Field) -> Column:
     mark = F.lit(UNKNOWN_LEVEL_MARK)
     for known, symbol in LEVEL_MARKS.items():
         mark = F.when(level == known, F.lit(symbol)).otherwise(mark)
-    latency = F.concat(F.lit("latency="), _shown(number_text(field("latency_ms"))), F.lit("ms"))
+    latency = F.concat(F.lit(LATENCY_LABEL), _shown(number_text(field("latency_ms"))), F.lit("ms"))
     head = F.concat(mark, F.lit(SYSTEM_LABEL))
     return _joined(head, field("service"), level, field("message"), latency)
 
@@ -75,9 +86,9 @@ def system_log_line(field: Field) -> Column:
 def payment_trace_line(field: Field) -> Column:
     """A payment with its place in the log, for watching a topic."""
     place = F.concat(
-        F.lit("← partition="),
+        F.lit(PARTITION_LABEL),
         _shown(field("partition").cast("string")),
-        F.lit(" offset="),
+        F.lit(OFFSET_LABEL),
         _shown(field("offset").cast("string")),
     )
     return _joined(place, field("merchant_id"), _money(field), field("status"))

@@ -12,8 +12,3 @@ def parse_event_time(column: str) -> Column:
     session time zone (UTC in sessions from :mod:`tidemark.session`).
     """
     return F.try_to_timestamp(F.col(column))
-
-
-def hour_of(column: str) -> Column:
-    """Start of the hour that contains the timestamp."""
-    return F.date_trunc("hour", F.col(column))

@@ -24,10 +24,10 @@ def _with_threshold(rows: DataFrame, spec: StreamSpec, min_hours: int) -> DataFr
     return rows.withColumn(THRESHOLD, F.when(F.col("_hours") >= min_hours, threshold))
 
 
-def _over_threshold(rows: DataFrame, spec: StreamSpec) -> DataFrame:
+def _over_threshold(rows: DataFrame, spec: StreamSpec, time: str) -> DataFrame:
     total = next(iter(spec.measures))
     return rows.where(F.col(spec.rate) > F.col(THRESHOLD)).select(
-        spec.entity, HOUR, spec.rate, THRESHOLD, total
+        *spec.entities, time, spec.rate, THRESHOLD, total
     )
 
 
@@ -39,7 +39,7 @@ def baseline(gold: DataFrame, spec: StreamSpec, min_hours: int = 1) -> DataFrame
     ``min_hours`` asks for more history before an entity gets one.
     """
     mean, spread = _columns(spec)
-    figures = gold.groupBy(spec.entity).agg(
+    figures = gold.groupBy(*spec.entities).agg(
         F.expr(round2(f"avg({spec.rate})")).alias(mean),
         F.expr(round2(f"stddev_samp({spec.rate})")).alias(spread),
         F.count("*").alias("_hours"),
@@ -47,37 +47,46 @@ def baseline(gold: DataFrame, spec: StreamSpec, min_hours: int = 1) -> DataFrame
     return _with_threshold(figures, spec, min_hours).drop("_hours")
 
 
-def percentile_baseline(gold: DataFrame, spec: StreamSpec, share: float = 0.95) -> DataFrame:
+def percentile_baseline(
+    gold: DataFrame, spec: StreamSpec, share: float = 0.95, min_hours: int = 1
+) -> DataFrame:
     """Thresholds for rates that are far from normal: a percentile of the history.
 
     The percentile is exact. Its state is one counter per distinct rate, and a rate
     of 0 to 100 with two decimals has at most 10,001 values.
     """
     threshold = F.expr(round2(f"percentile({spec.rate}, {share})"))
-    return gold.groupBy(spec.entity).agg(threshold.alias(THRESHOLD))
+    figures = gold.groupBy(*spec.entities).agg(
+        threshold.alias(THRESHOLD), F.count("*").alias("_hours")
+    )
+    known = F.when(F.col("_hours") >= min_hours, F.col(THRESHOLD))
+    return figures.withColumn(THRESHOLD, known).drop("_hours")
 
 
-def flagged_hours(gold: DataFrame, thresholds: DataFrame, spec: StreamSpec) -> DataFrame:
+def flagged_hours(
+    gold: DataFrame, thresholds: DataFrame, spec: StreamSpec, time: str = HOUR
+) -> DataFrame:
     """Hours whose rate exceeds their entity's threshold, for a stored Gold table.
 
     There is one threshold row per entity. Whether that side is small enough to
     broadcast is left to its measured size; otherwise the join shuffles on the
     entity, of which Gold holds at most one row per hour of history.
     """
-    joined = gold.join(thresholds.select(spec.entity, THRESHOLD), spec.entity)
-    return _over_threshold(joined, spec)
+    joined = gold.join(thresholds.select(*spec.entities, THRESHOLD), spec.entities)
+    return _over_threshold(joined, spec, time)
 
 
 def flagged_hours_in_one_pass(
-    gold: DataFrame, spec: StreamSpec, min_hours: int = 1
+    gold: DataFrame, spec: StreamSpec, min_hours: int = 1, time: str = HOUR
 ) -> DataFrame:
     """The same hours for a Gold frame that is still to be computed.
 
     A join would compute Gold once per side. Here each entity's hours meet in one
     window instead: at most one row per hour of history, whatever its traffic.
+    ``time`` names the time column of Gold over other spans.
     """
     mean, spread = _columns(spec)
-    history = Window.partitionBy(spec.entity)
+    history = Window.partitionBy(*spec.entities)
     seen = gold.withColumns(
         {
             "_mean": F.avg(spec.rate).over(history),
@@ -85,9 +94,9 @@ def flagged_hours_in_one_pass(
             "_hours": F.count("*").over(history),
         }
     ).withColumns({mean: F.expr(round2("_mean")), spread: F.expr(round2("_spread"))})
-    return _over_threshold(_with_threshold(seen, spec, min_hours), spec)
+    return _over_threshold(_with_threshold(seen, spec, min_hours), spec, time)
 
 
-def worst_first(flagged: DataFrame, spec: StreamSpec) -> DataFrame:
+def worst_first(flagged: DataFrame, spec: StreamSpec, time: str = HOUR) -> DataFrame:
     """Flagged hours in report order: highest rate first."""
-    return flagged.orderBy(F.col(spec.rate).desc(), spec.entity, HOUR)
+    return flagged.orderBy(F.col(spec.rate).desc(), *spec.entities, time)

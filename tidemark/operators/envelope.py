@@ -7,7 +7,7 @@ narrow projections and work on batch and streaming frames alike.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.plans.streams import StreamSpec
 
@@ -22,23 +22,24 @@ LOG_POSITION = ["partition", "offset", "kafka_timestamp"]
 UNKNOWN_KEY = "unknown"
 
 
-def encode(events: DataFrame, spec: StreamSpec) -> DataFrame:
-    """Keyed JSON messages (``key``, ``value``, ``topic``), ready for a topic sink."""
+def _message(spec: StreamSpec) -> list[Column]:
     payload = F.to_json(F.struct(*spec.field_names), {"ignoreNullFields": "false"})
-    return events.select(
+    return [
         F.coalesce(F.col(spec.key), F.lit(UNKNOWN_KEY)).cast("binary").alias("key"),
         payload.cast("binary").alias("value"),
         F.lit(spec.topic).alias("topic"),
-    )
+    ]
+
+
+def encode(events: DataFrame, spec: StreamSpec) -> DataFrame:
+    """Keyed JSON messages (``key``, ``value``, ``topic``), ready for a topic sink."""
+    return events.select(*_message(spec))
 
 
 def log_records(bronze: DataFrame, spec: StreamSpec) -> DataFrame:
     """The envelope of Bronze rows, for replaying a Bronze table as a log."""
-    payload = F.to_json(F.struct(*spec.field_names), {"ignoreNullFields": "false"})
     return bronze.select(
-        F.coalesce(F.col(spec.key), F.lit(UNKNOWN_KEY)).cast("binary").alias("key"),
-        payload.cast("binary").alias("value"),
-        F.lit(spec.topic).alias("topic"),
+        *_message(spec),
         "partition",
         "offset",
         F.col("kafka_timestamp").alias("timestamp"),

@@ -4,22 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.times import hour_of
 from tidemark.plans.streams import HOUR, StreamSpec
 
 
-def hourly(silver: DataFrame, spec: StreamSpec) -> DataFrame:
+def hourly(silver: DataFrame, spec: StreamSpec, unit: str = HOUR) -> DataFrame:
     """The stream's measures and rates per entity and hour, in the spec's order.
 
     All measures have constant-size partial states, so each task sends one row per
     (entity, hour) it saw, however many events a hot entity has. Events whose time
-    did not parse form an hour of their own, NULL.
+    did not parse form an hour of their own, NULL. ``unit`` (``day``, ``week``, ...)
+    asks for a longer span, whose column it names.
     """
     grain = [
-        hour_of("event_timestamp").alias(HOUR) if column == HOUR else F.col(column)
+        F.date_trunc(unit, "event_timestamp").alias(unit) if column == HOUR else F.col(column)
         for column in spec.grain
     ]
-    measures = [F.expr(sql).alias(name) for name, sql in spec.measures.items()]
+    measures = [F.expr(measure.sql).alias(name) for name, measure in spec.measures.items()]
     rates = {name: F.expr(sql) for name, sql in spec.rates.items()}
     gold = silver.groupBy(*grain).agg(*measures)
     return gold.withColumns(rates) if rates else gold
@@ -27,4 +27,4 @@ def hourly(silver: DataFrame, spec: StreamSpec) -> DataFrame:
 
 def highest(gold: DataFrame, spec: StreamSpec, n: int = 5) -> DataFrame:
     """The ``n`` entity hours with the highest rate, ties in entity and hour order."""
-    return gold.orderBy(F.col(spec.rate).desc(), spec.entity, HOUR).limit(n)
+    return gold.orderBy(F.col(spec.rate).desc(), *spec.entities, HOUR).limit(n)

@@ -13,16 +13,34 @@ from tidemark.plans.streams import HOUR, PAYMENTS, SYSTEM_LOGS
 SIGNALS = ("failing_merchants", "failing_services", "dropping_devices")
 
 
-def checkout_drops(user_gold: DataFrame) -> DataFrame:
-    """Hours in which a device's checkouts fall short of its mean by two deviations."""
+def with_silent_hours(user_gold: DataFrame, time: str = HOUR) -> DataFrame:
+    """``device, hour, checkouts`` of every device and hour from the first to the last.
+
+    An hour without any event has no Gold row; here it has no checkouts. The hours are a
+    sequence exploded per device, so the grid is as long as Gold would be without gaps.
+    """
+    seen = user_gold.where(F.col(time).isNotNull()).select("device", time, "checkouts")
+    span = seen.agg(F.min(time).alias("first"), F.max(time).alias("last"))
+    hours = F.sequence(
+        span.select("first").scalar(), span.select("last").scalar(), F.expr(f"interval 1 {time}")
+    )
+    grid = seen.select("device").distinct().select("device", F.explode(hours).alias(time))
+    return grid.join(seen, ["device", time], "left").na.fill(0, ["checkouts"])
+
+
+def checkout_drops(user_gold: DataFrame, time: str = HOUR) -> DataFrame:
+    """Hours in which a device's checkouts fall short of its mean by two deviations.
+
+    Silent hours count, both as drops and in the mean.
+    """
     history = Window.partitionBy("device")
-    seen = user_gold.withColumns(
+    seen = with_silent_hours(user_gold, time).withColumns(
         {
             "_mean": F.avg("checkouts").over(history),
             "_spread": F.stddev_samp("checkouts").over(history),
         }
     ).withColumn("low_checkouts", F.expr(f"{round2('_mean')} - {SIGMAS} * {round2('_spread')}"))
-    return seen.where("checkouts < low_checkouts").select("device", HOUR, "checkouts")
+    return seen.where("checkouts < low_checkouts").select("device", time, "checkouts")
 
 
 def incidents(payments_gold: DataFrame, user_gold: DataFrame, logs_gold: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.envelope import UNKNOWN_KEY
 from tidemark.plans.streams import StreamSpec
 
 # Fixed value: a key is hot above this multiple of the mean volume per key.
@@ -29,6 +30,9 @@ def key_load(rows: DataFrame, spec: StreamSpec, factor: float = HOT_FACTOR) -> D
 def dated_key(spec: StreamSpec, time: str) -> Column:
     """The key with its date, which splits a hot key's events by day.
 
-    Order is then kept within a day of a key.
+    Order is then kept within a day of a key, across the partitions of its days. An
+    event without its key or its time goes to the key for unknown ones.
     """
-    return F.concat_ws("_", spec.key, F.date_format(time, "yyyy-MM-dd"))
+    key = F.coalesce(F.col(spec.key), F.lit(UNKNOWN_KEY))
+    day = F.coalesce(F.date_format(time, "yyyy-MM-dd"), F.lit(UNKNOWN_KEY))
+    return F.concat_ws("_", key, day)

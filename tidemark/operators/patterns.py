@@ -21,20 +21,26 @@ def ends_of_pattern(
     Rows follow each other by log position within their entity. The sequence is cut
     into chunks of ``chunk_rows`` rows, and the last rows of a chunk are copied into
     the next one as its context, so that no task sorts more than a chunk and matches
-    across the cut are found all the same.
+    across the cut are found all the same. A pattern does not run from one partition
+    into another, between which the log has no order, and rows without a place in the
+    log belong to none.
     """
     reach = len(pattern) - 1
     if chunk_rows <= reach:
         raise ValueError(f"a chunk of {chunk_rows} rows cannot hold the context of {pattern}")
-    placed = entity_sequence(rows, entity, chunk_rows).withColumn(
-        "_home", F.expr(f"(position - 1) div {int(chunk_rows)}")
+    placed = (
+        entity_sequence(rows, entity, chunk_rows)
+        .where("position is not null")
+        .withColumn("_home", F.expr(f"(position - 1) div {int(chunk_rows)}"))
     )
     is_tail = F.expr(f"(position - 1) % {int(chunk_rows)}") >= chunk_rows - reach
     chunks = F.when(is_tail, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))
     spread = placed.withColumn("_chunk", F.explode(chunks))
     order = Window.partitionBy(entity, "_chunk").orderBy("position")
     behind = {f"_behind_{n}": F.lag(column, n).over(order) for n in range(1, reach + 1)}
-    matched = F.col(column) == pattern[-1]
+    behind["_first_partition"] = F.lag("partition", reach).over(order)
+    # Partitions follow each other, so equal ends mean one partition throughout.
+    matched = (F.col(column) == pattern[-1]) & (F.col("_first_partition") == F.col("partition"))
     for n in range(1, reach + 1):
         matched = matched & (F.col(f"_behind_{n}") == pattern[-1 - n])
     return (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.operators.cleaning import is_usable, is_valid
 from tidemark.plans.streams import StreamSpec
@@ -46,12 +46,14 @@ def quality(bronze: DataFrame, spec: StreamSpec) -> DataFrame:
     return with_drops_and_score(counts)
 
 
-def quality_of_run(bronze: DataFrame, silver: DataFrame, spec: StreamSpec) -> DataFrame:
-    """The same row once Silver is written: its row count replaces the distinct ids.
+def observed(rows: DataFrame, spec: StreamSpec) -> tuple[DataFrame, Observation]:
+    """``rows`` of Bronze, which count their steps while another job reads them."""
+    steps = Observation()
+    return rows.observe(steps, *_step_counts(spec)), steps
 
-    Neither side shuffles data; counting a columnar table reads file footers only.
-    """
-    before = bronze.agg(*_step_counts(spec))
-    after = silver.agg(F.count("*").alias("after_dedup"))
-    # Two one-row aggregates side by side.
-    return with_drops_and_score(before.withColumn("after_dedup", after.scalar()))
+
+def quality_of_run(spark: SparkSession, steps: dict, after_dedup: int) -> DataFrame:
+    """The same row from the counts that a Silver run has observed."""
+    row = (steps["total"], steps["after_nulls"], steps["after_validation"], after_dedup)
+    names = "total bigint, after_nulls bigint, after_validation bigint, after_dedup bigint"
+    return with_drops_and_score(spark.createDataFrame([row], names))

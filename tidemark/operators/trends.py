@@ -14,13 +14,13 @@ def versus_last_week(gold: DataFrame, spec: StreamSpec) -> DataFrame:
     not shift it, and Gold is read once.
     """
     earlier = F.expr(
-        f"last({spec.rate}) over (partition by {spec.entity} order by {HOUR} "
+        f"last({spec.rate}) over (partition by {', '.join(spec.entities)} order by {HOUR} "
         "range between interval 7 days preceding and interval 7 days preceding)"
     )
     # An hour without a time has only itself in its frame.
     compared = gold.withColumn("last_week_pct", F.when(F.col(HOUR).isNotNull(), earlier))
     return compared.select(
-        spec.entity,
+        *spec.entities,
         HOUR,
         spec.rate,
         "last_week_pct",
@@ -31,15 +31,19 @@ def versus_last_week(gold: DataFrame, spec: StreamSpec) -> DataFrame:
 def coarser(gold: DataFrame, spec: StreamSpec, unit: str) -> DataFrame:
     """Gold per entity and ``unit`` ('day', 'week'), from hourly Gold.
 
-    Counts and sums add up; rates are computed anew from them, since a mean of rates
-    would weigh quiet and busy hours alike. Averages and maxima are left out: the
-    rounded hourly figures do not determine them.
+    Every measure merges as it declares; rates are computed anew, since a mean of rates
+    would weigh quiet and busy hours alike. A stream with a measure that hourly figures
+    do not determine is refused: ``hourly(silver, spec, unit)`` gives its longer spans.
     """
+    if spec.unmergeable:
+        raise ValueError(f"{spec.name} by {unit} needs Silver for {', '.join(spec.unmergeable)}")
     grain = [
         F.date_trunc(unit, HOUR).alias(unit) if column == HOUR else F.col(column)
         for column in spec.grain
     ]
-    totals = [F.sum(name).alias(name) for name in spec.additive]
+    totals = [
+        F.expr(f"{measure.merge}({name})").alias(name) for name, measure in spec.measures.items()
+    ]
     rates = {name: F.expr(sql) for name, sql in spec.rates.items()}
     rolled = gold.groupBy(*grain).agg(*totals)
     return rolled.withColumns(rates) if rates else rolled

@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.operators.baseline import baseline, flagged_hours
+from tidemark.operators.baseline import baseline, flagged_hours, percentile_baseline
 from tidemark.operators.cleaning import clean
 from tidemark.operators.envelope import LOG_POSITION_DDL
 from tidemark.operators.hourly import hourly
-from tidemark.operators.quality import quality_of_run
+from tidemark.operators.quality import observed, quality_of_run
 from tidemark.plans.streams import HOUR, StreamSpec
-from tidemark.sources.tables import read_table, replace_partitions, replace_table
+from tidemark.session import size_for
+from tidemark.sources.tables import (
+    read_table,
+    remove_partitions,
+    replace_partitions,
+    replace_table,
+    table_exists,
+)
 
 EVENT_DATE = "event_date"
 
@@ -82,37 +89,58 @@ class Lakehouse:
         return clean(no_bronze, spec).schema
 
     def refresh_silver(self, spec: StreamSpec) -> DataFrame:
-        """Rebuilds Silver from all of Bronze; returns the quality row of the run."""
-        bronze = self.bronze(spec)
-        by_day = _by_day(clean(bronze, spec), "event_timestamp")
+        """Rebuilds Silver from all of Bronze; returns the quality row of the run.
+
+        The counts are taken while the one scan of Bronze runs, so they and Silver come
+        from the same rows. Shuffles are sized for the Bronze table.
+        """
+        size_for(self.spark, self.bronze_path(spec))
+        bronze, steps = observed(self.bronze(spec), spec)
+        written = Observation()
+        by_day = _by_day(clean(bronze, spec), "event_timestamp").observe(
+            written, F.count("*").alias("rows")
+        )
         replace_table(by_day, self.silver_path(spec), self.table_format, [EVENT_DATE])
-        return quality_of_run(bronze, self.silver(spec), spec)
+        return quality_of_run(self.spark, steps.get, written.get["rows"])
 
     def refresh_gold(self, spec: StreamSpec) -> DataFrame:
         """Rebuilds Gold from all of Silver; returns the written table.
 
         Gold is not sorted before the write: order belongs to the queries that show it.
         """
+        size_for(self.spark, self.silver_path(spec))
         by_day = _by_day(hourly(self.silver(spec), spec), HOUR)
         replace_table(by_day, self.gold_path(spec), self.table_format, [EVENT_DATE])
         return self.gold(spec)
 
-    def refresh_gold_days(self, spec: StreamSpec, first_date: str, last_date: str) -> DataFrame:
+    def refresh_gold_days(
+        self, spec: StreamSpec, first_date: str | None, last_date: str | None
+    ) -> DataFrame:
         """Rebuilds Gold for a range of days, from those days of Silver.
 
-        A day that Silver no longer has would keep its old Gold rows; if there is one,
-        all of Gold is rebuilt.
+        An end left out leaves the range open there. Days of the range that Silver no
+        longer has lose their Gold rows, all other days stay as they are. Events without
+        a time belong to no day; their hour is rebuilt by :meth:`refresh_gold` alone.
         """
-        if not self._gold_only_days(spec, first_date, last_date).isEmpty():
-            return self.refresh_gold(spec)
         by_day = _by_day(hourly(self.silver(spec, first_date, last_date), spec), HOUR)
+        if not table_exists(self.spark, self.gold_path(spec)):
+            replace_table(by_day, self.gold_path(spec), self.table_format, [EVENT_DATE])
+            return self.gold(spec)
+        lost = [row[0] for row in self._gold_only_days(spec, first_date, last_date).collect()]
         replace_partitions(by_day, self.gold_path(spec), [EVENT_DATE], self.table_format)
+        remove_partitions(
+            self.spark, self.gold_path(spec), EVENT_DATE, lost, self.table_format
+        )
         return self.gold(spec)
 
-    def _gold_only_days(self, spec: StreamSpec, first_date: str, last_date: str) -> DataFrame:
+    def _gold_only_days(
+        self, spec: StreamSpec, first_date: str | None, last_date: str | None
+    ) -> DataFrame:
+        """Days of the range, no more than it has, that Gold has and Silver has not."""
         silver = self._silver_days(spec, first_date, last_date).select(EVENT_DATE).distinct()
         gold = self._gold_days(spec, first_date, last_date).select(EVENT_DATE).distinct()
-        return gold.join(silver, EVENT_DATE, "left_anti")
+        lost = gold.where(F.col(EVENT_DATE).isNotNull())
+        return lost.join(silver, EVENT_DATE, "left_anti")
 
     def thresholds(self, spec: StreamSpec) -> DataFrame:
         return baseline(self.gold(spec), spec)
@@ -120,6 +148,32 @@ class Lakehouse:
     def flagged(self, spec: StreamSpec) -> DataFrame:
         return flagged_hours(self.gold(spec), self.thresholds(spec), spec)
 
+    def refresh_baseline(
+        self, spec: StreamSpec, min_hours: int = 1, percentile: float | None = None
+    ) -> tuple[DataFrame, DataFrame]:
+        """Stores all thresholds and all flagged hours; returns the written tables.
+
+        ``percentile`` (0 to 1) takes that share of the history as the threshold in place
+        of mean and deviation; ``min_hours`` asks for that much history.
+        """
+        size_for(self.spark, self.gold_path(spec))
+        hours = self.gold(spec)
+        if percentile is None:
+            thresholds = baseline(hours, spec, min_hours)
+        else:
+            thresholds = percentile_baseline(hours, spec, percentile, min_hours)
+        path = self.path("baseline", f"{spec.name}_thresholds")
+        replace_table(thresholds, path, self.table_format)
+        stored = self._read(path, thresholds.schema)
+        flagged = flagged_hours(hours, stored, spec)
+        return stored, self.store(flagged, "baseline", f"{spec.name}_flagged")
+
+    def store(self, rows: DataFrame, layer: str, name: str) -> DataFrame:
+        """Replaces a table that holds the complete ``rows``; returns it."""
+        path = self.path(layer, name)
+        replace_table(rows, path, self.table_format)
+        return self._read(path, rows.schema)
+
 
 def _by_day(rows: DataFrame, time: str) -> DataFrame:
     """Rows with their date, arranged for a write by day.

@@ -16,6 +16,18 @@ from tidemark.functions.rounding import percent, round2
 HOUR = "hour"
 
 
+@dataclass(frozen=True)
+class Measure:
+    """An aggregate of Gold, and the aggregate that merges its values over parts.
+
+    Without ``merge``, values of parts do not determine that of the whole (an average),
+    and a longer span has to be computed from Silver.
+    """
+
+    sql: str
+    merge: str | None = None
+
+
 @dataclass(frozen=True)
 class StreamSpec:
     name: str
@@ -28,10 +40,10 @@ class StreamSpec:
     required: tuple[str, ...]
     # Conditions an event must meet; one that evaluates to NULL is not met.
     rules: tuple[str, ...]
-    # Gold grouping in output order: the entity and ``hour``.
+    # Gold grouping in output order: ``hour`` and the columns that name the entity.
     grain: tuple[str, ...]
-    # Gold aggregates: output column -> SQL aggregate.
-    measures: dict[str, str]
+    # Gold aggregates by output column.
+    measures: dict[str, Measure]
     # Gold ratios over measures: output column -> SQL expression.
     rates: dict[str, str] = field(default_factory=dict)
 
@@ -44,13 +56,14 @@ class StreamSpec:
         return [name for name, _ in self.fields]
 
     @property
-    def entity(self) -> str:
-        return next(column for column in self.grain if column != HOUR)
+    def entities(self) -> list[str]:
+        """The columns that together name an entity."""
+        return [column for column in self.grain if column != HOUR]
 
     @property
-    def additive(self) -> list[str]:
-        """Measures whose hourly values add up to those of a longer span."""
-        return [name for name, sql in self.measures.items() if sql.startswith(("count", "sum("))]
+    def unmergeable(self) -> list[str]:
+        """Measures that a longer span needs Silver for."""
+        return [name for name, measure in self.measures.items() if measure.merge is None]
 
     @property
     def rate(self) -> str:
@@ -77,11 +90,16 @@ def finite(column: str) -> str:
     return f"abs({column}) < double('infinity')"
 
 
-def rows_where(condition: str) -> str:
-    return f"count_if({condition})"
+def rows() -> Measure:
+    return Measure("count(*)", "sum")
+
+
+def rows_where(condition: str) -> Measure:
+    return Measure(f"count_if({condition})", "sum")
 
 
-# Topics, field lists and accepted categories of the three streams.
+# Fixed values from here on: topics, fields, keys, accepted categories and metric names of
+# the three streams.
 PAYMENTS_TOPIC = "raw-payments"
 USER_EVENTS_TOPIC = "raw-user-events"
 SYSTEM_LOGS_TOPIC = "raw-system-logs"
@@ -112,10 +130,10 @@ PAYMENTS = StreamSpec(
     ),
     grain=("merchant_id", HOUR),
     measures={
-        "total_transactions": "count(*)",
+        "total_transactions": rows(),
         "completed_count": rows_where("status = 'completed'"),
         "failed_count": rows_where("status = 'failed'"),
-        "completed_volume": "sum(if(status = 'completed', amount, 0D))",
+        "completed_volume": Measure("sum(if(status = 'completed', amount, 0D))", "sum"),
     },
     rates={"failure_rate_pct": percent("failed_count", "total_transactions")},
 )
@@ -140,7 +158,7 @@ USER_EVENTS = StreamSpec(
     ),
     grain=(HOUR, "device"),
     measures={
-        "total_events": "count(*)",
+        "total_events": rows(),
         "page_views": rows_where("event_type = 'page_view'"),
         "add_to_carts": rows_where("event_type = 'add_to_cart'"),
         "checkouts": rows_where("event_type = 'checkout'"),
@@ -171,13 +189,13 @@ SYSTEM_LOGS = StreamSpec(
     ),
     grain=("service", HOUR),
     measures={
-        "total_logs": "count(*)",
+        "total_logs": rows(),
         "info_count": rows_where("level = 'INFO'"),
         "warn_count": rows_where("level = 'WARN'"),
         "error_count": rows_where("level = 'ERROR'"),
-        "avg_latency_ms": round2("avg(latency_ms)"),
-        "max_latency_ms": round2("max(latency_ms)"),
-        "avg_cpu_percent": round2("avg(cpu_percent)"),
+        "avg_latency_ms": Measure(round2("avg(latency_ms)")),
+        "max_latency_ms": Measure(round2("max(latency_ms)"), "max"),
+        "avg_cpu_percent": Measure(round2("avg(cpu_percent)")),
     },
     rates={"error_rate_pct": percent("error_count", "total_logs")},
 )
