@@ -44,6 +44,30 @@ HEADLINE = [
     "layers_roundtrip_payments",
     "stream_bronze_payments",
     "stream_bronze_payments_resume",
+    "payments_versus_last_week",
+    "payments_by_currency_versus_last_week",
+    "payments_by_currency_flagged_hours",
+    "payments_daily",
+    "user_events_weekly",
+    "system_logs_daily",
+    "payments_flagged_hours_with_history",
+    "payments_stored_flagged_hours",
+    "payments_percentile_thresholds",
+    "service_escalations",
+    "user_funnel",
+    "abandoned_carts",
+    "incident_hours",
+    "user_key_load",
+    "merchant_dated_keys",
+    "payments_half_minutes",
+    "retained_payments",
+    "retained_system_logs",
+    "orders_quality",
+    "customer_order_spikes",
+    "part_refund_spikes",
+    "refund_rates_by_brand",
+    "refunds_of_open_orders",
+    "customers_without_good_order",
 ]
 
 

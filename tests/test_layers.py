@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tests.rows import bronze
+from tests.rows import bronze, gold
 from tidemark.__main__ import main
 from tidemark.operators.cleaning import clean
 from tidemark.operators.envelope import log_records
@@ -13,7 +13,7 @@ from tidemark.operators.quality import quality
 from tidemark.plans.layers import Lakehouse
 from tidemark.plans.streams import PAYMENTS, STREAMS
 from tidemark.session import CHECKPOINT_SETTING, scratch_path
-from tidemark.sources.tables import replace_table
+from tidemark.sources.tables import read_table, replace_table
 from tidemark.sources.topics import append_log_files
 
 CHANGES = [
@@ -65,7 +65,7 @@ def test_refresh_replaces_earlier_content(spark, tmp_path):
 
 
 @pytest.mark.parametrize("feed, line", [("timeline", "COMPLETED"), ("trace", "completed")])
-def test_feed_goes_to_a_table_or_the_console(spark, tmp_path, feed, line):
+def test_whole_feed_goes_to_a_table_or_some_to_the_console(spark, tmp_path, feed, line):
     records = log_records(bronze(spark, PAYMENTS, CHANGES), PAYMENTS)
     append_log_files(records, f"{tmp_path}/log")
     common = [feed, "--root", f"{tmp_path}/lake", "--log", f"{tmp_path}/log", "--once"]
@@ -74,7 +74,16 @@ def test_feed_goes_to_a_table_or_the_console(spark, tmp_path, feed, line):
     assert spark.read.parquet(f"{tmp_path}/feed").where(
         f"line like '%$10.0 USD | {line}'"
     ).count() == len(CHANGES)
-    main(common)  # the JVM prints; ends once the log is shown
+    main([*common, "--preview", "2"])  # the JVM prints; ends once the log is shown
+
+
+def test_feed_is_complete_by_default_and_goes_on(spark, tmp_path):
+    values = bronze(spark, PAYMENTS, [{"user_id": f"user_{n}"} for n in range(1200)])
+    common = ["timeline", "--root", f"{tmp_path}/lake", "--log", f"{tmp_path}/log", "--once"]
+    for count in (1200, 2400):
+        append_log_files(log_records(values, PAYMENTS), f"{tmp_path}/log")
+        main(common)
+        assert spark.read.parquet(f"{tmp_path}/lake/feeds/timeline").count() == count
 
 
 def test_silver_of_days_reads_those_days_only(spark, tmp_path):
@@ -122,6 +131,60 @@ def test_gold_days_drop_a_day_that_silver_lost(spark, tmp_path):
     assert days(lake.refresh_gold_days(PAYMENTS, "2024-05-02", "2024-05-03")) == [(1, 1), (3, 1)]
 
 
+@pytest.mark.parametrize("bounds", [("2024-05-02", None), (None, "2024-05-02"), (None, None)])
+def test_gold_days_of_an_open_range_and_without_gold(spark, tmp_path, bounds):
+    lake = filled(spark, tmp_path, PAYMENTS)
+    lake.refresh_silver(PAYMENTS)
+    expected = [day for day in (1, 2, 3) if "2024-05-02" not in bounds or
+                (day >= 2 if bounds[0] else day <= 2)]
+    found = lake.refresh_gold_days(PAYMENTS, *bounds)
+    assert [day for day, _ in days(found)] == expected
+
+
+def test_one_date_bound_is_honoured(spark, tmp_path):
+    lake = filled(spark, tmp_path, PAYMENTS)
+    lake.refresh_silver(PAYMENTS)
+    main(["gold", "payments", "--root", str(tmp_path), "--first-date", "2024-05-03"])
+    assert [day for day, _ in days(lake.gold(PAYMENTS))] == [3]
+
+
+def test_a_lost_day_leaves_other_days_alone(spark, tmp_path):
+    lake = filled(spark, tmp_path, PAYMENTS)
+    lake.refresh_silver(PAYMENTS)
+    lake.refresh_gold(PAYMENTS)
+    before = {path for path in Path(lake.gold_path(PAYMENTS)).rglob("*.parquet")}
+    changed(spark, lake, [{}, CHANGES[3]])
+    lake.refresh_gold_days(PAYMENTS, "2024-05-02", "2024-05-02")
+    after = {path for path in Path(lake.gold_path(PAYMENTS)).rglob("*.parquet")}
+    assert after < before
+    assert {path.parent.name for path in before - after} == {"event_date=2024-05-02"}
+
+
+def test_a_failed_replacement_keeps_the_table(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for n in (3, 5, 7):
+        replace_table(spark.range(n), path)
+        assert read_table(spark, path).count() == n
+    assert len(list(Path(path).glob("content-*"))) == 2
+    with pytest.raises(Exception, match="broken"):
+        replace_table(spark.range(4).select(F.raise_error(F.lit("broken")).alias("id")), path)
+    assert read_table(spark, path).count() == 7
+
+
+def test_baseline_outputs_are_stored_in_full(spark, tmp_path):
+    lake = Lakehouse(spark, str(tmp_path))
+    rates = {f"m{n:02}": [5.0] * 9 + [90.0] for n in range(30)} | {"new": [1.0, 1.0, 90.0]}
+    replace_table(gold(spark, rates).withColumn("event_date", F.to_date("hour")), lake.gold_path(PAYMENTS))
+    main(["baseline", "payments", "--root", str(tmp_path), "--min-hours", "5"])
+    thresholds = read_table(spark, lake.path("baseline", "payments_thresholds"))
+    flagged = read_table(spark, lake.path("baseline", "payments_flagged"))
+    assert (thresholds.count(), flagged.count()) == (31, 30)
+    assert thresholds.where("merchant_id = 'new'").first()["anomaly_threshold_pct"] is None
+    main(["baseline", "payments", "--root", str(tmp_path), "--percentile", "0.5"])
+    thresholds = read_table(spark, lake.path("baseline", "payments_thresholds"))
+    assert thresholds.where("merchant_id = 'm01'").first()["anomaly_threshold_pct"] == 5.0
+
+
 def test_flagged_hours_of_stored_gold(spark, tmp_path):
     changes = [
         {"timestamp": f"2024-05-01T{hour:02}:10:00Z", "status": "failed" if hour == 9 else "pending"}
@@ -167,5 +230,9 @@ def test_command_line_runs_every_layer(spark, tmp_path, capsys):
     assert "failure_rate_pct" in shown
     assert "anomaly_threshold_pct" in shown
     assert sorted(p.name for p in Path(root).iterdir()) == [
-        "bronze", "checkpoints", "gold", "silver"
+        "baseline", "bronze", "checkpoints", "gold", "report", "silver"
+    ]
+    assert read_table(spark, f"{root}/report/total_events").first()[0] == len(CHANGES)
+    assert sorted(p.name for p in Path(f"{root}/report").iterdir()) == [
+        "failures_by_merchant", "status_breakdown", "total_events", "volume_by_currency"
     ]

@@ -10,7 +10,7 @@ from tests.conftest import SMALL
 from tidemark.operators.baseline import baseline, flagged_hours, flagged_hours_in_one_pass
 from tidemark.operators.cleaning import clean
 from tidemark.operators.hourly import highest, hourly
-from tidemark.operators.quality import quality, quality_of_run
+from tidemark.operators.quality import observed, quality
 from tidemark.operators.sequence import entity_sequence
 from tidemark.plans.streams import PAYMENTS, STREAMS
 
@@ -70,9 +70,22 @@ def test_quality_scans_once(tables):
     assert "Window" not in text
 
 
-def test_quality_of_a_run_shuffles_one_row_per_task(tables):
-    rows = quality_of_run(tables["payments"], tables["payments"], PAYMENTS)
-    assert set(exchanges(rows)) == {"SinglePartition"}
+def test_a_silver_run_counts_in_its_one_scan(spark, tables):
+    rows, _ = observed(tables["payments"], PAYMENTS)
+    text = plan(clean(rows, PAYMENTS))
+    assert text.count("FileScan") == 1 and "CollectMetrics" in text
+    assert exchanges(clean(rows, PAYMENTS)) == ["hashpartitioning"]
+
+
+def test_sequence_moves_rows_once(spark, tables):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(entity_sequence(tables["payments"], "merchant_id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    below = text[text.index("SortMergeJoin") :]
+    assert "Exchange" not in below[: below.index("Window")]
 
 
 def test_flagging_in_one_pass_scans_once(tables):
@@ -95,7 +108,7 @@ def test_flagging_broadcasts_only_below_the_size_limit(spark, tables):
 
 
 def test_no_query_leaves_the_jvm_or_crosses_rows(spark):
-    writers = ("layers_", "stream_")
+    writers = ("layers_", "stream_", "payments_stored_")
     for name, query in all_queries().items():
         if name.startswith(writers):
             continue

@@ -82,19 +82,16 @@ def test_trace_names_the_log_position(spark):
     ]
 
 
-@pytest.mark.parametrize(
-    "number", [0.0, 0.001, 0.0005, 1.0, 12.34, -7.5, 9999999.0, 10000000.0, 123456789.25, 4.5e15]
-)
-def test_number_text_is_positional(spark, number):
-    found = spark.range(1).select(number_text(F.lit(number))).first()[0]
-    assert found == repr(number)
-
-
-def test_number_text_of_extremes(spark):
-    numbers = spark.createDataFrame([(float("nan"),), (float("inf"),), (1e300,), (None,)], "x double")
-    assert [r[0] for r in numbers.select(number_text(F.col("x"))).collect()] == [
-        "NaN", "Infinity", "1.0E300", None
-    ]
+NUMBERS = [
+    0.0, 0.001, 0.0005, 1.0, 12.34, -7.5, 9999999.0, 10000000.0, 123456789.25, 4.5e15,
+    5e-05, -1.25e-7, 1e16, 2.5e16, -3e22, 1e300, 1.5e-300, float("inf"), float("-inf"),
+]
+
+
+def test_number_text(spark):
+    numbers = spark.createDataFrame([(x,) for x in [*NUMBERS, float("nan"), None]], "x double")
+    found = [r[0] for r in numbers.select(number_text(F.col("x"))).collect()]
+    assert found == [*[repr(x) for x in NUMBERS], "nan", None]
 
 
 @pytest.mark.parametrize("chunk_offsets", [1, 3, 7, 1_000_000])
@@ -110,3 +107,14 @@ def test_entity_sequence_equals_brute_force(spark, chunk_offsets):
         expected.append((entity, partition, offset, seen[entity]))
     found = entity_sequence(rows, "entity", chunk_offsets).orderBy("partition", "offset")
     assert [tuple(row) for row in found.collect()] == expected
+
+
+def test_rows_without_a_place_stay_without_a_position(spark):
+    log = [("a", 0, 5), ("a", None, 6), ("a", 1, None), (None, None, None), ("a", 0, 7), ("", 2, 1)]
+    rows = spark.createDataFrame(log, "entity string, partition int, offset bigint")
+    found = sorted((tuple(r) for r in entity_sequence(rows, "entity", 2).collect()), key=repr)
+    assert found == sorted(
+        [("a", 0, 5, 1), ("a", 0, 7, 2), ("a", None, 6, None), ("a", 1, None, None),
+         (None, None, None, None), ("", 2, 1, 1)],
+        key=repr,
+    )

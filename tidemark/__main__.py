@@ -1,7 +1,7 @@
 """Command line runs of the layers.
 
     spark-submit ... -m tidemark bronze payments --root s3a://lake --servers broker:9092
-    python -m tidemark silver payments --root ./data/lakehouse
+    python -m tidemark silver payments --root ./lake
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ def preview(title: str, rows: DataFrame, n: int = 20) -> None:
 def open_log(spark: SparkSession, options: argparse.Namespace, topics: list[str]) -> DataFrame:
     if options.log:
         return stream_log_files(spark, options.log, options.max_bytes)
+    if not options.servers:
+        raise SystemExit("name the brokers with --servers, or files with --log")
     scan = kafka_options(
         options.servers,
         topics,
@@ -58,35 +60,46 @@ def run_silver(lake: Lakehouse, spec: StreamSpec) -> None:
 
 
 def run_gold(lake: Lakehouse, spec: StreamSpec, options: argparse.Namespace) -> None:
-    if options.first_date and options.last_date:
+    if options.first_date or options.last_date:
         gold = lake.refresh_gold_days(spec, options.first_date, options.last_date)
     else:
         gold = lake.refresh_gold(spec)
-    preview("Hourly metrics", gold.orderBy(HOUR, spec.entity))
+    preview("Hourly metrics", gold.orderBy(HOUR, *spec.entities))
     if spec.rates:
         preview(f"Highest {spec.rate}", highest(gold, spec))
 
 
-def run_baseline(lake: Lakehouse, spec: StreamSpec) -> None:
-    preview("Baselines and thresholds", lake.thresholds(spec))
-    preview("Hours above their threshold", worst_first(lake.flagged(spec), spec))
+def run_baseline(lake: Lakehouse, spec: StreamSpec, options: argparse.Namespace) -> None:
+    """Stores thresholds and flagged hours in full, and shows the first of them."""
+    thresholds, flagged = lake.refresh_baseline(spec, options.min_hours, options.percentile)
+    preview("Baselines and thresholds", thresholds)
+    preview("Hours above their threshold", worst_first(flagged, spec))
 
 
 def run_report(lake: Lakehouse) -> None:
+    """Stores every answer in full, and shows the first rows of each."""
     bronze = lake.bronze(PAYMENTS)
-    preview("Payment events stored", report.total_events(bronze))
-    preview("Failed payments by merchant", report.failures_by_merchant(bronze))
-    preview("Completed volume by currency", report.volume_by_currency(bronze))
-    preview("Payments by merchant and status", report.status_breakdown(bronze))
+    questions = {
+        "Payment events stored": report.total_events,
+        "Failed payments by merchant": report.failures_by_merchant,
+        "Completed volume by currency": report.volume_by_currency,
+        "Payments by merchant and status": report.status_breakdown,
+    }
+    for title, question in questions.items():
+        answer = question(bronze)
+        lake.store(answer, "report", question.__name__)
+        preview(title, answer)
 
 
 def run_feed(lake: Lakehouse, name: str, lines: DataFrame, options: argparse.Namespace) -> None:
+    """Appends the whole feed to a table; ``--preview`` shows some of it instead."""
     interval = None if options.once else options.interval
-    if options.out:
-        checkpoint = lake.path("checkpoints", name)
-        feed = start_feed(lines, name, options.out, checkpoint, lake.table_format, interval)
+    if options.preview:
+        feed = show_feed(lines, name, options.preview, interval)
     else:
-        feed = show_feed(lines, name, interval=interval)
+        path = options.out or lake.path("feeds", name)
+        checkpoint = lake.path("checkpoints", name)
+        feed = start_feed(lines, name, path, checkpoint, lake.table_format, interval)
     feed.awaitTermination()
 
 
@@ -107,20 +120,23 @@ def parse_options(arguments: list[str] | None = None) -> argparse.Namespace:
         choices=["bronze", "silver", "gold", "baseline", "report", "timeline", "trace"],
     )
     parser.add_argument("stream", nargs="?", choices=sorted(STREAMS), default=PAYMENTS.name)
-    parser.add_argument("--root", default="./data/lakehouse", help="folder of all tables")
+    parser.add_argument("--root", default="./lake", help="folder of all tables")
     parser.add_argument("--format", default="parquet", help="table format, such as delta")
     parser.add_argument("--packages", help="Maven coordinates of further connectors")
     parser.add_argument("--input-bytes", type=int, help="size of the table to read")
-    parser.add_argument("--servers", default="localhost:9092", help="Kafka bootstrap servers")
+    parser.add_argument("--servers", help="Kafka bootstrap servers, unless there is --log")
     parser.add_argument("--log", help="read log records from parquet files, not from Kafka")
     parser.add_argument("--keep-raw", action="store_true", help="keep undecoded bytes in Bronze")
     parser.add_argument("--interval", default=DEFAULT_INTERVAL, help="time between batches")
     parser.add_argument("--max-offsets", type=int, help="most Kafka records per batch")
     parser.add_argument("--min-partitions", type=int, help="fewest tasks per Kafka batch")
     parser.add_argument("--max-bytes", type=int, help="most bytes of log files per batch")
-    parser.add_argument("--out", help="table for the whole feed, not the console")
-    parser.add_argument("--first-date", help="first day of Gold to rebuild, with --last-date")
+    parser.add_argument("--out", help="table of the feed, if not below the root folder")
+    parser.add_argument("--preview", type=int, help="rows of each batch of a feed to show only")
+    parser.add_argument("--first-date", help="first day of Gold to rebuild")
     parser.add_argument("--last-date", help="last day of Gold to rebuild")
+    parser.add_argument("--min-hours", type=int, default=1, help="history that a threshold needs")
+    parser.add_argument("--percentile", type=float, help="threshold: this share of the history")
     parser.add_argument("--once", action="store_true", help="ingest what is there and end")
     return parser.parse_args(arguments)
 
@@ -142,7 +158,7 @@ def main(arguments: list[str] | None = None) -> None:
     elif options.layer == "gold":
         run_gold(lake, spec, options)
     elif options.layer == "baseline":
-        run_baseline(lake, spec)
+        run_baseline(lake, spec, options)
     elif options.layer == "report":
         run_report(lake)
     elif options.layer == "timeline":

@@ -56,12 +56,12 @@ def start_feed(
 
 
 def show_feed(
-    lines: DataFrame, name: str, rows: int = 1000, interval: str | None = None
+    lines: DataFrame, name: str, rows: int, interval: str | None = None
 ) -> StreamingQuery:
-    """Shows a streaming feed on the console, at most ``rows`` of each batch.
+    """A preview of a streaming feed on the console, ``rows`` of each batch.
 
-    The console prints on the driver, hence the bound; the whole feed goes to a table
-    with :func:`start_feed`.
+    The console prints on the driver, hence the bound; the feed itself is the table of
+    :func:`start_feed`.
     """
     writer = (
         lines.writeStream.format("console")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.times import parse_event_time
-from tidemark.operators.cleaning import RECENCY, accepted
+from tidemark.operators.cleaning import accepted, keep_latest
 from tidemark.plans.streams import StreamSpec
 
 DEFAULT_WIDTH = "30 seconds"
@@ -20,35 +20,29 @@ def windowed(
 ) -> DataFrame:
     """The stream's measures and rates per entity and window, valid events only.
 
-    Works on tables and on streams. Copies of an event with times in one window
-    count once, the latest of them. On a stream a window is final once no event may
-    be late for it by less than ``lateness``, and its state is then dropped. Events
+    Works on tables and on streams, and an event counts once, in one window. On a table
+    that is its latest copy, as in Silver, so the windows add up to Silver's rows with a
+    time. A stream cannot wait for a later copy: it counts the copy that arrives first
+    and drops those that follow within ``lateness``. A window of a stream is final once
+    no event may be late for it by less than that, and its state is then dropped. Events
     without a readable time belong to no window.
-
-    Copies are merged by an aggregate, which combines them within each task before
-    the exchange; a streaming deduplication would send every copy of a hot id to
-    one task.
     """
-    fields = [name for name in spec.field_names if name not in ("event_id", "timestamp")]
-    timed = (
-        accepted(bronze, spec)
-        .withColumn("event_timestamp", parse_event_time("timestamp"))
-        .where(F.col("event_timestamp").isNotNull())
-        .withWatermark("event_timestamp", lateness)
-    )
-    latest = F.max(F.struct(*RECENCY, *fields)).alias("_latest")
-    unique = (
-        timed.groupBy("event_id", F.window("event_timestamp", width).alias("_window"))
-        .agg(latest)
-        .select("_window", *[F.col(f"_latest.{name}").alias(name) for name in fields])
-    )
-    measures = [F.expr(sql).alias(name) for name, sql in spec.measures.items()]
+    timed = accepted(bronze, spec).withColumn("event_timestamp", parse_event_time("timestamp"))
+    if bronze.isStreaming:
+        unique = (
+            timed.where(F.col("event_timestamp").isNotNull())
+            .withWatermark("event_timestamp", lateness)
+            .dropDuplicatesWithinWatermark(["event_id"])
+        )
+    else:
+        unique = keep_latest(timed).where(F.col("event_timestamp").isNotNull())
+    measures = [F.expr(measure.sql).alias(name) for name, measure in spec.measures.items()]
     rates = [F.expr(sql).alias(name) for name, sql in spec.rates.items()]
     return (
-        unique.groupBy(spec.entity, "_window")
+        unique.groupBy(*spec.entities, F.window("event_timestamp", width).alias("_window"))
         .agg(*measures)
         .select(
-            spec.entity,
+            *spec.entities,
             F.col("_window.start").alias("window_start"),
             F.col("_window.end").alias("window_end"),
             *spec.measures,
