@@ -2,48 +2,79 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tests.llm.rows import AWKWARD, awkward, clashing, collected, documents
 from tidemark.llm import sentence_spans as spans
+from tidemark.llm.text import Powers
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+POWERS = Powers()
+HASHES = {}
 
 
 def lowered(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
 
 
-def split(text):
+def word_hash(word):
+    if word not in HASHES:
+        data = np.frombuffer(word.encode(), np.uint8)
+        at = np.array([0]), np.array([len(data)])
+        HASHES[word] = int(POWERS.spans(POWERS.prefix(data), *at)[0]) | 1
+    return HASHES[word]
+
+
+def split(text, longest):
     """Start of each sentence and its words."""
-    found, last = [], None
-    for match in WORD.finditer(text):
-        if last is None or last[0][-1] in ".!?" or "\n" in text[last.end() : match.start()]:
+    matches = list(WORD.finditer(text))
+    words = [lowered(m[0]) for m in matches]
+    ends = [
+        words[k][-1] in ".!?"
+        or k + 1 == len(words)
+        or "\n" in text[matches[k].end() : matches[k + 1].start()]
+        for k in range(len(words))
+    ]
+    rank = [0 if end else word_hash(word) for word, end in zip(words, ends)]
+    for k in range(len(words) - longest + 1):
+        least = min(rank[k : k + longest])
+        for j in range(k, k + longest):
+            ends[j] |= rank[j] == least
+    found, new = [], True
+    for match, word, end in zip(matches, words, ends):
+        if new:
             found.append((match.start(), []))
-        found[-1][1].append(lowered(match[0]))
-        last = match
+        found[-1][1].append(word)
+        new = end
     return found
 
 
-def brute(rows, span, min_words):
+def brute(rows, min_words=spans.MIN_WORDS, longest=spans.LONGEST):
     first, own = {}, []
     for i, text in rows:
-        parts = split(text or "")
-        width = min(span, len(parts))
+        parts = split(text or "", longest)
+        places = []
+        for k in range(len(parts)):
+            for e in range(k + 1, len(parts) + 1):
+                if sum(len(words) for _, words in parts[k:e]) >= min_words:
+                    places.append((k, e))
+                    break
+        if places and places[-1][1] < len(parts):
+            places.append((places[-1][0], len(parts)))
         runs = []
-        for k in range(len(parts) - width + 1 if parts else 0):
-            words = tuple(w for _, part in parts[k : k + width] for w in part)
-            if len(words) >= min_words:
-                runs.append((k, words))
-                owner = spans.LAST if i is None else i
-                first[words] = min(first.get(words, owner), owner)
-        own.append((parts, width, runs))
+        for k, e in places:
+            words = tuple(w for _, part in parts[k:e] for w in part)
+            runs.append((k, e, words))
+            owner = spans.LAST if i is None else i
+            first[words] = min(first.get(words, owner), owner)
+        own.append((parts, runs))
     out = []
-    for (i, text), (parts, width, runs) in zip(rows, own):
+    for (i, text), (parts, runs) in zip(rows, own):
         gone, seen = set(), set()
-        for k, words in runs:
+        for k, e, words in runs:
             if words in seen or first[words] < (spans.LAST if i is None else i):
-                gone |= set(range(k, k + width))
+                gone |= set(range(k, e))
             seen.add(words)
         edges = [start for start, _ in parts] + [len(text or "")]
         kept = (text or "")[: edges[0]]
@@ -53,22 +84,37 @@ def brute(rows, span, min_words):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize(("span", "min_words"), [(2, 10), (3, 1), (1, 4)])
-def test_equals_brute_force(spark, span, min_words):
-    draw = random.Random(span)
-    stock = [" ".join(draw.choices("abcdefgh", k=draw.randrange(1, 9))) + draw.choice([".", "!", "", "?"])
+@pytest.mark.parametrize(("min_words", "longest"), [(18, 16), (5, 4), (1, 2), (9, 1)])
+def test_equals_brute_force(spark, min_words, longest):
+    draw = random.Random(min_words)
+    stock = [" ".join(draw.choices("abcdefgh", k=draw.randrange(1, 25))) + draw.choice([".", "!", "", "?"])
              for _ in range(25)]
     rows = [(i, draw.choice([" ", "\n", "  "]).join(draw.choices(stock, k=draw.randrange(0, 14))))
             for i in range(120)]
     rows += [(None, rows[3][1]), (None, rows[4][1] + " More."), (7, rows[7][1]), (7, rows[9][1])]
-    found = spans.digests(documents(spark, rows), span=span, min_words=min_words)
-    assert collected(found) == brute(rows, span, min_words)
+    found = spans.digests(documents(spark, rows), min_words=min_words, longest=longest)
+    assert collected(found) == brute(rows, min_words, longest)
+
+
+def test_passages_spliced_into_sentences_are_found(spark):
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choices("etaoinshr", k=draw.randrange(2, 9)))
+    prose = lambda n: " ".join(word() + draw.choice(["", "", "", "", "", ".", ","]) for _ in range(n))
+    rows, passages = [], [prose(50) for _ in range(30)]
+    for i, passage in enumerate(passages):
+        rows += [(100 + i, f"{prose(20)} {passage} {prose(20)}") for _ in range(1)]
+        rows += [(200 + i, f"{prose(7)} {passage} {prose(3)}")]
+    rows += [(300 + i, prose(90)) for i in range(30)]
+    found = {row["doc_id"]: row["n_removed"] for row in spans.digests(documents(spark, rows)).collect()}
+    assert all((n > 0) == (200 <= i < 300) for i, n in found.items())
 
 
 def test_awkward_rows(spark):
-    expected = brute(AWKWARD, spans.SPAN, spans.MIN_WORDS)
-    assert collected(spans.digests(awkward(spark))) == expected
-    assert collected(spans.digests(clashing(spark))) == expected
+    short = [(i, t) for i, t in AWKWARD if len(t or "") < 9000]
+    assert collected(spans.digests(documents(spark, short))) == brute(short)
+    found = collected(spans.digests(awkward(spark)))
+    assert found == collected(spans.digests(clashing(spark)))
+    assert {i: n for i, _, n, *_ in found}[9] > 0
     assert spans.digests(documents(spark, [])).count() == 0
 
 

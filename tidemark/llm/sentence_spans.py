@@ -1,12 +1,17 @@
 """Substring deduplication by sliding spans of sentences.
 
-Every run of ``SPAN`` consecutive sentences is hashed. One aggregate, combined in each
-task before it moves, gives the first document of each run; a join with the repeated runs
-alone tells which runs are not first, and adaptive execution splits a run that fills a
-large part of the join. Sentences covered by a run that is not first are removed.
-
-Sentences end with a word ending in ``. ! ?`` or at a line end. They are compared by their
-words, lower-cased in A-Z, so white space and line breaks inside do not matter.
+Every run of consecutive sentences with at least ``MIN_WORDS`` words is hashed. One
+aggregate, combined in each task before it moves, gives the first document of each run; a
+join with the repeated runs alone tells which runs are not first, and adaptive execution
+splits a run that fills a large part of the join. Sentences covered by a run that is not
+first are removed.
+
+Sentences end with a word ending in ``. ! ?`` or at a line end. Passages are also spliced
+into the middle of other sentences, so a sentence has at most ``LONGEST`` words: where that
+many words go by without an end, the word with the least hash among them is one. These ends
+depend on the words around them alone, so they are the same in every copy, and a passage
+of ``2 * LONGEST + MIN_WORDS`` words always holds a whole run. Sentences are compared by
+their words, lower-cased in A-Z, so white space and line breaks inside do not matter.
 """
 
 from __future__ import annotations
@@ -21,9 +26,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.storage import stored
 from tidemark.llm.text import LOWER, Powers, mixed, pieces, words
 
-SPAN = 2
-#: Shorter runs of sentences are common phrases rather than copies.
-MIN_WORDS = 10
+MIN_WORDS = 18
+LONGEST = 16
 
 ENDS_SENTENCE = np.zeros(256, bool)
 ENDS_SENTENCE[list(b".!?")] = True
@@ -32,61 +36,89 @@ ENDS_SENTENCE[list(b".!?")] = True
 LAST = (1 << 63) - 1
 
 
-def sentences(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray):
-    """Number of the first word of each sentence."""
-    if not len(starts):
-        return np.zeros(0, np.int64)
-    breaks = np.concatenate([[0], np.cumsum(data == 10)])
-    new = np.ones(len(starts), bool)
-    new[1:] = (
-        ENDS_SENTENCE[data[ends[:-1] - 1]]
-        | (breaks[starts[1:]] > breaks[ends[:-1]])
-        | (rows[1:] != rows[:-1])
-    )
-    return np.flatnonzero(new)
-
-
-def runs(data: np.ndarray, offsets: np.ndarray, powers: Powers, span: int, min_words: int):
-    """Row, number of the first sentence and two hashes of every run; and whether an
-    earlier run of the row has the same hashes."""
-    lowered = LOWER[data]
-    starts, ends, rows = words(lowered, offsets)
-    first = sentences(lowered, starts, ends, rows)
-    own = powers.spans(powers.prefix(lowered), starts, ends)
-    row = rows[first]
-    total = np.bincount(row, minlength=len(offsets) - 1)
-    before = np.cumsum(total) - total
-    number = np.arange(len(first)) - before[row]
-    length = np.minimum(span, total[row])
-    begins = np.flatnonzero(number + length <= total[row])
-    begin = first[begins]
-    end = np.append(first, len(starts))[begins + length[begins]]
-    long = end - begin >= min_words
-    begins, begin, end = begins[long], begin[long], end[long]
-    powers.reach(len(own) + 1)
+def sliding(values: np.ndarray, width: int, best) -> np.ndarray:
+    """``best`` (minimum or maximum) of all runs of ``width`` values."""
+    size = 1
+    while size * 2 <= width:
+        values = best(values[:-size], values[size:])
+        size *= 2
+    rest = width - size
+    return best(values[:-rest], values[rest:]) if rest else values
+
+
+class Sentences:
+    """Words of a piece, their hashes, and the first word of each sentence."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, powers: Powers, longest: int) -> None:
+        lowered = LOWER[data]
+        self.starts, self.ends, self.rows = words(lowered, offsets)
+        self.hashes = powers.spans(powers.prefix(lowered), self.starts, self.ends)
+        n = len(self.starts)
+        ends = np.ones(n, bool)
+        if n:
+            breaks = np.concatenate([[0], np.cumsum(data == 10)])
+            ends[:-1] = (
+                ENDS_SENTENCE[lowered[self.ends[:-1] - 1]]
+                | (breaks[self.starts[1:]] > breaks[self.ends[:-1]])
+                | (self.rows[1:] != self.rows[:-1])
+            )
+        if n >= longest:
+            rank = np.where(ends, np.uint64(0), self.hashes | np.uint64(1))
+            least = sliding(rank, longest, np.minimum)
+            least[self.rows[: n - longest + 1] != self.rows[longest - 1 :]] = 0
+            around = np.zeros(longest - 1, np.uint64)
+            chosen = sliding(np.concatenate([around, least, around]), longest, np.maximum)
+            ends |= (chosen == rank) & (rank > 0)
+        self.first = np.flatnonzero(np.concatenate([[True], ends[:-1]])) if n else np.zeros(0, np.int64)
+        self.row = self.rows[self.first]
+
+
+def runs(data: np.ndarray, offsets: np.ndarray, powers: Powers, min_words: int, longest: int):
+    """Row, first sentence, number of sentences and two hashes of every run; and whether an
+    earlier run of the row has the same hashes.
+
+    A run begins with each sentence and ends with the first one that gives it
+    ``min_words`` words. The last run of a row is there once more with the row's rest.
+    """
+    found = Sentences(data, offsets, powers, longest)
+    n_rows = len(offsets) - 1
+    total = np.bincount(found.row, minlength=n_rows)
+    stop = np.cumsum(total)
+    before = stop - total
+    bounds = np.append(found.first, len(found.starts))
+    begin = np.arange(len(found.first))
+    end = np.searchsorted(bounds, found.first + min_words, "left")
+    fits = end <= stop[found.row]
+    begin, end = begin[fits], end[fits]
+    row = found.row[begin]
+    last = np.flatnonzero(np.append(row[1:] != row[:-1], [True] * bool(len(row))))
+    last = last[end[last] < stop[row[last]]]
+    begin = np.concatenate([begin, begin[last]])
+    end = np.concatenate([end, stop[row[last]]])
+    row = found.row[begin]
+    powers.reach(len(found.hashes) + 1)
     keys = []
     for salt in (np.uint64(3), np.uint64(5)):
-        sums = np.zeros(len(own) + 1, np.uint64)
-        np.cumsum(mixed(own + salt) * powers.up[: len(own)], out=sums[1:])
-        keys.append(powers.spans(sums, begin, end))
-    row = row[begins]
-    order = np.lexsort((begins, keys[1], keys[0], row))
-    again = np.zeros(len(begins), bool)
-    for key in (keys[0], keys[1]):
-        same = (key[order][1:] == key[order][:-1]) & (row[order][1:] == row[order][:-1])
-        again[order[1:]] = same if key is keys[0] else again[order[1:]] & same
-    return row, number[begins], keys[0], keys[1], again
+        sums = np.zeros(len(found.hashes) + 1, np.uint64)
+        np.cumsum(mixed(found.hashes + salt) * powers.up[: len(found.hashes)], out=sums[1:])
+        keys.append(powers.spans(sums, bounds[begin], bounds[end]))
+    order = np.lexsort((begin, keys[1], keys[0], row))
+    again = np.zeros(len(begin), bool)
+    again[order[1:]] = np.logical_and.reduce(
+        [key[order][1:] == key[order][:-1] for key in (row, *keys)]
+    )
+    return row, begin - before[row], end - begin, keys[0], keys[1], again
 
 
-def hashed(documents: DataFrame, span: int, min_words: int) -> DataFrame:
-    """``owner, text_key, place, high, low, again`` of every run of ``owner, text_key, text``."""
+def hashed(documents: DataFrame, min_words: int, longest: int) -> DataFrame:
+    """All runs of ``owner, text_key, text``, with the numbers of their sentences."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
             for piece in pieces(batch.column(2)):
-                row, place, high, low, again = runs(
-                    piece.data, piece.offsets, powers, span, min_words
+                row, place, size, high, low, again = runs(
+                    piece.data, piece.offsets, powers, min_words, longest
                 )
                 at = pa.array(row + piece.first)
                 yield pa.RecordBatch.from_arrays(
@@ -94,21 +126,22 @@ def hashed(documents: DataFrame, span: int, min_words: int) -> DataFrame:
                         batch.column(0).take(at),
                         batch.column(1).take(at),
                         pa.array(place.astype(np.int32)),
+                        pa.array(size.astype(np.int32)),
                         pa.array(high.view(np.int64)),
                         pa.array(low.view(np.int64)),
                         pa.array(again),
                     ],
-                    ["owner", "text_key", "place", "high", "low", "again"],
+                    ["owner", "text_key", "place", "size", "high", "low", "again"],
                 )
 
     return documents.mapInArrow(
-        run, "owner long, text_key long, place int, high long, low long, again boolean"
+        run, "owner long, text_key long, place int, size int, high long, low long, again boolean"
     )
 
 
-def repeats(documents: DataFrame, span: int, min_words: int) -> DataFrame:
-    """``owner, text_key, places``: first sentences of the runs that are not first."""
-    all_runs = stored(hashed(documents, span, min_words), "sentence-runs")
+def repeats(documents: DataFrame, min_words: int, longest: int) -> DataFrame:
+    """``owner, text_key, repeated``: place and size of the runs that are not first."""
+    all_runs = stored(hashed(documents, min_words, longest), "sentence-runs")
     firsts = (
         all_runs.groupBy("high", "low")
         .agg(F.count("*").alias("times"), F.min("owner").alias("first_owner"))
@@ -119,7 +152,7 @@ def repeats(documents: DataFrame, span: int, min_words: int) -> DataFrame:
         all_runs.join(firsts, ["high", "low"])
         .where("again or first_owner < owner")
         .groupBy("owner", "text_key")
-        .agg(F.collect_set("place").alias("places"))
+        .agg(F.collect_set(F.struct("place", "size")).alias("repeated"))
     )
 
 
@@ -131,36 +164,35 @@ def keyed(documents: DataFrame) -> DataFrame:
     )
 
 
-def cleaned(documents: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
+def cleaned(
+    documents: DataFrame, min_words: int = MIN_WORDS, longest: int = LONGEST
+) -> DataFrame:
     """Every document without the sentences of repeated runs.
 
     The first of equal runs is the one in the smallest ``doc_id`` (rows without an id come
-    last), then the earliest in the text; what is judged is the input. A text of fewer than
-    ``span`` sentences is one run. Runs of fewer than ``min_words`` words are no runs. Null
-    counts as empty. Rows with the same id do not repeat each other. Only ``doc_id`` and
-    ``text`` are read.
+    last), then the earliest in the text; what is judged is the input. Texts of fewer than
+    ``min_words`` words have no run and stay whole. Null counts as empty. Rows with the
+    same id do not repeat each other. Only ``doc_id`` and ``text`` are read.
 
     Columns: ``doc_id, n_sentences, n_removed, n_spans`` (runs of removed sentences),
     ``kept_text``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
         for batch in batches:
-            ids, texts, places = batch.columns
+            ids, texts, repeated = batch.columns
             counts, kept_texts = [], []
             for piece in pieces(texts):
-                starts, ends, rows = words(piece.data, piece.offsets)
-                first = sentences(piece.data, starts, ends, rows)
-                begin, row = starts[first], rows[first]
-                bounds = np.searchsorted(row, np.arange(piece.rows + 1), "left")
+                found = Sentences(piece.data, piece.offsets, powers, longest)
+                begin = found.starts[found.first]
+                bounds = np.searchsorted(found.row, np.arange(piece.rows + 1), "left")
                 for i in range(piece.rows):
                     low, high = piece.offsets[i], piece.offsets[i + 1]
                     own = begin[bounds[i] : bounds[i + 1]]
-                    flagged = places[piece.first + i].as_py() or []
                     gone = np.zeros(len(own), bool)
-                    for k in range(span):
-                        at = np.array(flagged, np.int64) + k
-                        gone[at[at < len(own)]] = True
+                    for one in repeated[piece.first + i].as_py() or []:
+                        gone[one["place"] : one["place"] + one["size"]] = True
                     starts_run = gone & ~np.concatenate([[False], gone[:-1]])
                     counts.append((len(own), int(gone.sum()), int(starts_run.sum())))
                     keep = np.ones(high - low, bool)
@@ -175,10 +207,10 @@ def cleaned(documents: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS)
             )
 
     rows = keyed(documents)
-    found = repeats(rows, span, min_words)
+    found = repeats(rows, min_words, longest)
     return (
         rows.join(found, ["owner", "text_key"], "left")
-        .select(F.expr(f"nullif(owner, {LAST})").alias("doc_id"), "text", "places")
+        .select(F.expr(f"nullif(owner, {LAST})").alias("doc_id"), "text", "repeated")
         .mapInArrow(
             run, "doc_id long, n_sentences long, n_removed long, n_spans long, kept_text string"
         )
