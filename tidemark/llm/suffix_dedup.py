@@ -50,6 +50,8 @@ CROWD = 50_000
 LEAST_SHARE, MOST_SHARE = 1e-6, 1 / 4000
 #: Window starts in one run.
 RUN = 255
+#: Ids that share all but these bits have their answers in one file.
+BLOCK_BITS = 9
 
 LAST = (1 << 63) - 1
 RUNS, STRINGS, FOUND = 0, 1, 2
@@ -152,6 +154,14 @@ def row_names(owner: np.ndarray, mark: np.ndarray) -> np.ndarray:
     return mixed(mixed(owner.view(np.uint64)) + mark.astype(np.uint64))
 
 
+def row_buckets(owner: np.ndarray, mark: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of rows: blocks of neighbouring ids lie together, so that a task that reads
+    documents in about the order of their ids looks into few files. Rows without an id are
+    spread by their text."""
+    block = np.where(owner == LAST, mark.astype(np.int64), owner >> BLOCK_BITS)
+    return (mixed(block.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
 def settled(key: np.ndarray, content: np.ndarray, owner: np.ndarray):
     """Order by key, content and owner; and, in this order, the least owner of the content."""
     order = np.lexsort((owner, content, key))
@@ -263,7 +273,7 @@ def sent_runs(texts: DataFrame, frequent: np.ndarray, buckets: int, length: int,
 
 def answers(owner, mark, start, count, to_sort, buckets: int) -> list[tuple]:
     """What is found out about runs of strings, on its way to the bucket of their row."""
-    bucket = (row_names(owner, mark) % np.uint64(buckets)).astype(np.int64)
+    bucket = row_buckets(owner, mark, buckets)
     columns = (owner, mark, start.astype(np.uint32), count.astype(np.uint32), to_sort)
     return [(FOUND, name, payload) for name, payload in by_bucket(bucket, *columns)]
 
@@ -349,9 +359,9 @@ class Answers:
             self.open[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
         return self.open[name]
 
-    def of(self, name: str, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Position in ``rows``, first and second value of all entries about these rows."""
-        bucket = (rows % np.uint64(self.buckets)).astype(np.int64)
+    def of(self, name: str, owner: np.ndarray, mark: np.ndarray):
+        """Position of the row, first and second value of all entries about these rows."""
+        rows, bucket = row_names(owner, mark), row_buckets(owner, mark, self.buckets)
         found = [np.zeros((3, 0), np.int64)]
         for one in np.unique(bucket).tolist():
             table = self.table(f"{name}-{one}")
@@ -393,7 +403,7 @@ def sent_bytes(texts: DataFrame, folder: str, buckets: int, length: int, q: int)
                 sums = powers.prefix(piece.data)
                 mark = text_marks(piece, sums, powers)
                 owner = owners[piece.first : piece.first + piece.rows]
-                row, start, count = reader.of("first-sort", row_names(owner, mark))
+                row, start, count = reader.of("first-sort", owner, mark)
                 if not len(row):
                     continue
                 at = piece.offsets[row] + start
@@ -553,10 +563,9 @@ def removed(documents: DataFrame, length: int, q: int, digest: bool) -> DataFram
             for piece in pieces(batch.column(1)):
                 owner = owners[piece.first : piece.first + piece.rows]
                 mark = text_marks(piece, powers.prefix(piece.data), powers)
-                names = row_names(owner, mark)
                 edge = np.zeros(len(piece.data) + 1, np.int64)
                 for name in ("first-gone", "second-gone"):
-                    row, start, stop = reader.of(name, names)
+                    row, start, stop = reader.of(name, owner, mark)
                     np.add.at(edge, piece.offsets[row] + start, 1)
                     np.add.at(edge, piece.offsets[row] + stop + length - 1, -1)
                 gone = np.cumsum(edge)[:-1] > 0
