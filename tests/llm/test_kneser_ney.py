@@ -87,8 +87,10 @@ def corpus():
     ]
 
 
-@pytest.mark.parametrize("bucket_bytes", [8 << 20, 5000])
-def test_equals_brute_force(spark, monkeypatch, bucket_bytes):
+@pytest.mark.parametrize(("bucket_bytes", "share"), [(8 << 20, 1e-3), (5000, 1e-3), (5000, 1e-9)])
+def test_equals_brute_force(spark, monkeypatch, bucket_bytes, share):
+    monkeypatch.setattr(kneser_ney, "LEAST_SHARE", share)
+    monkeypatch.setattr(kneser_ney, "MOST_SHARE", share)
     monkeypatch.setattr(kneser_ney, "BUCKET_BYTES", bucket_bytes)
     monkeypatch.setattr(kneser_ney, "FLUSH_TOKENS", 2000)
     monkeypatch.setattr(kneser_ney, "SCORE_TOKENS", 700)
@@ -110,5 +112,5 @@ def test_empty_and_unlearnt_tables(spark):
 
 def test_frequent_words_are_bounded_and_found(spark):
     rows = [(i, "the " * 50 + f"rare{i}") for i in range(50)]
-    found = kneser_ney.frequent_words(documents(spark, rows).select("text"))
-    assert 1 <= len(found) < 1 / (kneser_ney.FREQUENT - kneser_ney.NOTED)
+    found = kneser_ney.frequent_words(documents(spark, rows).select("text"), 0.05)
+    assert 1 <= len(found) <= 2 / 0.05

@@ -3,8 +3,8 @@
 Counting takes two shuffles of packed counts. Tasks count their own bigrams and send them
 by context to a bucket; a bucket knows all followers of its contexts, so it has their
 type counts, and sends on what concerns single words. Contexts that are frequent (found
-by a first pass, at most about a thousand of them by construction) are spread over all
-buckets by their followers. Buckets hold a bounded share of the text.
+by a first pass, a list of bounded size) are spread over all buckets by their followers.
+Buckets hold a bounded share of the text.
 
 The model is a set of sorted hash arrays in the shared folder, one file set per bucket,
 which workers map into memory. Scoring sorts the hashes of a batch before it searches, so
@@ -35,8 +35,11 @@ BEGIN, END = np.uint64(1), np.uint64(2)
 #: Bytes of text per bucket, and bigrams counted in a task before they are sent.
 BUCKET_BYTES = 8 << 20
 FLUSH_TOKENS = 3_000_000
-#: Share of the tokens from which a word counts as frequent, and the share noted in a task.
-FREQUENT, NOTED = 1 / 1000, 1 / 4000
+#: A context is frequent from this many tokens on, or from a share of them between these.
+CROWD = 500_000
+LEAST_SHARE, MOST_SHARE = 1e-6, 1 / 1000
+#: About the bytes of a word and the white space after it.
+WORD_BYTES = 6
 #: Tokens scored at once.
 SCORE_TOKENS = 1_500_000
 
@@ -119,24 +122,38 @@ def word_bucket(word: np.ndarray, buckets: int) -> np.ndarray:
     return (mixed(word + np.uint64(11)) % np.uint64(buckets)).astype(np.int64)
 
 
-def frequent_words(texts: DataFrame) -> np.ndarray:
-    """Hashes of the frequent contexts; of no more than 1 / (FREQUENT - NOTED) words."""
+def frequent_words(texts: DataFrame, share: float) -> np.ndarray:
+    """Hashes of the frequent contexts, no more than ``2 / share``.
+
+    A task notes what has half the share of the tokens it holds; no result depends on it.
+    """
+
+    def note(held: list[np.ndarray]) -> pa.RecordBatch:
+        contexts = np.concatenate(held)
+        keys, counts = np.unique(contexts, return_counts=True)
+        noted = counts >= max(2, share / 2 * len(contexts))
+        keys = np.append(keys[noted].view(np.int64), 0)
+        counts = np.append(counts[noted], len(contexts))
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             for _, _, tokens in bigrams(batch.column(0)):
-                keys, counts = np.unique(tokens.context, return_counts=True)
-                noted = counts >= max(2, NOTED * len(tokens.context))
-                keys = np.append(keys[noted].view(np.int64), 0)
-                counts = np.append(counts[noted], len(tokens.context))
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
+                held.append(tokens.context)
+                size += len(tokens.context)
+                if size >= FLUSH_TOKENS:
+                    yield note(held)
+                    held, size = [], 0
+        if held:
+            yield note(held)
 
     noted = stored(
         texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")),
         "kneser-ney-noted",
     )
     total = noted.where("key = 0").first()  # no word hashes to it; carries the token count
-    least = (FREQUENT - NOTED) * (total["n"] if total else 0)
+    least = share / 2 * (total["n"] if total else 0)
     rows = noted.where((F.col("key") != 0) & (F.col("n") >= least)).select("key").collect()
     return np.sort(np.array([row["key"] for row in rows], np.int64).view(np.uint64))
 
@@ -291,10 +308,12 @@ class Model(NamedTuple):
 def train(texts: DataFrame) -> Model:
     """A model of the one text column of ``texts``, which counts every row."""
     spark = texts.sparkSession
-    buckets = max(1, -(-text_bytes(texts.toDF("text")) // BUCKET_BYTES))
+    total = text_bytes(texts.toDF("text"))
+    buckets = max(1, -(-total // BUCKET_BYTES))
+    share = min(MOST_SHARE, max(LEAST_SHARE, CROWD / max(1, total // WORD_BYTES)))
     folder = mounted(scratch_path(spark, "kneser-ney"))
     os.makedirs(folder)
-    frequent = np.union1d(frequent_words(texts), np.array([BEGIN]))
+    frequent = np.union1d(frequent_words(texts, share), np.array([BEGIN]))
     sums = "".join(f", {name} long" for name in SUMS)
     words_ = (
         counted(texts, frequent, buckets)
