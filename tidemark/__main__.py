@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import argparse
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -91,6 +92,11 @@ def run_report(lake: Lakehouse) -> None:
         preview(title, answer)
 
 
+def run_expire(lake: Lakehouse, spec: StreamSpec, options: argparse.Namespace) -> None:
+    days = lake.expire_bronze(spec, options.as_of or datetime.now(UTC).replace(tzinfo=None).isoformat())
+    print(f"{spec.name}: removed {', '.join(days) or 'nothing'}")
+
+
 def run_feed(lake: Lakehouse, name: str, lines: DataFrame, options: argparse.Namespace) -> None:
     """Appends the whole feed to a table; ``--preview`` shows some of it instead."""
     interval = None if options.once else options.interval
@@ -117,7 +123,7 @@ def parse_options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tidemark", description=__doc__.splitlines()[0])
     parser.add_argument(
         "layer",
-        choices=["bronze", "silver", "gold", "baseline", "report", "timeline", "trace"],
+        choices=["bronze", "silver", "gold", "baseline", "report", "timeline", "trace", "expire"],
     )
     parser.add_argument("stream", nargs="?", choices=sorted(STREAMS), default=PAYMENTS.name)
     parser.add_argument("--root", default="./lake", help="folder of all tables")
@@ -137,6 +143,7 @@ def parse_options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--last-date", help="last day of Gold to rebuild")
     parser.add_argument("--min-hours", type=int, default=1, help="history that a threshold needs")
     parser.add_argument("--percentile", type=float, help="threshold: this share of the history")
+    parser.add_argument("--as-of", help="time from which retention counts, if not now (UTC)")
     parser.add_argument("--once", action="store_true", help="ingest what is there and end")
     return parser.parse_args(arguments)
 
@@ -161,6 +168,8 @@ def main(arguments: list[str] | None = None) -> None:
         run_baseline(lake, spec, options)
     elif options.layer == "report":
         run_report(lake)
+    elif options.layer == "expire":
+        run_expire(lake, spec, options)
     elif options.layer == "timeline":
         run_timeline(lake, options)
     else:

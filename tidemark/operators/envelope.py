@@ -18,6 +18,9 @@ ENVELOPE_DDL = (
 LOG_POSITION_DDL = "partition int, offset bigint, kafka_timestamp timestamp"
 LOG_POSITION = ["partition", "offset", "kafka_timestamp"]
 
+#: Day of a record's log time, by which Bronze is stored.
+LOG_DATE = "log_date"
+
 # Fixed value: the key of an event that lacks its entity.
 UNKNOWN_KEY = "unknown"
 

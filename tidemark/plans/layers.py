@@ -9,12 +9,15 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.baseline import baseline, flagged_hours, percentile_baseline
 from tidemark.operators.cleaning import clean
-from tidemark.operators.envelope import LOG_POSITION_DDL
+from tidemark.operators.envelope import LOG_DATE, LOG_POSITION_DDL
 from tidemark.operators.hourly import hourly
 from tidemark.operators.quality import observed, quality_of_run
+from tidemark.operators.retention import first_kept_date
 from tidemark.plans.streams import HOUR, StreamSpec
 from tidemark.session import size_for
 from tidemark.sources.tables import (
+    SELF_DESCRIBING,
+    partition_values,
     read_table,
     remove_partitions,
     replace_partitions,
@@ -50,8 +53,29 @@ class Lakehouse:
 
     def bronze(self, spec: StreamSpec, with_raw: bool = False) -> DataFrame:
         """Bronze rows; ``with_raw`` for tables that keep the undecoded bytes."""
+        return self._bronze_days(spec, with_raw).drop(LOG_DATE)
+
+    def _bronze_days(self, spec: StreamSpec, with_raw: bool = False) -> DataFrame:
         raw = ", raw_value binary" if with_raw else ""
-        return self._read(self.bronze_path(spec), f"{spec.ddl}, {LOG_POSITION_DDL}{raw}")
+        schema = f"{spec.ddl}, {LOG_POSITION_DDL}{raw}, {LOG_DATE} date"
+        return self._read(self.bronze_path(spec), schema)
+
+    def expire_bronze(self, spec: StreamSpec, as_of: str) -> list[str]:
+        """Removes the days of Bronze that the stream's retention no longer covers.
+
+        Whole partitions go, without a scan of the rest; the days removed are returned.
+        """
+        first = first_kept_date(spec.name, as_of)
+        if first is None or not table_exists(self.spark, self.bronze_path(spec)):
+            return []
+        path = self.bronze_path(spec)
+        if self.table_format in SELF_DESCRIBING:
+            old = self._bronze_days(spec).where(F.col(LOG_DATE) < F.lit(first))
+            days = [str(row[0]) for row in old.select(LOG_DATE).distinct().collect()]
+        else:
+            days = [day for day in partition_values(self.spark, path, LOG_DATE) if day < str(first)]
+        remove_partitions(self.spark, path, LOG_DATE, days, self.table_format)
+        return sorted(days)
 
     def silver(
         self, spec: StreamSpec, first_date: str | None = None, last_date: str | None = None

@@ -91,7 +91,8 @@ def read_table(
         return reader.load(path)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(current_path(spark, path))
+    # Days that retention has removed are still named in a streaming sink's own file list.
+    return reader.option("ignoreMissingFiles", "true").load(current_path(spark, path))
 
 
 def replace_table(
@@ -129,6 +130,13 @@ def replace_partitions(
     )
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of ``column`` that the plain table at ``path`` has folders for."""
+    files, folder = _files(spark, current_path(spark, path))
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return [name.split("=", 1)[1] for name in names if name.startswith(f"{column}=")]
+
+
 def remove_partitions(
     spark: SparkSession, path: str, column: str, values: Iterable, table_format: str = "parquet"
 ) -> None:

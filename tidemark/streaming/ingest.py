@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidemark.operators.envelope import decode
+from tidemark.operators.envelope import LOG_DATE, decode
 from tidemark.plans.streams import StreamSpec
 
 # Each micro-batch writes one file per task; a pause between batches keeps them few.
@@ -25,12 +25,15 @@ def start_bronze(
 
     The checkpoint records which part of the log is written, so a restarted job goes
     on from there, without loss and without repeats. With ``interval=None`` the job
-    takes what is available, in batches, and ends.
+    takes what is available, in batches, and ends. Bronze lies by day of the log's clock,
+    so that old days can be dropped as a whole.
     """
+    rows = decode(log, spec, keep_raw)
     writer = (
-        decode(log, spec, keep_raw)
+        rows.withColumn(LOG_DATE, F.to_date("kafka_timestamp"))
         .writeStream.format(table_format)
         .queryName(f"bronze_{spec.name}")
+        .partitionBy(LOG_DATE)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
