@@ -23,7 +23,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.storage import stored
 from tidemark.llm.text import LOWER, Powers, mixed, pieces, words
 
 MIN_WORDS = 18
@@ -73,15 +72,13 @@ class Sentences:
         self.row = self.rows[self.first]
 
 
-def runs(data: np.ndarray, offsets: np.ndarray, powers: Powers, min_words: int, longest: int):
+def runs(found: Sentences, n_rows: int, powers: Powers, min_words: int):
     """Row, first sentence, number of sentences and two hashes of every run; and whether an
     earlier run of the row has the same hashes.
 
     A run begins with each sentence and ends with the first one that gives it
     ``min_words`` words. The last run of a row is there once more with the row's rest.
     """
-    found = Sentences(data, offsets, powers, longest)
-    n_rows = len(offsets) - 1
     total = np.bincount(found.row, minlength=n_rows)
     stop = np.cumsum(total)
     before = stop - total
@@ -111,15 +108,15 @@ def runs(data: np.ndarray, offsets: np.ndarray, powers: Powers, min_words: int,
 
 
 def hashed(documents: DataFrame, min_words: int, longest: int) -> DataFrame:
-    """All runs of ``owner, text_key, text``, with the numbers of their sentences."""
+    """The runs of ``owner, text_key, text``, each once per text, by their sentences' numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
             for piece in pieces(batch.column(2)):
-                row, place, size, high, low, again = runs(
-                    piece.data, piece.offsets, powers, min_words, longest
-                )
+                found = Sentences(piece.data, piece.offsets, powers, longest)
+                row, place, size, high, low, again = runs(found, piece.rows, powers, min_words)
+                row, place, size, high, low = (c[~again] for c in (row, place, size, high, low))
                 at = pa.array(row + piece.first)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -129,19 +126,22 @@ def hashed(documents: DataFrame, min_words: int, longest: int) -> DataFrame:
                         pa.array(size.astype(np.int32)),
                         pa.array(high.view(np.int64)),
                         pa.array(low.view(np.int64)),
-                        pa.array(again),
                     ],
-                    ["owner", "text_key", "place", "size", "high", "low", "again"],
+                    ["owner", "text_key", "place", "size", "high", "low"],
                 )
 
     return documents.mapInArrow(
-        run, "owner long, text_key long, place int, size int, high long, low long, again boolean"
+        run, "owner long, text_key long, place int, size int, high long, low long"
     )
 
 
 def repeats(documents: DataFrame, min_words: int, longest: int) -> DataFrame:
-    """``owner, text_key, repeated``: place and size of the runs that are not first."""
-    all_runs = stored(hashed(documents, min_words, longest), "sentence-runs")
+    """``owner, text_key, repeated``: place and size of runs that a smaller id has too.
+
+    Runs are as large as the texts, so they are hashed for the aggregate and again for the
+    join rather than stored in between.
+    """
+    all_runs = hashed(documents, min_words, longest)
     firsts = (
         all_runs.groupBy("high", "low")
         .agg(F.count("*").alias("times"), F.min("owner").alias("first_owner"))
@@ -150,7 +150,7 @@ def repeats(documents: DataFrame, min_words: int, longest: int) -> DataFrame:
     )
     return (
         all_runs.join(firsts, ["high", "low"])
-        .where("again or first_owner < owner")
+        .where("first_owner < owner")
         .groupBy("owner", "text_key")
         .agg(F.collect_set(F.struct("place", "size")).alias("repeated"))
     )
@@ -187,12 +187,19 @@ def cleaned(
                 found = Sentences(piece.data, piece.offsets, powers, longest)
                 begin = found.starts[found.first]
                 bounds = np.searchsorted(found.row, np.arange(piece.rows + 1), "left")
+                row, place, size, _, _, again = runs(found, piece.rows, powers, min_words)
+                row, place, size = row[again], place[again], size[again]
+                order = np.argsort(row, kind="stable")
+                row, place, size = row[order], place[order], size[order]
+                own_runs = np.searchsorted(row, np.arange(piece.rows + 1), "left")
                 for i in range(piece.rows):
                     low, high = piece.offsets[i], piece.offsets[i + 1]
                     own = begin[bounds[i] : bounds[i + 1]]
                     gone = np.zeros(len(own), bool)
                     for one in repeated[piece.first + i].as_py() or []:
                         gone[one["place"] : one["place"] + one["size"]] = True
+                    for k in range(own_runs[i], own_runs[i + 1]):
+                        gone[place[k] : place[k] + size[k]] = True
                     starts_run = gone & ~np.concatenate([[False], gone[:-1]])
                     counts.append((len(own), int(gone.sum()), int(starts_run.sum())))
                     keep = np.ones(high - low, bool)
