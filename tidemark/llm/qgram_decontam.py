@@ -172,11 +172,14 @@ class Passages:
 FOUND = "doc_id long, item_id long, edits int, shared_qgrams int"
 
 
-def search_block(documents: DataFrame, passages: Passages) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(passages)
+def search_block(
+    documents: DataFrame, items: list[tuple[int, bytes]], q: int, rate: float
+) -> DataFrame:
+    """What one block of passages finds; its size is bounded by ``BLOCK_BYTES`` on average."""
+    shared = documents.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, powers = shared.value, Powers()
+        index, powers = Passages(shared.value, q, rate), Powers()
         names = np.array([name for name, _ in index.items], np.int64)
         for batch in batches:
             ids = batch.column(0)
@@ -225,7 +228,7 @@ def matches(
         for row in own:
             data = np.frombuffer(row["text"].encode(), np.uint8)
             folded.append((row["item_id"], normalised(data, np.array([0, len(data)]))[0].tobytes().strip()))
-        parts.append(search_block(rows, Passages(folded, q, rate)))
+        parts.append(search_block(rows, folded, q, rate))
     return reduce(DataFrame.union, parts)
 
 
