@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.storage import stored
 from tidemark.llm.text import LOWER, Powers, mixed, pieces, words
 
 MIN_WORDS = 18
@@ -139,14 +140,16 @@ def repeats(documents: DataFrame, min_words: int, longest: int) -> DataFrame:
     """``owner, text_key, repeated``: place and size of runs that a smaller id has too.
 
     Runs are as large as the texts, so they are hashed for the aggregate and again for the
-    join rather than stored in between.
+    join rather than stored in between. The repeated ones are few and are stored: adaptive
+    execution can only split a join between plain exchanges.
     """
     all_runs = hashed(documents, min_words, longest)
-    firsts = (
+    firsts = stored(
         all_runs.groupBy("high", "low")
         .agg(F.count("*").alias("times"), F.min("owner").alias("first_owner"))
         .where("times > 1")
-        .drop("times")
+        .drop("times"),
+        "sentence-firsts",
     )
     return (
         all_runs.join(firsts, ["high", "low"])
