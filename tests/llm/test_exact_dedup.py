@@ -51,4 +51,12 @@ def test_without_copies_keeps_columns_and_rows_without_id(spark):
     kept = exact_dedup.without_copies(clashing(spark))
     assert kept.columns == clashing(spark).columns
     ids = [row["doc_id"] for row in kept.collect()]
-    assert None in ids and 6 not in ids and sum(i in ids for i in (1, 2, 3)) == 1
+    assert None in ids and ids.count(5) == 2 and 6 not in ids and sum(i in ids for i in (1, 2, 3)) == 1
+
+
+def test_a_repeated_id_loses_only_the_copied_text(spark):
+    rows = [(1, "a b c"), (5, "abc"), (5, "its own text"), (9, "its own  text")]
+    kept = exact_dedup.without_copies(documents(spark, rows))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [
+        (1, "a b c"), (9, "its own  text")
+    ]

@@ -30,6 +30,9 @@ CHUNK_BYTES = 4096
 #: Characters of text in one compared chunk.
 COMPARE_CHARS = 65536
 
+#: White space that the comparison ignores.
+WHITE_SPACE = "[\\x20\\x09-\\x0D]+"
+
 KEY = ["fingerprint", "n_bytes"]
 FINGERPRINT = "doc_id long, fingerprint string, n_bytes long, code_points long, text_sha256 string"
 
@@ -99,7 +102,7 @@ def fingerprints(documents: DataFrame, moduli: Sequence[int] = MODULI) -> DataFr
 
 def stripped() -> Column:
     """The compared text: white space ``[\\x20\\x09-\\x0D]`` deleted, null as empty."""
-    return F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", "")
+    return F.regexp_replace(F.coalesce("text", F.lit("")), WHITE_SPACE, "")
 
 
 def own_texts(documents: DataFrame, members: DataFrame) -> DataFrame:
@@ -144,7 +147,10 @@ def exact_duplicates(documents: DataFrame, moduli: Sequence[int] = MODULI) -> Da
     Columns: ``doc_id, keep_id, group_size, kept, text_sha256``.
     """
     marks = stored(fingerprints(documents, moduli), "exact-marks")
-    groups = marks.groupBy(*KEY).agg(F.count("*").alias("size")).where("size > 1").drop("size")
+    groups = stored(
+        marks.groupBy(*KEY).agg(F.count("*").alias("size")).where("size > 1").drop("size"),
+        "exact-groups",
+    )
     members = marks.join(groups, KEY).select("doc_id", "text_sha256", *KEY)
     uneven = stored(uneven_groups(documents, members), "exact-uneven")
     if uneven.isEmpty():
@@ -157,10 +163,17 @@ def exact_duplicates(documents: DataFrame, moduli: Sequence[int] = MODULI) -> Da
 
 
 def keepers(marks: DataFrame, key: list[str]) -> DataFrame:
-    """The row that stays for each row of ``marks``; equal values of ``key`` are one group."""
-    best = marks.groupBy(*key).agg(
-        F.count("*").alias("group_size"),
-        F.max_by("doc_id", F.struct("code_points", -F.col("doc_id"))).alias("keep_id"),
+    """The row that stays for each row of ``marks``; equal values of ``key`` are one group.
+
+    Groups are stored before they are joined: adaptive execution can then split the join of
+    a group that holds a third of all rows.
+    """
+    best = stored(
+        marks.groupBy(*key).agg(
+            F.count("*").alias("group_size"),
+            F.max_by("doc_id", F.struct("code_points", -F.col("doc_id"))).alias("keep_id"),
+        ),
+        "exact-best",
     )
     return marks.join(best, key).select(
         "doc_id",
@@ -172,13 +185,21 @@ def keepers(marks: DataFrame, key: list[str]) -> DataFrame:
 
 
 def without_copies(documents: DataFrame) -> DataFrame:
-    """``documents`` with one row per text; columns and order of columns stay."""
+    """``documents`` with one id per text; columns and order of columns stay.
+
+    Rows that repeat an id and its text stay together, and rows without an id stay. Of a
+    repeated id with several texts only the rows go whose text is another row's.
+    """
     found = exact_duplicates(documents)
-    dropped = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("dropped_id")
-    )
-    return documents.join(
-        dropped.distinct().hint("shuffle_hash"),
-        documents["doc_id"].cast("long") == dropped["dropped_id"],
-        "left_anti",
+    dropped = (
+        found.where(~F.col("kept") & F.col("doc_id").isNotNull())
+        .select(F.col("doc_id").alias("dropped_id"), F.col("text_sha256").alias("dropped_sha"))
+        .distinct()
+        .hint("shuffle_hash")
     )
+    same = documents["doc_id"].cast("long") == dropped["dropped_id"]
+    own = F.coalesce(documents["text"], F.lit(""))
+    own = F.sha2(F.regexp_replace(own, WHITE_SPACE, ""), 256)
+    # An equality would be joined on, and so be computed for all texts; this is evaluated for
+    # rows of a dropped id only. Digests have one length, so it means the same.
+    return documents.join(dropped, same & F.contains(own, dropped["dropped_sha"]), "left_anti")
