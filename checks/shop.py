@@ -17,7 +17,8 @@ from tidemark.plans.streams import StreamSpec
 # The tables hold no faults: some orders get a total of zero, some lose their customer, and
 # every 500th comes twice.
 ORDER_FIELDS = {
-    "event_id": "'order_' || cast(o_orderkey - case when o_orderkey % 500 = 1 then 1 else 0 end as string)",
+    "event_id": """'order_' || cast(
+        o_orderkey - case when o_orderkey % 500 = 1 then 1 else 0 end as string)""",
     "customer_id": "case when o_orderkey % 89 = 0 then null else o_custkey end",
     "state": "o_orderstatus",
     "total": "case when o_orderkey % 97 = 0 then 0.0 else o_totalprice end",
@@ -121,7 +122,9 @@ silver as (select * from (select *, row_number() over (partition by event_id
   where quantity > 0 and state in ('R', 'A', 'N')) where place = 1)"""
 
 
-def flagged_sql(silver: str, entity: str, time: str, unit: str, total: str, rate: str, name: str) -> str:
+def flagged_sql(
+    silver: str, entity: str, time: str, unit: str, total: str, rate: str, name: str
+) -> str:
     return f"""with {silver},
 spans as (select {entity}, date_trunc('{unit}', {time}) as {unit}, count(*) as {total},
     {rate} as {name} from silver group by 1, 2),

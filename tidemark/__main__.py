@@ -93,7 +93,8 @@ def run_report(lake: Lakehouse) -> None:
 
 
 def run_expire(lake: Lakehouse, spec: StreamSpec, options: argparse.Namespace) -> None:
-    days = lake.expire_bronze(spec, options.as_of or datetime.now(UTC).replace(tzinfo=None).isoformat())
+    now = datetime.now(UTC).replace(tzinfo=None).isoformat()
+    days = lake.expire_bronze(spec, options.as_of or now)
     print(f"{spec.name}: removed {', '.join(days) or 'nothing'}")
 
 

@@ -35,11 +35,13 @@ def number_text(value: Column) -> Column:
     size = F.abs(value)
     parts = F.split(F.regexp_replace(value.cast("string"), "[.]0E", "E"), "E")
     power = parts[1].cast("int")
+    figures = F.abs(power).cast("string")
     exponent = F.concat(
         F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")),
+        F.when(F.length(figures) < 2, F.concat(F.lit("0"), figures)).otherwise(figures),
     )
-    special = F.when(F.isnan(value), F.lit("nan")).when(value > 0, F.lit("inf")).otherwise(F.lit("-inf"))
+    infinite = F.when(value > 0, F.lit("inf")).otherwise(F.lit("-inf"))
+    special = F.when(F.isnan(value), F.lit("nan")).otherwise(infinite)
     digits = F.regexp_replace(value.try_cast("decimal(38,20)").cast("string"), "0+$", "")
     positional = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
     return (
