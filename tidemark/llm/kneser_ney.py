@@ -435,7 +435,10 @@ class Reader:
         return np.log10(np.where(total > 0, upper, lower)), own[:, 0]
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+SCORED = (
+    "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+    "base_score double, score double"
+)
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
@@ -484,7 +487,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
                     pa.array(table[:, 2]),
                     pa.array(table[:, 3]),
                 ],
-                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                [part.split()[0] for part in SCORED.split(", ")],
             )
 
     return documents.mapInArrow(run, SCORED)

@@ -61,9 +61,7 @@ def evidence(lowered: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers:
     inside[starts] += 1
     word_of = np.cumsum(inside[:-1], dtype=np.int32) - 1
     letter = LETTER[lowered]
-    here = np.flatnonzero(
-        letter[:-2] & letter[2:] & (word_of[:-2] == word_of[2:])
-    ) if len(lowered) > 2 else np.zeros(0, np.int64)
+    here = np.flatnonzero(letter[:-2] & letter[2:] & (word_of[:-2] == word_of[2:]))
     wide = lowered.astype(np.uint32)
     code = wide[here] | wide[here + 1] << np.uint32(8) | wide[here + 2] << np.uint32(16)
     trigram = (code * np.uint32(2654435761)) >> np.uint32(32 - TRIGRAM_BITS)
@@ -75,7 +73,8 @@ def evidence(lowered: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers:
         for k in range(max(lengths)):
             at = ends - 1 - k if from_end else starts + k
             known = (at >= starts) & (at < ends)
-            code = code * np.uint32(257) + np.where(known, wide[np.clip(at, 0, last)] + 1, 0).astype(np.uint32)
+            byte = np.where(known, wide[np.clip(at, 0, last)] + 1, 0).astype(np.uint32)
+            code = code * np.uint32(257) + byte
             if k + 1 in lengths:
                 place = (code * np.uint32(2654435761)) >> np.uint32(32 - AFFIX_BITS)
                 affixes[:, column] = place.astype(np.int32) + (column << AFFIX_BITS)
@@ -140,8 +139,8 @@ def marginals(weights: np.ndarray, transitions: np.ndarray, rows: np.ndarray) ->
         live = there[j]
         if not live.any():
             break
-        moved = (transfer[live].reshape(-1, k) @ step).reshape(-1, k, k) * steps[j, live][:, None, :]
-        transfer[live] = unit(moved, (1, 2))
+        moved = (transfer[live].reshape(-1, k) @ step).reshape(-1, k, k)
+        transfer[live] = unit(moved * steps[j, live][:, None, :], (1, 2))
 
     enter, leave = np.empty((total, k)), np.empty((total, k))
     long_first = np.argsort(-blocks, kind="stable")
@@ -387,8 +386,9 @@ def word_labels(documents: DataFrame, model: Model) -> DataFrame:
                 for start, end, row, own in zip(starts, ends, rows, table):
                     best = int(own.argmax())
                     word = piece.data[start:end].tobytes().decode(errors="replace")
+                    name = model.languages[best]
                     lists[piece.first + row].append(
-                        {"word": word, "lang": model.languages[best], "probability": float(own[best])}
+                        {"word": word, "lang": name, "probability": float(own[best])}
                     )
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(lists, kind)], ["doc_id", "words"]

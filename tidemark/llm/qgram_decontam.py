@@ -227,7 +227,8 @@ def matches(
         folded = []
         for row in own:
             data = np.frombuffer(row["text"].encode(), np.uint8)
-            folded.append((row["item_id"], normalised(data, np.array([0, len(data)]))[0].tobytes().strip()))
+            plain, _ = normalised(data, np.array([0, len(data)]))
+            folded.append((row["item_id"], plain.tobytes().strip()))
         parts.append(search_block(rows, folded, q, rate))
     return reduce(DataFrame.union, parts)
 

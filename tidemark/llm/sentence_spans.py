@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.storage import stored
-from tidemark.llm.text import LOWER, Powers, mixed, pieces, words
+from tidemark.llm.text import LOWER, Powers, mixed, pieces, sliding, words
 
 MIN_WORDS = 18
 LONGEST = 16
@@ -36,16 +36,6 @@ ENDS_SENTENCE[list(b".!?")] = True
 LAST = (1 << 63) - 1
 
 
-def sliding(values: np.ndarray, width: int, best) -> np.ndarray:
-    """``best`` (minimum or maximum) of all runs of ``width`` values."""
-    size = 1
-    while size * 2 <= width:
-        values = best(values[:-size], values[size:])
-        size *= 2
-    rest = width - size
-    return best(values[:-rest], values[rest:]) if rest else values
-
-
 class Sentences:
     """Words of a piece, their hashes, and the first word of each sentence."""
 
@@ -69,7 +59,9 @@ class Sentences:
             around = np.zeros(longest - 1, np.uint64)
             chosen = sliding(np.concatenate([around, least, around]), longest, np.maximum)
             ends |= (chosen == rank) & (rank > 0)
-        self.first = np.flatnonzero(np.concatenate([[True], ends[:-1]])) if n else np.zeros(0, np.int64)
+        begins = np.ones(n, bool)
+        begins[1:] = ends[:-1]
+        self.first = np.flatnonzero(begins)
         self.row = self.rows[self.first]
 
 
@@ -211,8 +203,9 @@ def cleaned(
                         keep[edges[k] : edges[k + 1]] = False
                     kept_texts.append(piece.data[low:high][keep].tobytes().decode())
             columns = list(zip(*counts)) if counts else [(), (), ()]
+            numbers = [pa.array(column, pa.int64()) for column in columns]
             yield pa.RecordBatch.from_arrays(
-                [ids, *(pa.array(c, pa.int64()) for c in columns), pa.array(kept_texts, pa.string())],
+                [ids, *numbers, pa.array(kept_texts, pa.string())],
                 ["doc_id", "n_sentences", "n_removed", "n_spans", "kept_text"],
             )
 
@@ -230,5 +223,9 @@ def cleaned(
 def digests(documents: DataFrame, **options) -> DataFrame:
     """:func:`cleaned` with the digest of the kept text in its place."""
     return cleaned(documents, **options).select(
-        "doc_id", "n_sentences", "n_removed", "n_spans", F.sha2("kept_text", 256).alias("kept_sha256")
+        "doc_id",
+        "n_sentences",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept_text", 256).alias("kept_sha256"),
     )

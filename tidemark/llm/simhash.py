@@ -259,7 +259,9 @@ def links(points: DataFrame, distance: int = MAX_DISTANCE, joint: int = 1) -> Da
     )
     dealt = met.join(crowded, "anchor", "left").withColumn("slots", F.coalesce("slots", F.lit(1)))
     own_slot = F.pmod(F.xxhash64("point"), F.col("slots")).cast("int")
-    homes = dealt.where("is_home").select("anchor", own_slot.alias("slot"), "is_home", "point", "bits")
+    homes = dealt.where("is_home").select(
+        "anchor", own_slot.alias("slot"), "is_home", "point", "bits"
+    )
     guests = dealt.select(
         "anchor",
         F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"),

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.storage import mounted, saved, stored
-from tidemark.llm.text import Piece, Powers, mixed, pieces, text_bytes
+from tidemark.llm.text import Piece, Powers, mixed, pieces, sliding, text_bytes
 from tidemark.session import scratch_path
 
 LENGTH = 50
@@ -95,15 +95,6 @@ def by_bucket(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, b
         yield int(bucket[start]), packed(*(column[own] for column in columns))
 
 
-def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
-    size = 1
-    while size * 2 <= width:
-        values = np.minimum(values[:-size], values[size:])
-        size *= 2
-    rest = width - size
-    return np.minimum(values[:-rest], values[rest:]) if rest else values
-
-
 class Runs:
     """Runs of a piece: row, first and number of strings, least q-gram; hashes on demand."""
 
@@ -114,7 +105,7 @@ class Runs:
         self.key = np.zeros(0, np.uint64)
         if len(piece.data) < length:
             return
-        least = sliding_least(powers.rolling(self.sums, q), length - q + 1)
+        least = sliding(powers.rolling(self.sums, q), length - q + 1, np.minimum)
         fits = np.ones(len(least), bool)
         for end in piece.offsets[1:-1].tolist():
             fits[max(0, end - length + 1) : end] = False
@@ -203,7 +194,9 @@ def frequent_grams(texts: DataFrame, share: float, length: int, q: int) -> np.nd
 SENT = "kind int, bucket long, payload binary"
 
 
-def sent_runs(texts: DataFrame, frequent: np.ndarray, buckets: int, length: int, q: int) -> DataFrame:
+def sent_runs(
+    texts: DataFrame, frequent: np.ndarray, buckets: int, length: int, q: int
+) -> DataFrame:
     """First pass: hashes of runs and of frequent strings, and what a task settles itself."""
 
     def flush(held: list, found: list) -> Iterator[tuple]:
@@ -257,7 +250,8 @@ def sent_runs(texts: DataFrame, frequent: np.ndarray, buckets: int, length: int,
                 row = own.row[which]
                 local = own.start[which] - piece.offsets[row]
                 content = own.contents()[which]
-                runs.append((owner[row], mark[row], local, own.count[which], own.key[which], content))
+                count, key = own.count[which], own.key[which]
+                runs.append((owner[row], mark[row], local, count, key, content))
                 number, start, content = own.strings(np.flatnonzero(crowded))
                 row = own.row[number]
                 strings.append((owner[row], mark[row], start - piece.offsets[row], content))
@@ -294,10 +288,8 @@ def judged(buckets: int):
             order, _, least = settled(content, content, owner)
             owner, mark, start = owner[order], mark[order], start[order]
             later = owner > least
-            one = np.ones(later.sum(), np.int64)
-            return frame_of(
-                answers(owner[later], mark[later], start[later], one, 0 * one.astype(np.uint8), buckets)
-            )
+            one, no = np.ones(later.sum(), np.int64), np.zeros(later.sum(), np.uint8)
+            return frame_of(answers(owner[later], mark[later], start[later], one, no, buckets))
         owner, mark, start, count, key, content = together(payloads)
         order, new, least = settled(key, content, owner)
         owner, mark, start, count, key = (c[order] for c in (owner, mark, start, count, key))
@@ -309,9 +301,8 @@ def judged(buckets: int):
         lowest, highest = np.minimum.reduceat(owner, at), np.maximum.reduceat(owner, at)
         to_sort = ~later & ((contents > 1) & (lowest < highest))[number]
         told = later | to_sort
-        return frame_of(
-            answers(owner[told], mark[told], start[told], count[told], to_sort[told].astype(np.uint8), buckets)
-        )
+        columns = (owner, mark, start, count, to_sort.astype(np.uint8))
+        return frame_of(answers(*(column[told] for column in columns), buckets))
 
     return run
 
@@ -325,22 +316,20 @@ def filed(folder: str, name: str):
         order = np.lexsort((start, row))
         row, start, count, to_sort = row[order], start[order], count[order], to_sort[order] == 1
         bucket = int(frame["bucket"].iloc[0])
-        saved(folder, f"{name}-sort-{bucket}", np.stack(
-            [row[to_sort], start[to_sort].astype(np.uint64), count[to_sort].astype(np.uint64)]
-        ))
-        row, start, count = row[~to_sort], start[~to_sort].astype(np.int64), count[~to_sort].astype(np.int64)
+        own = (row[to_sort], start[to_sort], count[to_sort])
+        saved(folder, f"{name}-sort-{bucket}", np.stack([c.astype(np.uint64) for c in own]))
+        row, start = row[~to_sort], start[~to_sort].astype(np.int64)
+        count = count[~to_sort].astype(np.int64)
         # Strings that start within a gap-free range; rows are kept apart by a large step.
-        number = np.cumsum(np.concatenate([[0], row[1:] != row[:-1]])) if len(row) else row.astype(np.int64)
-        first = start + (number << 33)
-        end = np.maximum.accumulate(first + count) if len(row) else first
+        number = np.cumsum(np.diff(row, prepend=row[:1]) != 0) << 33
+        first = start + number
+        end = np.maximum.accumulate(first + count)
         new = np.ones(len(row), bool)
         new[1:] = first[1:] > end[:-1]
         at = np.flatnonzero(new)
-        last = np.append(at[1:], len(row)) - 1
-        saved(folder, f"{name}-gone-{bucket}", np.stack(
-            [row[at], start[at].astype(np.uint64), (end[last] - (number[last] << 33)).astype(np.uint64)]
-            if len(row) else [row, row, row]
-        ))
+        last = np.append(at[1:], len(row))[: len(at)] - 1
+        ranges = [row[at], start[at].astype(np.uint64), (end[last] - number[last]).astype(np.uint64)]
+        saved(folder, f"{name}-gone-{bucket}", np.stack(ranges))
         return pd.DataFrame({"ranges": [len(at)]})
 
     return run
@@ -390,7 +379,8 @@ def sent_bytes(texts: DataFrame, folder: str, buckets: int, length: int, q: int)
             at = np.repeat(place[own] - (np.cumsum(size[own]) - size[own]), size[own])
             at = at + np.arange(len(at))
             names.append(int(bucket[low]))
-            loads.append(packed(owner[own], mark[own], start[own].astype(np.uint32), count[own].astype(np.uint8), data[at]))
+            columns = (owner, mark, start.astype(np.uint32), count.astype(np.uint8))
+            loads.append(packed(*(column[own] for column in columns), data[at]))
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.int64()), pa.array(loads, pa.binary())], ["bucket", "payload"]
         )

@@ -111,6 +111,16 @@ class Powers:
         return mixed((sums[width:] - sums[:n]) * self.down[:n])
 
 
+def sliding(values: np.ndarray, width: int, best) -> np.ndarray:
+    """``best`` (minimum or maximum) of all runs of ``width`` values."""
+    size = 1
+    while size * 2 <= width:
+        values = best(values[:-size], values[size:])
+        size *= 2
+    rest = width - size
+    return best(values[:-rest], values[rest:]) if rest else values
+
+
 def words(
     data: np.ndarray, offsets: np.ndarray, inside: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
