@@ -2,9 +2,9 @@
 
 Alternating large-star and small-star steps (Kiveris et al., "Connected Components in
 MapReduce and Beyond", 2014) shrink any graph to stars in a few rounds. Each step is one
-aggregate and one join; minima combine in every task before they move, and adaptive
-execution splits the join of a hub. Rounds are written to the shared folder, so a lost
-executor costs one step and the plan does not grow.
+aggregate and one join; minima combine in every task before they move, and are stored, so
+that adaptive execution can split the join of a hub. Rounds are written to the shared
+folder, so a lost executor costs one step and the plan does not grow.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from tidemark.llm.storage import stored
 
 
 def least_neighbours(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("high").agg(F.min("low").alias("least"))
+    return stored(edges.groupBy("high").agg(F.min("low").alias("least")), "least-neighbours")
 
 
 def large_star(edges: DataFrame) -> DataFrame:
