@@ -92,6 +92,14 @@ def test_awkward_rows(spark):
     for i in (1, 2, 3):
         assert found[i]["lang_pred"] == "und" and found[i]["score"] == 0
     assert all(found[i]["lang_pred"] in ("en", "fr") for i in (4, 5, 8, 9, 10, 11))
+
+    long = [(i, text * 3000, lang) for i, (text, lang) in enumerate(
+        [("the words here ", "en"), ("les mots ici ", "fr")] * 8)]
+    table = spark.createDataFrame(long, "doc_id long, text string, lang string")
+    texts, langs = crf.sample(table)
+    assert set(langs) == {"en", "fr"} and max(map(len, texts)) == crf.TRAIN_CHARS
+    assert all(r["lang_pred"] == long[r["doc_id"]][2] for r in crf.languages(table).collect())
+
     for table in (awkward(spark), clashing(spark)):
         found = collected(crf.languages(table))
         assert len(found) == len(AWKWARD)

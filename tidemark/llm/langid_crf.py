@@ -6,8 +6,8 @@ between languages are learned too. Forward-backward gives each word's distributi
 the languages, also in code-switched text; a text's language is that of the largest share.
 
 Training sequences are spliced from labelled texts of different languages, so that
-switches are seen. They come from at most ``TRAIN_TEXTS`` texts of each language with at
-most ``TRAIN_BYTES`` bytes, and training runs on the driver.
+switches are seen. They come from at most about ``TRAIN_TEXTS`` texts of each language, of
+a longer one ``TRAIN_CHARS`` characters from somewhere in it, and training runs on the driver.
 
 Inference runs forward-backward for many texts at once: texts are cut into blocks of
 ``BLOCK`` words, block transfer matrices are chained along each text, and all blocks then
@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.text import LETTER, LOWER, Powers, held_out, pieces, words
 
-#: Bounds of the learning sample: texts per language, and bytes of a text.
+#: Bounds of the learning sample: texts per language, and characters of a text.
 TRAIN_TEXTS = 250
-TRAIN_BYTES = 20_000
+TRAIN_CHARS = 20_000
 #: Words of a training sequence and mean words between switches in it.
 SEQUENCE, STRETCH = 48, 16
 #: Sequences drawn for each language, steps of gradient ascent and their size.
@@ -300,8 +300,8 @@ def has_letter(data: np.ndarray) -> bool:
 
 
 def sample(documents: DataFrame) -> tuple[list[str], list[str]]:
-    """Texts and languages to learn from: bounded, drawn by a hash of the id."""
-    fit = documents.where(f"lang is not null and octet_length(text) between 1 and {TRAIN_BYTES}")
+    """Texts and languages to learn from: bounded, drawn by a hash of id and text."""
+    fit = documents.where("lang is not null and text <> ''")
     counts = {row["lang"]: row["count"] for row in fit.groupBy("lang").count().collect()}
     if not counts:
         return [], []
@@ -309,7 +309,13 @@ def sample(documents: DataFrame) -> tuple[list[str], list[str]]:
         *[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, TRAIN_TEXTS / n))]
     )
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
-    rows = fit.where(place < shares[F.col("lang")] * (1 << 20)).select("text", "lang").collect()
+    beyond = F.greatest(F.char_length("text") - TRAIN_CHARS, F.lit(0))
+    start = F.pmod(F.xxhash64("text"), beyond + 1).cast("int") + 1
+    rows = (
+        fit.where(place < shares[F.col("lang")] * (1 << 20))
+        .select(F.substring("text", start, F.lit(TRAIN_CHARS)).alias("text"), "lang")
+        .collect()
+    )
     rows.sort()
     return [row["text"] for row in rows], [row["lang"] for row in rows]
 
