@@ -34,14 +34,14 @@ from tidemark.session import scratch_path
 BEGIN, END = np.uint64(1), np.uint64(2)
 #: Bytes of text per bucket, and bigrams counted in a task before they are sent.
 BUCKET_BYTES = 8 << 20
-FLUSH_TOKENS = 3_000_000
+FLUSH_TOKENS = 2_000_000
 #: A context is frequent from this many tokens on, or from a share of them between these.
 CROWD = 500_000
 LEAST_SHARE, MOST_SHARE = 1e-6, 1 / 1000
 #: About the bytes of a word and the white space after it.
 WORD_BYTES = 6
 #: Tokens scored at once.
-SCORE_TOKENS = 1_500_000
+SCORE_TOKENS = 700_000
 
 
 class Tokens(NamedTuple):
