@@ -43,8 +43,8 @@ from tidemark.session import scratch_path
 LENGTH = 50
 Q = 18
 #: Bytes of text per bucket, and of text from which a task sends what it holds.
-BUCKET_BYTES = 16 << 20
-FLUSH_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
+FLUSH_BYTES = 8 << 20
 #: A q-gram is frequent from this many runs on, or from a share of all runs between these.
 CROWD = 50_000
 LEAST_SHARE, MOST_SHARE = 1e-6, 1 / 4000
@@ -207,8 +207,7 @@ def sent_runs(
         found.append((owner[later], mark[later], start[later], count[later]))
         first = ~later
         bucket = (key[first] % np.uint64(buckets)).astype(np.int64)
-        columns = (owner, mark, start.astype(np.uint32), count.astype(np.uint8),
-                   (key >> np.uint64(32)).astype(np.uint32), content)
+        columns = (owner, mark, start, count, (key >> np.uint64(32)).astype(np.uint32), content)
         for name, payload in by_bucket(bucket, *(column[first] for column in columns)):
             yield RUNS, name, payload
 
@@ -220,7 +219,7 @@ def sent_runs(
         found.append((owner[later], mark[later], start[later], np.ones(later.sum(), np.int64)))
         first = ~later
         bucket = (mixed(content[first]) % np.uint64(buckets)).astype(np.int64)
-        columns = (owner, mark, start.astype(np.uint32), content)
+        columns = (owner, mark, start, content)
         for name, payload in by_bucket(bucket, *(column[first] for column in columns)):
             yield STRINGS, name, payload
 
@@ -248,13 +247,14 @@ def sent_runs(
                 crowded = np.isin(own.key, frequent)
                 which = np.flatnonzero(~crowded)
                 row = own.row[which]
-                local = own.start[which] - piece.offsets[row]
+                local = (own.start[which] - piece.offsets[row]).astype(np.uint32)
                 content = own.contents()[which]
-                count, key = own.count[which], own.key[which]
+                count, key = own.count[which].astype(np.uint8), own.key[which]
                 runs.append((owner[row], mark[row], local, count, key, content))
                 number, start, content = own.strings(np.flatnonzero(crowded))
                 row = own.row[number]
-                strings.append((owner[row], mark[row], start - piece.offsets[row], content))
+                local = (start - piece.offsets[row]).astype(np.uint32)
+                strings.append((owner[row], mark[row], local, content))
                 size += len(piece.data)
                 if size >= FLUSH_BYTES:
                     yield from everything(runs, strings)

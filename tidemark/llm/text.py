@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at a time.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 
 #: ``[\x20\x09-\x0D]``, the white space of the word definition.
 SPACES = b" \t\n\x0b\x0c\r"
