@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.storage import stored
-from tidemark.llm.text import LOWER, pieces, words
+from tidemark.llm.text import LOWER, Piece, pieces, words
 
 SHINGLE_WORDS = 4
 MAX_DISTANCE = 4
@@ -42,42 +42,49 @@ HOMES = 4096
 VISITS = 1024
 
 
+def shingles(piece: Piece, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of a piece in their order, and the row of each."""
+    lowered = LOWER[piece.data]
+    starts, ends, rows = words(lowered, piece.offsets)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    sizes = ends - starts
+    begin = np.cumsum(sizes + 1) - sizes - 1
+    joined = np.full(int(begin[-1] + sizes[-1]), 32, np.uint8)
+    take = np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    put = np.arange(int(sizes.sum())) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+    joined[put] = lowered[take]
+    finish = begin + sizes
+
+    first_word = np.searchsorted(rows, np.arange(piece.rows), "left")
+    n_words = np.searchsorted(rows, np.arange(piece.rows), "right") - first_word
+    full = np.flatnonzero(rows[: len(rows) - width + 1] == rows[width - 1 :])
+    short = np.flatnonzero((n_words > 0) & (n_words < width))
+    low = np.concatenate([full, first_word[short]])
+    high = np.concatenate([full + width - 1, first_word[short] + n_words[short] - 1])
+    order = np.argsort(low, kind="stable")
+    low, high = low[order], high[order]
+
+    buffer = joined.tobytes()
+    hashed = xxhash.xxh64_intdigest
+    values = np.array(
+        [
+            hashed(buffer[s:e], HASH_SEED)
+            for s, e in zip(begin[low].tolist(), finish[high].tolist())
+        ],
+        np.uint64,
+    )
+    return values, rows[low]
+
+
 def fingerprint_batch(column: pa.Array, width: int = SHINGLE_WORDS) -> np.ndarray:
     """64-bit SimHash of every text; zero without words."""
     result = np.zeros(len(column), np.uint64)
     for piece in pieces(column):
-        lowered = LOWER[piece.data]
-        starts, ends, rows = words(lowered, piece.offsets)
-        if not len(starts):
+        values, owner = shingles(piece, width)
+        if not len(values):
             continue
-        sizes = ends - starts
-        begin = np.cumsum(sizes + 1) - sizes - 1
-        joined = np.full(int(begin[-1] + sizes[-1]), 32, np.uint8)
-        take = np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-        put = np.arange(int(sizes.sum())) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
-        joined[put] = lowered[take]
-        finish = begin + sizes
-
-        first_word = np.searchsorted(rows, np.arange(piece.rows), "left")
-        n_words = np.searchsorted(rows, np.arange(piece.rows), "right") - first_word
-        full = np.flatnonzero(rows[: len(rows) - width + 1] == rows[width - 1 :])
-        short = np.flatnonzero((n_words > 0) & (n_words < width))
-        low = np.concatenate([full, first_word[short]])
-        high = np.concatenate([full + width - 1, first_word[short] + n_words[short] - 1])
-        order = np.argsort(low, kind="stable")
-        low, high = low[order], high[order]
-
-        buffer = joined.tobytes()
-        hashed = xxhash.xxh64_intdigest
-        values = np.array(
-            [
-                hashed(buffer[s:e], HASH_SEED)
-                for s, e in zip(begin[low].tolist(), finish[high].tolist())
-            ],
-            np.uint64,
-        )
         bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        owner = rows[low]
         owners, at = np.unique(owner, return_index=True)
         counts = np.add.reduceat(bits, at, axis=0, dtype=np.int32)
         sizes = np.diff(np.append(at, len(owner)))
