@@ -1,6 +1,9 @@
 """Substring deduplication by sliding spans of sentences.
 
-Every run of consecutive sentences with at least ``MIN_WORDS`` words is hashed. One
+From each sentence the shortest run of sentences with at least ``MIN_WORDS`` words is hashed,
+and up to each sentence the shortest that ends there. A longer repeated run consists of such
+runs, where its copies are cut into the same sentences: a sentence too near its end to begin
+one lies in the one that ends with it. One
 aggregate, combined in each task before it moves, gives the first document of each run; a
 join with the repeated runs alone tells which runs are not first, and adaptive execution
 splits a run that fills a large part of the join. Sentences covered by a run that is not
@@ -70,7 +73,7 @@ def runs(found: Sentences, n_rows: int, powers: Powers, min_words: int):
     earlier run of the row has the same hashes.
 
     A run begins with each sentence and ends with the first one that gives it
-    ``min_words`` words. The last run of a row is there once more with the row's rest.
+    ``min_words`` words; another ends with each sentence and begins with the last such one.
     """
     total = np.bincount(found.row, minlength=n_rows)
     stop = np.cumsum(total)
@@ -79,12 +82,16 @@ def runs(found: Sentences, n_rows: int, powers: Powers, min_words: int):
     begin = np.arange(len(found.first))
     end = np.searchsorted(bounds, found.first + min_words, "left")
     fits = end <= stop[found.row]
-    begin, end = begin[fits], end[fits]
-    row = found.row[begin]
-    last = np.flatnonzero(np.append(row[1:] != row[:-1], [True] * bool(len(row))))
-    last = last[end[last] < stop[row[last]]]
-    begin = np.concatenate([begin, begin[last]])
-    end = np.concatenate([end, stop[row[last]]])
+    until = begin + 1
+    since = np.searchsorted(bounds, bounds[until] - min_words, "right") - 1
+    whole = since >= before[found.row]
+    both = np.stack(
+        [
+            np.concatenate([begin[fits], since[whole]]),
+            np.concatenate([end[fits], until[whole]]),
+        ]
+    )
+    begin, end = np.unique(both, axis=1)
     row = found.row[begin]
     powers.reach(len(found.hashes) + 1)
     keys = []
