@@ -11,6 +11,8 @@ The known sentences and the rules are short fixed tables, so they are part of th
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,10 +128,64 @@ RULES = [
     ("Unlicense", ["unlicense-release"]),
 ]
 
+#: Sentences and rules beyond the tables of the SQL, which stays as it is.
+MORE_SENTENCES = {
+    "apache-copy-at": "You may obtain a copy of the License at",
+    "apache-url": "http://www.apache.org/licenses/LICENSE-2.0",
+    "apache-url-s": "https://www.apache.org/licenses/LICENSE-2.0",
+    "apache-copy-as-is": SENTENCES["apache-copy"] + " " + SENTENCES["apache-as-is"],
+    "bsd-as-is": (
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY '
+        "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
+    ),
+    "lgpl-redistribute-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version."
+    ),
+    "lgpl-redistribute-3": SENTENCES["gpl-redistribute-3"].replace("GNU", "GNU Lesser"),
+    "lgpl-warranty": SENTENCES["gpl-warranty"].replace("program", "library"),
+    "agpl-redistribute-3": SENTENCES["gpl-redistribute-3"].replace("GNU", "GNU Affero"),
+}
+MORE_RULES = [
+    ("Apache-2.0", ["apache-grant", "apache-copy-at", url, "apache-as-is", "apache-language"])
+    for url in ("apache-url", "apache-url-s")
+] + [
+    ("Apache-2.0", ["apache-grant", "apache-copy-as-is", "apache-language"]),
+    ("BSD-2-Clause", ["bsd-redistribution", "bsd-source", "bsd-binary", "bsd-as-is"]),
+    ("LGPL-2.1-or-later", ["lgpl-redistribute-2.1", "lgpl-warranty"]),
+    ("LGPL-3.0-or-later", ["lgpl-redistribute-3", "gpl-warranty"]),
+    ("AGPL-3.0-or-later", ["agpl-redistribute-3", "gpl-warranty"]),
+]
+
 #: Where a text is cut: after a sentence end and white space, and at blank lines.
 SENTENCE_END = r"([.!?])[ \t\r\n]+"
 BLANK_LINE = r"\n[ \t\r]*\n"
 CUT = "\x1e"
+#: The same for lines that hold comment marks only.
+BLANK_COMMENT = r"\n[ \t\r*#/;%]*\n"
+
+
+def pieces_of(text: str) -> list[str]:
+    """A known sentence as texts are cut, so that each piece can be met."""
+    return re.sub(SENTENCE_END, r"\1" + CUT, text).split(CUT)
+
+
+def all_rules() -> list[tuple[str, list[str]]]:
+    """The rules by identifiers of pieces; a sentence cut in several has ``name/number``."""
+    return [
+        (licence, [own for name in ids for own, _ in known_pieces(name)])
+        for licence, ids in RULES + MORE_RULES
+    ]
+
+
+def known_pieces(name: str) -> list[tuple[str, str]]:
+    """Identifier and text of each piece of a known sentence."""
+    parts = pieces_of((SENTENCES | MORE_SENTENCES)[name])
+    if len(parts) == 1:
+        return [(name, parts[0])]
+    return [(f"{name}/{number}", part) for number, part in enumerate(parts, 1)]
 
 
 def normalised(sentence: Column) -> Column:
@@ -142,7 +198,8 @@ def known_sentences(spark: SparkSession) -> DataFrame:
     """``sentence, sentence_id``: the normalised known sentences."""
     rows = [
         F.struct(F.lit(text).alias("full"), F.lit(name).alias("sentence_id"))
-        for name, text in SENTENCES.items()
+        for known in SENTENCES | MORE_SENTENCES
+        for name, text in known_pieces(known)
     ]
     names = spark.range(1).select(F.inline(F.array(*rows)))
     return names.select(normalised(F.col("full")).alias("sentence"), "sentence_id")
@@ -155,7 +212,7 @@ def sentences(documents: DataFrame) -> DataFrame:
     without a full stop and wrapped licence texts are both found.
     """
     cut = F.regexp_replace(
-        F.regexp_replace("text", SENTENCE_END, "$1" + CUT), BLANK_LINE, CUT
+        F.regexp_replace("text", SENTENCE_END, "$1" + CUT), BLANK_COMMENT, CUT
     )
     with_lines = F.when(
         F.contains(F.col("whole"), F.lit("\n")),
@@ -187,6 +244,18 @@ def licences(documents: DataFrame) -> DataFrame:
     found = sentences(documents.where("text is not null")).join(known, "sentence")
     entries = F.array_sort(F.collect_set(F.struct("place", "line", "sentence_id")))
     ordered = found.groupBy("doc_id", "text_key").agg(entries.alias("entries"))
+    # Lines count only where their whole sentence is unknown.
+    wholes = F.transform(
+        F.filter("entries", lambda entry: entry["line"] == 0), lambda entry: entry["place"]
+    )
+    ordered = ordered.withColumn("wholes", wholes).withColumn(
+        "entries",
+        F.filter(
+            "entries",
+            lambda entry: (entry["line"] == 0)
+            | ~F.array_contains(F.col("wholes"), entry["place"]),
+        ),
+    )
     sequence = F.aggregate(
         "entries",
         F.struct(F.lit(None).cast("int").alias("last"), F.lit(",").alias("ids")),
@@ -205,7 +274,7 @@ def licences(documents: DataFrame) -> DataFrame:
     rules = F.array(
         *[
             F.struct(F.lit(name).alias("licence"), F.lit("," + ",".join(ids) + ",").alias("ids"))
-            for name, ids in RULES
+            for name, ids in all_rules()
         ]
     )
     matched = F.transform(
