@@ -1,6 +1,8 @@
 """Canonical headers as files carry them; expected names written by hand."""
 
-from tests.llm.rows import documents
+import duckdb
+
+from tests.llm.rows import collected, documents
 from tests.llm.test_licence_rules import by_id, wrapped
 from tidemark.llm import licence_rules as rules
 
@@ -41,3 +43,11 @@ CASES = [
 def test_headers(spark):
     found = by_id(rules.licences(documents(spark, [case[:2] for case in CASES])))
     assert found == {i: {name} for i, _, name in CASES}
+
+
+def test_headers_equal_sql(spark):
+    rows = documents(spark, [case[:2] for case in CASES])
+    frame = rows.toPandas()  # noqa: F841
+    con = duckdb.connect()
+    con.sql("create view documents as select * from frame")
+    assert collected(rules.licences(rows)) == sorted(con.sql(rules.oracle_sql()).fetchall(), key=repr)

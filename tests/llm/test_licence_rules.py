@@ -69,7 +69,7 @@ def test_no_python_in_the_plan(spark):
     assert not any(name in plan for name in ("Python", "Arrow", "Pandas"))
 
 
-@pytest.mark.parametrize("table", ["cases", "given"])
+@pytest.mark.parametrize("table", ["cases", SMALL, SMALL.replace("0.001", "0.01")])
 def test_equals_sql(spark, table):
     con = duckdb.connect()
     if table == "cases":
@@ -77,6 +77,6 @@ def test_equals_sql(spark, table):
         frame = rows.toPandas()  # noqa: F841
         con.sql("create view documents as select * from frame")
     else:
-        rows = spark.read.parquet(f"{SMALL}/documents.parquet")
-        con.sql(f"create view documents as select * from '{SMALL}/documents.parquet'")
+        rows = spark.read.parquet(f"{table}/documents.parquet")
+        con.sql(f"create view documents as select * from '{table}/documents.parquet'")
     assert collected(rules.licences(rows)) == sorted(con.sql(rules.oracle_sql()).fetchall(), key=repr)

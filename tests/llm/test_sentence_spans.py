@@ -60,8 +60,12 @@ def brute(rows, min_words=spans.MIN_WORDS, longest=spans.LONGEST):
                 if sum(len(words) for _, words in parts[k:e]) >= min_words:
                     places.append((k, e))
                     break
-        if places and places[-1][1] < len(parts):
-            places.append((places[-1][0], len(parts)))
+        for e in range(1, len(parts) + 1):
+            for k in range(e - 1, -1, -1):
+                if sum(len(words) for _, words in parts[k:e]) >= min_words:
+                    places.append((k, e))
+                    break
+        places = sorted(set(places))
         runs = []
         for k, e in places:
             words = tuple(w for _, part in parts[k:e] for w in part)

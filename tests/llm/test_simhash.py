@@ -93,8 +93,16 @@ def test_components_of_chains_stars_and_noise(spark):
     assert sizes == {0: 51, 100: 40}
 
 
-def test_one_of_each_keeps_columns(spark):
+def test_one_of_each_decides_by_row(spark):
     kept = simhash.one_of_each(clashing(spark))
     assert kept.columns == clashing(spark).columns
     ids = [row["doc_id"] for row in kept.collect()]
-    assert 6 not in ids and {1, 4, 5, 8, 10, 11} <= set(ids)
+    assert {6, 7}.isdisjoint(ids) and ids.count(5) == 2 and None in ids
+    assert {1, 4, 8, 10, 11} <= set(ids)
+    words = "one two three four five six seven"
+    rows = [(None, words), (5, words), (5, "else altogether, and long enough"), (9, None), (None, "")]
+    rows += [(None, "nobody has an id for this"), (None, "nobody has an id for this")]
+    found = sorted(
+        ((r["doc_id"], r["text"]) for r in simhash.one_of_each(documents(spark, rows)).collect()), key=repr
+    )
+    assert found == sorted([rows[1], rows[2], rows[3], rows[5], rows[6]], key=repr)

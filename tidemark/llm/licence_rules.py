@@ -128,7 +128,7 @@ RULES = [
     ("Unlicense", ["unlicense-release"]),
 ]
 
-#: Sentences and rules beyond the tables of the SQL, which stays as it is.
+#: Further sentences and rules, some made from the ones above.
 MORE_SENTENCES = {
     "apache-copy-at": "You may obtain a copy of the License at",
     "apache-url": "http://www.apache.org/licenses/LICENSE-2.0",
@@ -159,11 +159,10 @@ MORE_RULES = [
     ("AGPL-3.0-or-later", ["agpl-redistribute-3", "gpl-warranty"]),
 ]
 
-#: Where a text is cut: after a sentence end and white space, and at blank lines.
+#: Where a text is cut: after a sentence end and white space, and at lines that are blank or
+#: hold comment marks only.
 SENTENCE_END = r"([.!?])[ \t\r\n]+"
-BLANK_LINE = r"\n[ \t\r]*\n"
 CUT = "\x1e"
-#: The same for lines that hold comment marks only.
 BLANK_COMMENT = r"\n[ \t\r*#/;%]*\n"
 
 
@@ -291,10 +290,14 @@ def licences(documents: DataFrame) -> DataFrame:
 def oracle_sql() -> str:
     """The same scan in SQL, from the same fixed tables."""
     quoted = lambda value: "'" + value.replace("'", "''") + "'"
-    known = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in SENTENCES.items())
+    known = ", ".join(
+        f"({quoted(name)}, {quoted(text)})"
+        for sentence in SENTENCES | MORE_SENTENCES
+        for name, text in known_pieces(sentence)
+    )
     rules = ", ".join(
         f"({number}, {quoted(name)}, {quoted(',' + ','.join(ids) + ',')})"
-        for number, (name, ids) in enumerate(RULES)
+        for number, (name, ids) in enumerate(all_rules())
     )
     plain = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
     return f"""
@@ -305,7 +308,7 @@ WITH known AS (
     SELECT * FROM (VALUES {rules}) AS t(number, licence, ids)
 ), cut AS (
     SELECT doc_id, string_split(regexp_replace(regexp_replace(text,
-        '{SENTENCE_END}', '\\1' || chr(30), 'g'), '{BLANK_LINE}', chr(30), 'g'), chr(30)) AS parts
+        '{SENTENCE_END}', '\\1' || chr(30), 'g'), '{BLANK_COMMENT}', chr(30), 'g'), chr(30)) AS parts
     FROM documents WHERE text IS NOT NULL
 ), placed AS (
     SELECT doc_id, unnest(parts) AS whole, generate_subscripts(parts, 1) AS place FROM cut
@@ -316,10 +319,14 @@ WITH known AS (
 ), single AS (
     SELECT doc_id, place, unnest(parts) AS sentence, generate_subscripts(parts, 1) AS line
     FROM lines
+), met AS (
+    SELECT doc_id, place, line, sentence_id,
+           min(line) OVER (PARTITION BY doc_id, place) AS first_line
+    FROM single JOIN known ON {plain.format("single.sentence")} = known.sentence
 ), found AS (
     SELECT doc_id, place, line, sentence_id, place - lag(place)
         OVER (PARTITION BY doc_id ORDER BY place, line) > {MAX_GAP + 1} AS apart
-    FROM single JOIN known ON {plain.format("single.sentence")} = known.sentence
+    FROM met WHERE line = 1 OR first_line > 1
 ), sequences AS (
     SELECT doc_id, ',' || string_agg(CASE WHEN apart THEN '|,' ELSE '' END || sentence_id || ',',
                                      '' ORDER BY place, line) AS ids

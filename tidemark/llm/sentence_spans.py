@@ -85,13 +85,11 @@ def runs(found: Sentences, n_rows: int, powers: Powers, min_words: int):
     until = begin + 1
     since = np.searchsorted(bounds, bounds[until] - min_words, "right") - 1
     whole = since >= before[found.row]
-    both = np.stack(
-        [
-            np.concatenate([begin[fits], since[whole]]),
-            np.concatenate([end[fits], until[whole]]),
-        ]
+    both = np.concatenate(
+        [begin[fits] << 32 | end[fits], since[whole] << 32 | until[whole]]
     )
-    begin, end = np.unique(both, axis=1)
+    both = np.unique(both)
+    begin, end = both >> 32, both & 0xFFFFFFFF
     row = found.row[begin]
     powers.reach(len(found.hashes) + 1)
     keys = []

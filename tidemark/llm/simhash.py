@@ -37,6 +37,9 @@ GOLAY = 0b101011100011
 #: First bit and width of each block; a narrow block is read as 23 bits with leading zeros.
 BLOCKS = ((0, 23), (23, 23), (46, 18))
 
+#: Different fingerprints up to which one block makes an anchor; two blocks make more anchors.
+SINGLE_BLOCK_POINTS = 10_000_000
+
 #: Homes in one group, and visits compared with them at once.
 HOMES = 4096
 VISITS = 1024
@@ -94,15 +97,19 @@ def fingerprint_batch(column: pa.Array, width: int = SHINGLE_WORDS) -> np.ndarra
 
 
 def fingerprints(documents: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, bits``: the fingerprint as a signed long."""
+    """``doc_id, bits, text_key``: the fingerprint as a signed long, a hash to find the row by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = fingerprint_batch(batch.column(1), width).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits)], ["doc_id", "bits"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(bits), batch.column(2)], ["doc_id", "bits", "text_key"]
+            )
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, bits long")
+    rows = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")
+    )
+    return rows.mapInArrow(run, "doc_id long, bits long, text_key long")
 
 
 def golay_errors() -> np.ndarray:
@@ -284,43 +291,84 @@ def links(points: DataFrame, distance: int = MAX_DISTANCE, joint: int = 1) -> Da
     )
 
 
+def components_of(marks: DataFrame, distance: int, joint: int | None) -> DataFrame:
+    """``marks`` with the ``component`` of each fingerprint: the least one that links reach."""
+    points = stored(marks.select("bits").distinct(), "simhash-points")
+    if joint is None:
+        joint = 1 if points.count() <= SINGLE_BLOCK_POINTS else 2
+    named = points.select(F.col("bits").alias("point"), "bits")
+    found = components(links(named, distance, joint), "a", "b")
+    labels = points.join(found, F.col("bits") == F.col("node"), "left").select(
+        "bits", F.coalesce("component", "bits").alias("component")
+    )
+    return marks.join(labels, "bits")
+
+
 def near_duplicates(
     documents: DataFrame,
     width: int = SHINGLE_WORDS,
     distance: int = MAX_DISTANCE,
-    joint: int = 1,
+    joint: int | None = None,
 ) -> DataFrame:
     """One row per document: fingerprint, and the least id that its links reach.
 
     Words are lower-cased in A-Z only; a text of fewer than ``width`` words has one shingle,
-    one without words (also null) has fingerprint zero. Rows without an id take the
-    component of their fingerprint; where no row of a fingerprint has an id, it is null.
-    Repeated rows stay repeated. Only ``doc_id`` and ``text`` are read. ``joint`` blocks
-    form an anchor together; 2 suits beyond about ten million different fingerprints.
+    one without words (also null) has fingerprint zero. Rows without an id have the
+    component of their fingerprint; where none of its rows has an id, it is null. Repeated
+    rows stay repeated. Only ``doc_id`` and ``text`` are read. ``joint`` blocks
+    form an anchor together, by default one up to ``SINGLE_BLOCK_POINTS`` different
+    fingerprints and two beyond, so that an anchor's homes stay few; both find every link.
 
     Columns: ``doc_id, fingerprint, component_id``.
     """
-    marks = stored(fingerprints(documents, width), "simhash-marks")
-    points = stored(marks.groupBy("bits").agg(F.min("doc_id").alias("point")), "simhash-points")
-    named = points.where("point is not null").select("point", "bits")
-    found = components(links(named, distance, joint), "a", "b")
-    labels = points.join(found, F.col("point") == F.col("node"), "left").select(
-        "bits", F.coalesce("component", "point").alias("component_id")
+    marks = stored(fingerprints(documents, width).drop("text_key"), "simhash-marks")
+    named = stored(components_of(marks, distance, joint), "simhash-named")
+    least = stored(
+        named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "simhash-least"
     )
-    return marks.join(labels, "bits").select(
+    return named.join(least, "component").select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def one_of_each(documents: DataFrame, **options) -> DataFrame:
-    """``documents`` with the smallest id of each component; columns stay as they are."""
-    found = near_duplicates(documents, **options)
+def one_of_each(
+    documents: DataFrame,
+    width: int = SHINGLE_WORDS,
+    distance: int = MAX_DISTANCE,
+    joint: int | None = None,
+) -> DataFrame:
+    """``documents`` with one text of each component; columns stay as they are.
+
+    Of a component the smallest id stays, of a repeated id the text with the least hash, and
+    a row without an id only where no row has one. Rows that repeat an id
+    and its text stay or go together.
+    """
+    marks = stored(fingerprints(documents, width), "simhash-marks")
+    named = stored(
+        components_of(marks, distance, joint).select("component", "doc_id", "text_key").distinct(),
+        "simhash-named",
+    )
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    best = stored(
+        named.groupBy("component")
+        .agg(
+            F.min_by(F.struct("doc_id", "text_key"), order).alias("best"),
+            F.count("*").alias("times"),
+        )
+        .where("times > 1")
+        .drop("times"),
+        "simhash-best",
+    )
     dropped = (
-        found.where("doc_id <> component_id")
-        .select(F.col("doc_id").alias("dropped_id"))
-        .distinct()
+        named.join(best, "component")
+        .where(F.struct("doc_id", "text_key") != F.col("best"))
+        .select(F.col("doc_id").alias("dropped_id"), F.col("text_key").alias("dropped_key"))
         .hint("shuffle_hash")
     )
+    own_id = documents["doc_id"].cast("long")
     return documents.join(
-        dropped, documents["doc_id"].cast("long") == dropped["dropped_id"], "left_anti"
+        dropped,
+        own_id.eqNullSafe(dropped["dropped_id"])
+        & (F.xxhash64(documents["text"]) == dropped["dropped_key"]),
+        "left_anti",
     )
