@@ -1,0 +1,79 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from tests.conftest import SMALL
+from tidemark.llm import whitening
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows):
+    """``(vec_id, deviation)`` by row, and per component the spread, share and projections."""
+    kept = [
+        (i, [math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v])
+        for i, v in rows
+        if v and all(c is not None and math.isfinite(c) for c in v)
+    ]
+    points = sorted({tuple(x) for _, x in kept})
+    n, sums = len(points), [sum(column) for column in zip(*points)]
+    mean = np.array([total / n for total in sums])
+    apart = np.array(points) - mean
+    values, vectors = np.linalg.eigh(apart.T @ apart / n)
+    order = np.argsort(-values)[:16]
+    deviations = [(i, sum((n * a - s) ** 2 for a, s in zip(x, sums))) for i, x in kept]
+    scores = [(np.array(x) - mean) @ vectors[:, order] / np.sqrt(values[order]) for _, x in kept]
+    return n, deviations, scores, values[order] / values.sum()
+
+
+def compared(found, rows):
+    n, deviations, scores, shares = brute(rows)
+    by_row = {}
+    for row in found:
+        assert row["n"] == n and row["identity_error"] < 1e-8
+        assert row["explained"] == pytest.approx(shares[row["component"] - 1], rel=1e-9)
+        by_row.setdefault((row["vec_id"], row["deviation"]), {})[row["component"]] = row["whitened"]
+    assert sorted(by_row) == sorted(set(deviations))
+    signs = {}
+    for key, expected in zip(deviations, scores):
+        for component, value in by_row[key].items():
+            wanted = expected[component - 1]
+            sign = signs.setdefault(component, 1 if value * wanted >= 0 else -1)
+            assert value * sign == pytest.approx(wanted, abs=1e-7)
+
+
+@pytest.mark.parametrize("size", [3, 24])
+def test_equals_numpy(spark, monkeypatch, size):
+    monkeypatch.setattr(whitening, "BLOCK_ROWS", (7, 7))
+    monkeypatch.setattr(whitening, "SLAB_ROWS", 50)
+    draw = random.Random(size)
+    rows = [(i, [draw.gauss(0, 1 + k) + 3 * k for k in range(size)]) for i in range(120)]
+    rows += [(500 + i, rows[7][1]) for i in range(40)] + [(3, rows[3][1])]
+    rows += [(600, None), (601, [None] * size), (602, [float("nan")] * size), (603, [])]
+    rows += [(604, [float("inf")] + [1.0] * (size - 1))]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    found = whitening.whitened(frame).collect()
+    compared(found, rows)
+    assert len(found) == (120 + 41) * min(size, 16)
+
+
+def test_given_table(spark):
+    frame = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    rows = [(row["vec_id"], row["embedding"]) for row in frame.collect()]
+    compared(whitening.whitened(frame).collect(), rows)
+
+
+def test_awkward_tables(spark):
+    assert whitening.whitened(spark.createDataFrame([], SCHEMA)).collect() == []
+    rows = [(None, [0.5, 0.25], 0), (2, [0.5, 0.25], 1), (3, [1e300, 1.0], 1), (4, [1.0], 1)]
+    single = whitening.whitened(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert [tuple(row) for row in single.orderBy("vec_id", "component").collect()] == [
+        (i, k, 1, 0, None, None, None) for i in (None, 2) for k in (1, 2)
+    ]
+    flat = spark.createDataFrame([(i, [float(i), 1.0], "a", 1.0) for i in range(9)],
+                                 "vec_id long, embedding array<double>, `index` string, whitened double")
+    found = whitening.whitened(flat).collect()
+    assert {row["component"]: row["whitened"] is None for row in found} == {1: False, 2: True}
+    assert {row["explained"] for row in found if row["component"] == 1} == {1.0}

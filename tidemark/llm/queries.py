@@ -14,11 +14,13 @@ from tidemark.llm import (
     kneser_ney,
     langid_crf,
     licence_rules,
+    line_dedup,
     pairwise_quality,
     qgram_decontam,
     sentence_spans,
     simhash,
     suffix_dedup,
+    whitening,
 )
 
 
@@ -90,6 +92,14 @@ def op10_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_rules.licences(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_langid_crf": op1_langid_crf,
@@ -102,9 +112,15 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_kneser_ney": op8_kneser_ney,
         "op9_pairwise_quality": op9_pairwise_quality,
         "op10_licence_rules": op10_licence_rules,
+        "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_line_dedup": op12_line_dedup,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL, "op10_licence_rules": licence_rules.oracle_sql()}
+    return {
+        "op5_exact_dedup": OP5_SQL,
+        "op10_licence_rules": licence_rules.oracle_sql(),
+        "op12_line_dedup": line_dedup.ORACLE_SQL,
+    }
