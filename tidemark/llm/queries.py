@@ -16,6 +16,7 @@ from tidemark.llm import (
     licence_rules,
     line_dedup,
     pairwise_quality,
+    prefix_trie,
     qgram_decontam,
     sentence_spans,
     simhash,
@@ -100,6 +101,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_langid_crf": op1_langid_crf,
@@ -114,6 +119,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_licence_rules": op10_licence_rules,
         "op11_embedding_whitening": op11_embedding_whitening,
         "op12_line_dedup": op12_line_dedup,
+        "op13_prefix_trie": op13_prefix_trie,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -123,4 +129,5 @@ def all_oracles() -> dict[str, str]:
         "op5_exact_dedup": OP5_SQL,
         "op10_licence_rules": licence_rules.oracle_sql(),
         "op12_line_dedup": line_dedup.ORACLE_SQL,
+        "op13_prefix_trie": prefix_trie.ORACLE_SQL,
     }
