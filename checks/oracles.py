@@ -321,6 +321,8 @@ def all_oracles() -> dict[str, str]:
         found[f"gold_{stream}_hourly"] = f"with {gold_parts(stream)} select * from gold"
         found[f"layers_roundtrip_{stream}"] = f"with {gold_parts(stream)} select * from gold"
         found[f"encode_roundtrip_{stream}"] = encoded(stream, *TOPICS[stream])
+    for stream in ("payments", "user_events"):
+        found[f"silver_{stream}_incremental"] = found[f"silver_{stream}"]
     found["stream_bronze_payments_resume"] = bronze("payments")
     found["payments_baseline"] = f"with {gold_parts('payments')}, {BASELINE} select * from baseline"
     found["payments_flagged_hours"] = f"""with {gold_parts('payments')}, {BASELINE}

@@ -20,7 +20,7 @@ from tidemark.operators.baseline import (
     worst_first,
 )
 from tidemark.operators.cleaning import clean
-from tidemark.operators.envelope import decode, encode, log_records
+from tidemark.operators.envelope import LOG_DATE, decode, encode, log_records
 from tidemark.operators.hourly import highest, hourly
 from tidemark.operators.incidents import incidents
 from tidemark.operators.journeys import abandoned_carts, funnel
@@ -31,6 +31,7 @@ from tidemark.operators.retention import retained
 from tidemark.operators.sequence import CHUNK_OFFSETS, entity_sequence
 from tidemark.operators.timeline import payment_trace, timeline, timeline_of_log
 from tidemark.operators.trends import coarser, versus_last_week
+from tidemark.plans.incremental import IncrementalSilver
 from tidemark.plans.layers import Lakehouse
 from tidemark.plans.streams import HOUR, PAYMENTS, STREAMS, SYSTEM_LOGS, USER_EVENTS, StreamSpec
 from tidemark.session import scratch_path
@@ -185,6 +186,18 @@ def _ingest(lake: Lakehouse, log: str, spec: StreamSpec) -> None:
     ).awaitTermination()
 
 
+def incremental_silver(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
+    """Silver kept up with a Bronze table whose days come in three parts, out of order."""
+    lake = Lakehouse(spark, scratch_path(spark, "incremental"))
+    rows = rows_of(spark, sf_dir, spec).withColumn(LOG_DATE, F.to_date("kafka_timestamp"))
+    part = F.dayofmonth(LOG_DATE) * 2 % 3
+    for number in range(3):
+        days = rows.where(part == number).hint("rebalance", LOG_DATE)
+        days.write.mode("append").partitionBy(LOG_DATE).parquet(lake.bronze_path(spec))
+        IncrementalSilver(lake, spec).refresh()
+    return zoneless(lake.silver(spec))
+
+
 # The end of the test tables' month, seen from which retention is measured.
 AS_OF = "2024-01-31 00:00:00"
 WEEK_OF_HOURS = 168
@@ -288,6 +301,8 @@ def all_queries() -> dict[str, Query]:
         found[f"layers_roundtrip_{name}"] = partial(layers_roundtrip, spec=spec)
         found[f"stream_bronze_{name}"] = partial(stream_bronze, spec=spec)
     found["stream_bronze_payments_resume"] = partial(stream_bronze_resume, spec=PAYMENTS)
+    for spec in (PAYMENTS, USER_EVENTS):
+        found[f"silver_{spec.name}_incremental"] = partial(incremental_silver, spec=spec)
     found["payments_baseline"] = payments_baseline
     found["payments_flagged_hours"] = payments_flagged_hours
     found["layers_flagged_hours"] = layers_flagged_hours

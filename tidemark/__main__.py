@@ -16,6 +16,7 @@ from tidemark.operators.baseline import worst_first
 from tidemark.operators.envelope import decode
 from tidemark.operators.hourly import highest
 from tidemark.operators.timeline import payment_trace, timeline_of_log
+from tidemark.plans.incremental import IncrementalSilver
 from tidemark.plans.layers import Lakehouse
 from tidemark.plans.streams import HOUR, PAYMENTS, STREAMS, StreamSpec
 from tidemark.session import build_session
@@ -54,10 +55,13 @@ def run_bronze(lake: Lakehouse, spec: StreamSpec, options: argparse.Namespace) -
     ).awaitTermination()
 
 
-def run_silver(lake: Lakehouse, spec: StreamSpec) -> None:
-    quality = lake.refresh_silver(spec)
+def run_silver(lake: Lakehouse, spec: StreamSpec, options: argparse.Namespace) -> None:
+    if options.incremental:
+        summary, title = IncrementalSilver(lake, spec).refresh(), "Days read and rows written"
+    else:
+        summary, title = lake.refresh_silver(spec), "Data quality"
     preview("Silver sample", lake.silver(spec), 5)
-    preview("Data quality", quality)
+    preview(title, summary)
 
 
 def run_gold(lake: Lakehouse, spec: StreamSpec, options: argparse.Namespace) -> None:
@@ -140,6 +144,9 @@ def parse_options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-bytes", type=int, help="most bytes of log files per batch")
     parser.add_argument("--out", help="table of the feed, if not below the root folder")
     parser.add_argument("--preview", type=int, help="rows of each batch of a feed to show only")
+    parser.add_argument(
+        "--incremental", action="store_true", help="Silver: read new days of Bronze only"
+    )
     parser.add_argument("--first-date", help="first day of Gold to rebuild")
     parser.add_argument("--last-date", help="last day of Gold to rebuild")
     parser.add_argument("--min-hours", type=int, default=1, help="history that a threshold needs")
@@ -162,7 +169,7 @@ def main(arguments: list[str] | None = None) -> None:
     if options.layer == "bronze":
         run_bronze(lake, spec, options)
     elif options.layer == "silver":
-        run_silver(lake, spec)
+        run_silver(lake, spec, options)
     elif options.layer == "gold":
         run_gold(lake, spec, options)
     elif options.layer == "baseline":

@@ -60,6 +60,14 @@ class Lakehouse:
         schema = f"{spec.ddl}, {LOG_POSITION_DDL}{raw}, {LOG_DATE} date"
         return self._read(self.bronze_path(spec), schema)
 
+    def bronze_of_days(self, spec: StreamSpec, days: list[str | None]) -> DataFrame:
+        """Bronze rows of some days of the log; the files of other days are not read."""
+        return _on_days(self._bronze_days(spec), LOG_DATE, days).drop(LOG_DATE)
+
+    def silver_of_days(self, spec: StreamSpec, days: list) -> DataFrame:
+        """Silver rows of some days, with the day; None stands for rows without a time."""
+        return _on_days(self._silver_days(spec), EVENT_DATE, days)
+
     def expire_bronze(self, spec: StreamSpec, as_of: str) -> list[str]:
         """Removes the days of Bronze that the stream's retention no longer covers.
 
@@ -208,6 +216,12 @@ def _by_day(rows: DataFrame, time: str) -> DataFrame:
     return rows.withColumn(EVENT_DATE, F.to_date(time)).hint("rebalance", EVENT_DATE)
 
 
+def _on_days(rows: DataFrame, column: str, days: list) -> DataFrame:
+    dated = [F.lit(str(day)).cast("date") for day in days if day is not None]
+    on_one = F.col(column).isin(*dated) if dated else F.lit(False)
+    return rows.where(on_one | F.col(column).isNull() if None in days else on_one)
+
+
 def _of_days(rows: DataFrame, first_date: str | None, last_date: str | None) -> DataFrame:
     if first_date is not None:
         rows = rows.where(F.col(EVENT_DATE) >= F.lit(first_date).cast("date"))

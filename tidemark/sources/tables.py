@@ -137,6 +137,13 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return [name.split("=", 1)[1] for name in names if name.startswith(f"{column}=")]
 
 
+def stored_files(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number and bytes of all files below ``path``."""
+    files, folder = _files(spark, path)
+    summary = files.getContentSummary(folder)
+    return summary.getFileCount(), summary.getLength()
+
+
 def remove_partitions(
     spark: SparkSession, path: str, column: str, values: Iterable, table_format: str = "parquet"
 ) -> None:
