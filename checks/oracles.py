@@ -267,8 +267,10 @@ u as (
       {round2("stddev_samp(checkouts) over (partition by device)")} as spread
     from (
       select device, hour, coalesce(sum(checkouts), 0) as checkouts
-      from (select unnest(generate_series((select min(hour) from g), (select max(hour) from g),
-          interval 1 hour)) as hour)
+      from (select distinct hour from (
+            select unnest(generate_series(hour, hour + interval 24 hour, interval 1 hour)) as hour
+            from (select distinct hour from g where hour is not null))
+          where hour <= (select max(hour) from g))
         cross join (select distinct device from g where hour is not null)
         left join g using (device, hour) group by device, hour))
   where checkouts < mean - 2 * spread group by hour),

@@ -186,7 +186,9 @@ def _ingest(lake: Lakehouse, log: str, spec: StreamSpec) -> None:
     ).awaitTermination()
 
 
-def incremental_silver(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
+def incremental_silver(
+    spark: SparkSession, sf_dir: str, spec: StreamSpec, buckets: int
+) -> DataFrame:
     """Silver kept up with a Bronze table whose days come in three parts, out of order."""
     lake = Lakehouse(spark, scratch_path(spark, "incremental"))
     rows = rows_of(spark, sf_dir, spec).withColumn(LOG_DATE, F.to_date("kafka_timestamp"))
@@ -194,7 +196,7 @@ def incremental_silver(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> Da
     for number in range(3):
         days = rows.where(part == number).hint("rebalance", LOG_DATE)
         days.write.mode("append").partitionBy(LOG_DATE).parquet(lake.bronze_path(spec))
-        IncrementalSilver(lake, spec).refresh()
+        IncrementalSilver(lake, spec, buckets).refresh()
     return zoneless(lake.silver(spec))
 
 
@@ -302,7 +304,7 @@ def all_queries() -> dict[str, Query]:
         found[f"stream_bronze_{name}"] = partial(stream_bronze, spec=spec)
     found["stream_bronze_payments_resume"] = partial(stream_bronze_resume, spec=PAYMENTS)
     for spec in (PAYMENTS, USER_EVENTS):
-        found[f"silver_{spec.name}_incremental"] = partial(incremental_silver, spec=spec)
+        found[f"silver_{spec.name}_incremental"] = partial(incremental_silver, spec=spec, buckets=8)
     found["payments_baseline"] = payments_baseline
     found["payments_flagged_hours"] = payments_flagged_hours
     found["layers_flagged_hours"] = layers_flagged_hours
