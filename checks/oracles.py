@@ -212,9 +212,9 @@ where level = 'ERROR' and one = 'WARN' and two = 'WARN' and three = 'WARN'"""
 # From the definition: a user got as far as a stage if there is a chain of events, each after
 # the one before it, through all stages up to that one. Walking a user's events in order, an
 # event ends such a chain if its stage follows one that some earlier event has ended.
-FUNNEL = """,
+STAGES_REACHED = """,
 walked as (
-  select user_id, event_type, row_number() over in_order as step
+  select user_id, event_type, event_timestamp, row_number() over in_order as step
   from silver where event_timestamp is not null
   window in_order as (partition by user_id
     order by event_timestamp, kafka_timestamp, "partition", "offset")),
@@ -225,7 +225,8 @@ c as (select *, min(case when event_type = 'add_to_cart' and step > viewed then
 k as (select *, min(case when event_type = 'checkout' and step > carted then step end)
   over (partition by user_id) as checked from c),
 p as (select *, min(case when event_type = 'purchase' and step > checked then step end)
-  over (partition by user_id) as bought from k)
+  over (partition by user_id) as bought from k)"""
+FUNNEL = f"""{STAGES_REACHED}
 select (select count(distinct user_id) from silver) as users,
   count(distinct case when viewed is not null then user_id end) as page_view_users,
   count(distinct case when carted is not null then user_id end) as add_to_cart_users,
@@ -233,6 +234,26 @@ select (select count(distinct user_id) from silver) as users,
   count(distinct case when bought is not null then user_id end) as purchase_users
 from p"""
 
+JOURNEYS = f"""{STAGES_REACHED}
+select user_id, max(case when step = viewed then event_timestamp end) as page_view_at,
+  max(case when step = carted then event_timestamp end) as add_to_cart_at,
+  max(case when step = checked then event_timestamp end) as checkout_at,
+  max(case when step = bought then event_timestamp end) as purchase_at,
+  cast(count(distinct viewed) + count(distinct carted) + count(distinct checked)
+    + count(distinct bought) as int) as stages_reached
+from (select user_id from silver group by user_id) left join p using (user_id) group by user_id"""
+
+EXPIRED_CARTS = """,
+moments as (
+  select user_id, event_timestamp as added_at, bool_or(event_type = 'purchase') as paid
+  from silver where event_timestamp is not null and event_type in ('add_to_cart', 'purchase')
+  group by user_id, event_timestamp),
+following as (select *, lead(added_at) over (partition by user_id order by added_at) as next_at
+  from moments)
+select user_id, added_at from following
+where not paid and (next_at is null or next_at > added_at + interval 1 hour)
+  and added_at + interval 1 hour <= timestamp '2024-01-31 00:00:00'"""
+
 ABANDONED = """
 select user_id, max(case when event_type = 'add_to_cart' then event_timestamp end)
     as last_add_to_cart,
@@ -400,6 +421,8 @@ select coalesce(merchant_id, 'unknown') || '_' || coalesce(strftime(kafka_timest
   'unknown') as dated_key, count(*) as events from raw group by 1"""
     found |= shop.all_oracles()
     found["user_funnel"] = f"with {silver_parts('user_events')} {FUNNEL}"
+    found["user_journeys"] = f"with {silver_parts('user_events')} {JOURNEYS}"
+    found["expired_carts"] = f"with {silver_parts('user_events')} {EXPIRED_CARTS}"
     found["abandoned_carts"] = f"with {silver_parts('user_events')} {ABANDONED}"
     found["incident_hours"] = INCIDENTS
     found["user_key_load"] = f"""with {raw("user_events")},

@@ -23,7 +23,7 @@ from tidemark.operators.cleaning import clean
 from tidemark.operators.envelope import LOG_DATE, decode, encode, log_records
 from tidemark.operators.hourly import highest, hourly
 from tidemark.operators.incidents import incidents
-from tidemark.operators.journeys import abandoned_carts, funnel
+from tidemark.operators.journeys import abandoned_carts, expired_carts, funnel, journeys
 from tidemark.operators.keys import dated_key, key_load
 from tidemark.operators.patterns import escalations
 from tidemark.operators.quality import quality
@@ -346,6 +346,8 @@ def all_queries() -> dict[str, Query]:
     found |= shop.all_queries()
     found["user_funnel"] = partial(user_journeys, summary=funnel)
     found["abandoned_carts"] = partial(user_journeys, summary=abandoned_carts)
+    found["user_journeys"] = partial(user_journeys, summary=journeys)
+    found["expired_carts"] = partial(user_journeys, summary=partial(expired_carts, until=AS_OF))
     found["incident_hours"] = incident_hours
     found["user_key_load"] = partial(load_of_keys, spec=USER_EVENTS)
     found["payments_half_minutes"] = partial(half_minutes, spec=PAYMENTS)
