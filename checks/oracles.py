@@ -401,7 +401,8 @@ from gold group by merchant_id"""
     found["service_escalations"] = f"with {silver_parts('system_logs')} {ESCALATIONS}"
     found["service_escalations_in_chunks"] = found["service_escalations"]
     found["entity_sequence_in_runs"] = found["entity_sequence_user_events"]
-    found["system_logs_daily"] = DAILY_LOGS
+    found["system_logs_daily"] = found["system_logs_daily_from_gold"] = DAILY_LOGS
+    found["payments_baseline_by_days"] = found["payments_baseline"]
     found["payments_stored_flagged_hours"] = found["payments_flagged_hours_with_history"]
     found["payments_by_currency_versus_last_week"] = f"""{BY_CURRENCY}
 select g.merchant_id, g.currency, g.hour, g.failure_rate_pct,

@@ -32,7 +32,7 @@ from tidemark.operators.sequence import CHUNK_OFFSETS, entity_sequence
 from tidemark.operators.timeline import payment_trace, timeline, timeline_of_log
 from tidemark.operators.trends import coarser, versus_last_week
 from tidemark.plans.incremental import IncrementalSilver
-from tidemark.plans.layers import Lakehouse
+from tidemark.plans.layers import EVENT_DATE, Lakehouse
 from tidemark.plans.streams import HOUR, PAYMENTS, STREAMS, SYSTEM_LOGS, USER_EVENTS, StreamSpec
 from tidemark.session import scratch_path
 from tidemark.sources.tables import replace_table
@@ -248,6 +248,24 @@ def system_logs_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(hourly(silver_of(spark, sf_dir, SYSTEM_LOGS), SYSTEM_LOGS, "day"))
 
 
+def daily_from_gold(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
+    """Days merged from a stored Gold table, averages included."""
+    lake = Lakehouse(spark, scratch_path(spark, "daily"))
+    replace_table(silver_of(spark, sf_dir, spec), lake.silver_path(spec))
+    lake.refresh_gold(spec)
+    return zoneless(coarser(lake.gold_states(spec), spec, "day"))
+
+
+def baseline_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The baseline after Gold's days have come in three parts, each read once."""
+    lake = Lakehouse(spark, scratch_path(spark, "baseline-days"))
+    hours = gold_of(spark, sf_dir, PAYMENTS).withColumn(EVENT_DATE, F.to_date(HOUR))
+    replace_table(hours, lake.gold_path(PAYMENTS), partition_by=[EVENT_DATE])
+    lake.refresh_baseline_days(PAYMENTS)
+    lake.refresh_baseline_days(PAYMENTS, "2024-01-03", "2024-01-09")
+    return lake.refresh_baseline_days(PAYMENTS, "2024-01-10", None)
+
+
 # Payments with two columns that name the entity.
 BY_CURRENCY = replace(
     PAYMENTS, name="payments_by_currency", grain=("merchant_id", "currency", HOUR)
@@ -335,6 +353,8 @@ def all_queries() -> dict[str, Query]:
     found["service_escalations_in_chunks"] = partial(service_escalations, chunk_rows=100)
     found["entity_sequence_in_runs"] = partial(sequence, spec=USER_EVENTS, chunk_offsets=150)
     found["system_logs_daily"] = system_logs_daily
+    found["system_logs_daily_from_gold"] = partial(daily_from_gold, spec=SYSTEM_LOGS)
+    found["payments_baseline_by_days"] = baseline_by_days
     found["payments_by_currency_versus_last_week"] = partial(
         by_currency, question=versus_last_week
     )

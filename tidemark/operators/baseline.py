@@ -47,6 +47,47 @@ def baseline(gold: DataFrame, spec: StreamSpec, min_hours: int = 1) -> DataFrame
     return _with_threshold(figures, spec, min_hours).drop("_hours")
 
 
+def day_figures(gold: DataFrame, spec: StreamSpec, day: str) -> DataFrame:
+    """Per entity and day of Gold: hours, mean rate and sum of squared deviations from it."""
+    rate = F.col(spec.rate)
+    return gold.groupBy(*spec.entities, F.to_date(HOUR).alias(day)).agg(
+        F.count(rate).alias("hours"),
+        F.avg(rate).alias("mean"),
+        (F.var_pop(rate) * F.count(rate)).alias("squares"),
+    )
+
+
+# Figures of two parts of a history, merged pairwise so that no large squares cancel.
+_MERGE = """struct(
+    whole.hours + part.hours as hours,
+    if(part.hours = 0, whole.mean,
+        whole.mean + (part.mean - whole.mean) * part.hours / (whole.hours + part.hours)) as mean,
+    whole.squares + part.squares + if(part.hours = 0, 0D, (part.mean - whole.mean)
+        * (part.mean - whole.mean) * whole.hours * part.hours / (whole.hours + part.hours))
+        as squares)"""
+
+
+def thresholds_of_days(
+    figures: DataFrame, spec: StreamSpec, day: str, min_hours: int = 1
+) -> DataFrame:
+    """:func:`baseline` from the figures of all days of each entity, one short row a day."""
+    mean, spread = _columns(spec)
+    parts = "sort_array(collect_list(struct({0}, hours, coalesce(mean, 0D) as mean, {1} as squares)))"
+    parts = parts.format(day, "coalesce(squares, 0D)")
+    nothing = "struct(0L as hours, 0D as mean, 0D as squares)"
+    merged = figures.groupBy(*spec.entities).agg(
+        F.expr(f"aggregate({parts}, {nothing}, (whole, part) -> {_MERGE})").alias("_whole")
+    )
+    known = merged.selectExpr(
+        *spec.entities,
+        "_whole.hours as _hours",
+        f"if(_whole.hours > 0, {round2('_whole.mean')}, null) as {mean}",
+        f"if(_whole.hours > 1, {round2('sqrt(_whole.squares / (_whole.hours - 1))')}, null)"
+        f" as {spread}",
+    )
+    return _with_threshold(known, spec, min_hours).drop("_hours")
+
+
 def percentile_baseline(
     gold: DataFrame, spec: StreamSpec, share: float = 0.95, min_hours: int = 1
 ) -> DataFrame:

@@ -25,6 +25,41 @@ def hourly(silver: DataFrame, spec: StreamSpec, unit: str = HOUR) -> DataFrame:
     return gold.withColumns(rates) if rates else gold
 
 
+def hourly_states(silver: DataFrame, spec: StreamSpec, unit: str = HOUR) -> DataFrame:
+    """The same groups with states that merge over hours in the measures' place."""
+    grain = [
+        F.date_trunc(unit, "event_timestamp").alias(unit) if column == HOUR else F.col(column)
+        for column in spec.grain
+    ]
+    states = [F.expr(sql).alias(name) for name, (sql, _) in spec.states.items()]
+    return silver.groupBy(*grain).agg(*states)
+
+
+def finished(states: DataFrame, spec: StreamSpec, unit: str = HOUR) -> DataFrame:
+    """Measures and rates of merged states, in the spec's order."""
+    grain = [unit if column == HOUR else column for column in spec.grain]
+    measures = [
+        F.expr(measure.finish).alias(name) if measure.states else F.col(name)
+        for name, measure in spec.measures.items()
+    ]
+    gold = states.select(*grain, *measures)
+    rates = {name: F.expr(sql) for name, sql in spec.rates.items()}
+    return gold.withColumns(rates) if rates else gold
+
+
+def hourly_with_states(silver: DataFrame, spec: StreamSpec) -> DataFrame:
+    """:func:`hourly` and the states that it follows from, as Gold is stored."""
+    states = hourly_states(silver, spec)
+    averages = {
+        name: F.expr(measure.finish) for name, measure in spec.measures.items() if measure.states
+    }
+    gold = states.withColumns(averages) if averages else states
+    rates = {name: F.expr(sql) for name, sql in spec.rates.items()}
+    gold = gold.withColumns(rates) if rates else gold
+    extra = [name for name in spec.states if name not in spec.measures]
+    return gold.select(*spec.grain, *spec.measures, *spec.rates, *extra)
+
+
 def highest(gold: DataFrame, spec: StreamSpec, n: int = 5) -> DataFrame:
     """The ``n`` entity hours with the highest rate, ties in entity and hour order."""
     return gold.orderBy(F.col(spec.rate).desc(), *spec.entities, HOUR).limit(n)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.operators.hourly import finished
 from tidemark.plans.streams import HOUR, StreamSpec
 
 
@@ -29,21 +30,21 @@ def versus_last_week(gold: DataFrame, spec: StreamSpec) -> DataFrame:
 
 
 def coarser(gold: DataFrame, spec: StreamSpec, unit: str) -> DataFrame:
-    """Gold per entity and ``unit`` ('day', 'week'), from hourly Gold.
+    """Gold per entity and ``unit`` ('day', 'week'), from hourly Gold with its states.
 
-    Every measure merges as it declares; rates are computed anew, since a mean of rates
-    would weigh quiet and busy hours alike. A stream with a measure that hourly figures
-    do not determine is refused: ``hourly(silver, spec, unit)`` gives its longer spans.
+    States merge as the spec declares (:func:`tidemark.operators.hourly.hourly_states`) and
+    measures and rates are computed from the merged ones: a mean of means or of rates would
+    weigh quiet and busy hours alike. For a stream whose measures are their own states,
+    finished Gold will do. A measure without states is refused.
     """
     if spec.unmergeable:
         raise ValueError(f"{spec.name} by {unit} needs Silver for {', '.join(spec.unmergeable)}")
+    missing = [name for name in spec.states if name not in gold.columns]
+    if missing:
+        raise ValueError(f"{spec.name} by {unit} needs the states {', '.join(missing)}")
     grain = [
         F.date_trunc(unit, HOUR).alias(unit) if column == HOUR else F.col(column)
         for column in spec.grain
     ]
-    totals = [
-        F.expr(f"{measure.merge}({name})").alias(name) for name, measure in spec.measures.items()
-    ]
-    rates = {name: F.expr(sql) for name, sql in spec.rates.items()}
-    rolled = gold.groupBy(*grain).agg(*totals)
-    return rolled.withColumns(rates) if rates else rolled
+    merged = [F.expr(f"{merge}({name})").alias(name) for name, (_, merge) in spec.states.items()]
+    return finished(gold.groupBy(*grain).agg(*merged), spec, unit)

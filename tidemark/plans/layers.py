@@ -7,10 +7,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.operators.baseline import baseline, flagged_hours, percentile_baseline
+from tidemark.operators.baseline import (
+    baseline,
+    day_figures,
+    flagged_hours,
+    percentile_baseline,
+    thresholds_of_days,
+)
 from tidemark.operators.cleaning import clean
 from tidemark.operators.envelope import LOG_DATE, LOG_POSITION_DDL
-from tidemark.operators.hourly import hourly
+from tidemark.operators.hourly import hourly_with_states
 from tidemark.operators.quality import observed, quality_of_run
 from tidemark.operators.retention import first_kept_date
 from tidemark.plans.streams import HOUR, StreamSpec
@@ -98,7 +104,14 @@ class Lakehouse:
         self, spec: StreamSpec, first_date: str | None = None, last_date: str | None = None
     ) -> DataFrame:
         """Gold rows, of all days or of a range of days."""
-        return self._gold_days(spec, first_date, last_date).drop(EVENT_DATE)
+        days = self._gold_days(spec, first_date, last_date)
+        return days.select(*spec.grain, *spec.measures, *spec.rates)
+
+    def gold_states(
+        self, spec: StreamSpec, first_date: str | None = None, last_date: str | None = None
+    ) -> DataFrame:
+        """The states stored with Gold, which merge over hours and give longer spans."""
+        return self._gold_days(spec, first_date, last_date).select(*spec.grain, *spec.states)
 
     def _read(self, path: str, schema: StructType | str) -> DataFrame:
         return read_table(self.spark, path, self.table_format, schema)
@@ -113,7 +126,7 @@ class Lakehouse:
         self, spec: StreamSpec, first_date: str | None = None, last_date: str | None = None
     ) -> DataFrame:
         no_silver = self.spark.createDataFrame([], self._silver_schema(spec))
-        schema = hourly(no_silver, spec).schema.add(EVENT_DATE, "date")
+        schema = hourly_with_states(no_silver, spec).schema.add(EVENT_DATE, "date")
         return _of_days(self._read(self.gold_path(spec), schema), first_date, last_date)
 
     def _silver_schema(self, spec: StreamSpec) -> StructType:
@@ -141,7 +154,7 @@ class Lakehouse:
         Gold is not sorted before the write: order belongs to the queries that show it.
         """
         size_for(self.spark, self.silver_path(spec))
-        by_day = _by_day(hourly(self.silver(spec), spec), HOUR)
+        by_day = _by_day(hourly_with_states(self.silver(spec), spec), HOUR)
         replace_table(by_day, self.gold_path(spec), self.table_format, [EVENT_DATE])
         return self.gold(spec)
 
@@ -154,7 +167,7 @@ class Lakehouse:
         longer has lose their Gold rows, all other days stay as they are. Events without
         a time belong to no day; their hour is rebuilt by :meth:`refresh_gold` alone.
         """
-        by_day = _by_day(hourly(self.silver(spec, first_date, last_date), spec), HOUR)
+        by_day = _by_day(hourly_with_states(self.silver(spec, first_date, last_date), spec), HOUR)
         if not table_exists(self.spark, self.gold_path(spec)):
             replace_table(by_day, self.gold_path(spec), self.table_format, [EVENT_DATE])
             return self.gold(spec)
@@ -200,6 +213,40 @@ class Lakehouse:
         flagged = flagged_hours(hours, stored, spec)
         return stored, self.store(flagged, "baseline", f"{spec.name}_flagged")
 
+    def _figures_path(self, spec: StreamSpec) -> str:
+        return self.path("baseline", f"{spec.name}_days")
+
+    def baseline_days(self, spec: StreamSpec) -> DataFrame:
+        """Stored figures of each entity's days, which merge into its baseline."""
+        no_gold = self.gold(spec).limit(0)
+        schema = day_figures(no_gold, spec, EVENT_DATE).schema
+        return self._read(self._figures_path(spec), schema)
+
+    def refresh_baseline_days(
+        self, spec: StreamSpec, first_date: str | None = None, last_date: str | None = None
+    ) -> DataFrame:
+        """Thresholds after some days of Gold have changed, from those days alone.
+
+        Each entity and day has one stored row (hours, mean, sum of squared deviations); those
+        of the range are made anew from Gold's days, all others are only merged. Without a
+        range all days are, those without a time among them. Returns the stored thresholds.
+        """
+        size_for(self.spark, self.gold_path(spec))
+        figures = day_figures(self.gold(spec, first_date, last_date), spec, EVENT_DATE)
+        path = self._figures_path(spec)
+        whole = first_date is None and last_date is None
+        if whole or not table_exists(self.spark, path):
+            replace_table(figures, path, self.table_format, [EVENT_DATE])
+        else:
+            own = self._gold_days(spec, first_date, last_date).select(EVENT_DATE).distinct()
+            kept = {str(row[0]) for row in own.collect()}
+            before = _of_days(self.baseline_days(spec), first_date, last_date)
+            days = {str(row[0]) for row in before.select(EVENT_DATE).distinct().collect()}
+            replace_partitions(figures, path, [EVENT_DATE], self.table_format)
+            remove_partitions(self.spark, path, EVENT_DATE, days - kept, self.table_format)
+        merged = thresholds_of_days(self.baseline_days(spec), spec, EVENT_DATE)
+        return self.store(merged, "baseline", f"{spec.name}_thresholds")
+
     def store(self, rows: DataFrame, layer: str, name: str) -> DataFrame:
         """Replaces a table that holds the complete ``rows``; returns it."""
         path = self.path(layer, name)

@@ -18,14 +18,18 @@ HOUR = "hour"
 
 @dataclass(frozen=True)
 class Measure:
-    """An aggregate of Gold, and the aggregate that merges its values over parts.
+    """An aggregate of Gold, and what merges its values over parts.
 
-    Without ``merge``, values of parts do not determine that of the whole (an average),
-    and a longer span has to be computed from Silver.
+    ``merge`` is the aggregate that makes the whole's value of those of its parts. Where these
+    do not determine it (an average), ``states`` are further aggregates by column name, all
+    sums, which Gold stores in the measure's place, and ``finish`` gives the value from them.
+    With neither, a longer span has to be computed from Silver.
     """
 
     sql: str
     merge: str | None = None
+    states: tuple[tuple[str, str], ...] = ()
+    finish: str | None = None
 
 
 @dataclass(frozen=True)
@@ -63,7 +67,22 @@ class StreamSpec:
     @property
     def unmergeable(self) -> list[str]:
         """Measures that a longer span needs Silver for."""
-        return [name for name, measure in self.measures.items() if measure.merge is None]
+        return [
+            name
+            for name, measure in self.measures.items()
+            if measure.merge is None and not measure.states
+        ]
+
+    @property
+    def states(self) -> dict[str, tuple[str, str | None]]:
+        """What Gold stores, by column: the aggregate over events, and that over parts."""
+        found: dict[str, tuple[str, str | None]] = {}
+        for name, measure in self.measures.items():
+            if measure.states:
+                found |= {column: (sql, "sum") for column, sql in measure.states}
+            else:
+                found[name] = (measure.sql, measure.merge)
+        return found
 
     @property
     def rate(self) -> str:
@@ -98,6 +117,16 @@ def rows_where(condition: str) -> Measure:
     return Measure(f"count_if({condition})", "sum")
 
 
+def average(column: str) -> Measure:
+    """The mean to two decimals, kept as sum and count."""
+    total, count = f"{column}_sum", f"{column}_count"
+    return Measure(
+        round2(f"avg({column})"),
+        states=((total, f"sum({column})"), (count, f"count({column})")),
+        finish=round2(f"{total} / nullif({count}, 0)"),
+    )
+
+
 # Fixed values from here on: topics, fields, keys, accepted categories and metric names of
 # the three streams.
 PAYMENTS_TOPIC = "raw-payments"
@@ -193,9 +222,9 @@ SYSTEM_LOGS = StreamSpec(
         "info_count": rows_where("level = 'INFO'"),
         "warn_count": rows_where("level = 'WARN'"),
         "error_count": rows_where("level = 'ERROR'"),
-        "avg_latency_ms": Measure(round2("avg(latency_ms)")),
+        "avg_latency_ms": average("latency_ms"),
         "max_latency_ms": Measure(round2("max(latency_ms)"), "max"),
-        "avg_cpu_percent": Measure(round2("avg(cpu_percent)")),
+        "avg_cpu_percent": average("cpu_percent"),
     },
     rates={"error_rate_pct": percent("error_count", "total_logs")},
 )
