@@ -41,7 +41,14 @@ def coarser(gold: DataFrame, spec: StreamSpec, unit: str) -> DataFrame:
         raise ValueError(f"{spec.name} by {unit} needs Silver for {', '.join(spec.unmergeable)}")
     missing = [name for name in spec.states if name not in gold.columns]
     if missing:
-        raise ValueError(f"{spec.name} by {unit} needs the states {', '.join(missing)}")
+        lacking = [
+            name
+            for name, measure in spec.measures.items()
+            if name in missing or any(column in missing for column, _ in measure.states)
+        ]
+        raise ValueError(
+            f"{spec.name} by {unit} needs the states of {', '.join(lacking)}: {', '.join(missing)}"
+        )
     grain = [
         F.date_trunc(unit, HOUR).alias(unit) if column == HOUR else F.col(column)
         for column in spec.grain
