@@ -24,7 +24,7 @@ from tidemark.operators.envelope import LOG_DATE, decode, encode, log_records
 from tidemark.operators.hourly import highest, hourly
 from tidemark.operators.incidents import incidents
 from tidemark.operators.journeys import abandoned_carts, expired_carts, funnel, journeys
-from tidemark.operators.keys import dated_key, key_load
+from tidemark.operators.keys import dated_key, hot_keys, key_load
 from tidemark.operators.patterns import escalations
 from tidemark.operators.quality import quality
 from tidemark.operators.retention import retained
@@ -35,9 +35,10 @@ from tidemark.plans.incremental import IncrementalSilver
 from tidemark.plans.layers import EVENT_DATE, Lakehouse
 from tidemark.plans.streams import HOUR, PAYMENTS, STREAMS, SYSTEM_LOGS, USER_EVENTS, StreamSpec
 from tidemark.session import scratch_path
-from tidemark.sources.tables import replace_table
+from tidemark.sources.tables import read_table, replace_table
 from tidemark.sources.topics import append_log_files, stream_log_files
 from tidemark.streaming.ingest import start_bronze
+from tidemark.streaming.watch import ingested_quality, noting_steps, start_key_watch
 from tidemark.streaming.windows import windowed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,7 +176,9 @@ def stream_bronze_resume(spark: SparkSession, sf_dir: str, spec: StreamSpec) ->
     return zoneless(lake.bronze(spec))
 
 
-def _ingest(lake: Lakehouse, log: str, spec: StreamSpec) -> None:
+def _ingest(
+    lake: Lakehouse, log: str, spec: StreamSpec, count_steps: bool = False
+) -> None:
     start_bronze(
         stream_log_files(lake.spark, log),
         spec,
@@ -183,6 +186,7 @@ def _ingest(lake: Lakehouse, log: str, spec: StreamSpec) -> None:
         lake.checkpoint(spec),
         lake.table_format,
         interval=None,
+        count_steps=count_steps,
     ).awaitTermination()
 
 
@@ -266,6 +270,15 @@ def baseline_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.refresh_baseline_days(PAYMENTS, "2024-01-10", None)
 
 
+def percentiles_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentile thresholds after Gold's days have come in two parts, each read once."""
+    lake = Lakehouse(spark, scratch_path(spark, "percentile-days"))
+    hours = gold_of(spark, sf_dir, PAYMENTS).withColumn(EVENT_DATE, F.to_date(HOUR))
+    replace_table(hours, lake.gold_path(PAYMENTS), partition_by=[EVENT_DATE])
+    lake.refresh_percentile_days(PAYMENTS)
+    return lake.refresh_percentile_days(PAYMENTS, "2024-01-10", None)
+
+
 # Payments with two columns that name the entity.
 BY_CURRENCY = replace(
     PAYMENTS, name="payments_by_currency", grain=("merchant_id", "currency", HOUR)
@@ -302,6 +315,31 @@ def load_of_keys(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFram
     return key_load(rows_of(spark, sf_dir, spec), spec)
 
 
+def live_hot_keys(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
+    """Hot keys of a streaming log that arrives in two parts, by a summary of fixed size."""
+    root = scratch_path(spark, "hot-keys")
+    records = log_records(rows_of(spark, sf_dir, spec), spec)
+    for part in ("partition = 0", "partition <> 0"):
+        append_log_files(records.where(part), f"{root}/log")
+        stream = decode(stream_log_files(spark, f"{root}/log"), spec)
+        start_key_watch(
+            stream, spec, f"{root}/keys", f"{root}/checkpoint", interval=None
+        ).awaitTermination()
+    return hot_keys(read_table(spark, f"{root}/keys"), spec).drop("sure_above")
+
+
+def observed_quality(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
+    """Step counts that a streaming ingest of two runs has noted batch by batch."""
+    root = scratch_path(spark, "batch-quality")
+    lake = Lakehouse(spark, root)
+    records = log_records(rows_of(spark, sf_dir, spec), spec)
+    for part in ("partition = 0", "partition <> 0"):
+        append_log_files(records.where(part), f"{root}/log")
+        with noting_steps(spark, spec, f"{root}/notes"):
+            _ingest(lake, f"{root}/log", spec, count_steps=True)
+    return ingested_quality(spark, f"{root}/notes")
+
+
 def half_minutes(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
     return comparable(windowed(rows_of(spark, sf_dir, spec), spec))
 
@@ -369,6 +407,10 @@ def all_queries() -> dict[str, Query]:
     found["user_journeys"] = partial(user_journeys, summary=journeys)
     found["expired_carts"] = partial(user_journeys, summary=partial(expired_carts, until=AS_OF))
     found["incident_hours"] = incident_hours
+    found["payments_percentile_by_days"] = percentiles_by_days
+    found["user_hot_keys_live"] = partial(live_hot_keys, spec=USER_EVENTS)
+    for name, spec in STREAMS.items():
+        found[f"dq_{name}_observed"] = partial(observed_quality, spec=spec)
     found["user_key_load"] = partial(load_of_keys, spec=USER_EVENTS)
     found["payments_half_minutes"] = partial(half_minutes, spec=PAYMENTS)
     found["retained_payments"] = partial(retained_rows, spec=PAYMENTS)

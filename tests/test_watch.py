@@ -1,0 +1,192 @@
+"""Hot keys and batch quality of streams, and percentiles that merge, beside exact forms."""
+
+import random
+import re
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.rows import NOON, bronze, gold
+from tidemark.__main__ import main
+from tidemark.operators.baseline import THRESHOLD, day_sketches, thresholds_of_sketches
+from tidemark.operators.envelope import decode, log_records
+from tidemark.operators.keys import hot_keys, key_load, key_summary, merged_summaries
+from tidemark.operators.quality import quality
+from tidemark.plans.layers import EVENT_DATE, Lakehouse
+from tidemark.plans.streams import PAYMENTS, USER_EVENTS
+from tidemark.sources.tables import read_table, replace_table
+from tidemark.sources.topics import append_log_files, stream_log_files
+from tidemark.streaming.ingest import start_bronze
+from tidemark.streaming.watch import (
+    batch_quality,
+    ingested_quality,
+    noting_steps,
+    start_key_watch,
+)
+
+
+def events_of(spark, keys):
+    return spark.createDataFrame([(key,) for key in keys], "user_id string")
+
+
+def skewed(seed, others, hot):
+    draw = random.Random(seed)
+    keys = [f"u{n}" for n in range(others) for _ in range(draw.randrange(1, 4))]
+    keys += [f"hot{n}" for n, events in enumerate(hot) for _ in range(events)] + [None] * 50
+    draw.shuffle(keys)
+    return keys
+
+
+def test_few_keys_are_counted_exactly(spark):
+    rows = events_of(spark, skewed(1, 300, [400, 90, 21]))
+    found = hot_keys(key_summary(rows, USER_EVENTS), USER_EVENTS)
+    expected = key_load(rows, USER_EVENTS).where("hot").drop("hot")
+    assert sorted(found.drop("sure_above").collect()) == sorted(expected.collect())
+    assert {row["sure_above"] for row in found.collect()} == {0}
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_no_hot_key_is_missed_beyond_the_counters(spark, parts):
+    """Five thousand keys, 256 counters: all keys surely listed are, few others."""
+    keys, tracked = skewed(2, 5000, [4000, 900, 700, 30]), 256
+    rows = events_of(spark, keys)
+    cuts = [events_of(spark, keys[part::parts]) for part in range(parts)]
+    summaries = key_summary(cuts[0], USER_EVENTS, tracked)
+    for cut in cuts[1:]:
+        summaries = summaries.union(key_summary(cut, USER_EVENTS, tracked))
+    found = hot_keys(merged_summaries(summaries, tracked), USER_EVENTS, tracked=tracked).collect()
+    exact = {row["user_id"]: row for row in key_load(rows, USER_EVENTS).collect()}
+    sure = found[0]["sure_above"]
+    must = {key for key, row in exact.items() if row["hot"] and row["events"] > sure}
+    listed = {row["user_id"]: row["events"] for row in found}
+    assert {"hot0", "hot1", "hot2"} <= must <= set(listed)
+    assert all(events >= exact[key]["events"] for key, events in listed.items())
+    assert sum(not exact[key]["hot"] for key in listed) <= 2
+
+
+def test_no_keys_at_all(spark):
+    assert hot_keys(key_summary(events_of(spark, [None]), USER_EVENTS), USER_EVENTS).collect() == []
+
+
+def test_keys_of_a_stream_over_restarts(spark, tmp_path):
+    rows = bronze(spark, USER_EVENTS, [{"user_id": key} for key in skewed(3, 200, [300, 40])])
+    records = log_records(rows, USER_EVENTS)
+    for low, high in ((0, 100), (100, 101), (101, 10_000)):
+        append_log_files(records.where(f"offset >= {low} and offset < {high}"), f"{tmp_path}/log")
+        stream = decode(stream_log_files(spark, f"{tmp_path}/log"), USER_EVENTS)
+        start_key_watch(
+            stream, USER_EVENTS, f"{tmp_path}/keys", f"{tmp_path}/point", interval=None
+        ).awaitTermination()
+    summary = read_table(spark, f"{tmp_path}/keys")
+    assert summary.count() == 1
+    found = hot_keys(summary, USER_EVENTS).drop("sure_above")
+    expected = key_load(rows, USER_EVENTS).where("hot").drop("hot")
+    assert sorted(found.collect()) == sorted(expected.collect()) and found.count() == 2
+
+
+def test_quality_of_batches_adds_up(spark, tmp_path):
+    changes = [{}, {"event_id": None}, {"amount": -1.0}, {"status": "odd"}, {"merchant_id": None}]
+    rows = bronze(spark, PAYMENTS, [changes[n * n % 5] for n in range(60)])
+    lake, records = Lakehouse(spark, str(tmp_path)), log_records(rows, PAYMENTS)
+    notes = f"{tmp_path}/notes"
+    for low, high in ((0, 20), (20, 21), (21, 60)):
+        append_log_files(records.where(f"offset >= {low} and offset < {high}"), f"{tmp_path}/log")
+        with noting_steps(spark, PAYMENTS, notes):
+            start_bronze(
+                stream_log_files(spark, f"{tmp_path}/log"),
+                PAYMENTS,
+                lake.bronze_path(PAYMENTS),
+                lake.checkpoint(PAYMENTS),
+                interval=None,
+                count_steps=True,
+            ).awaitTermination()
+    expected = quality(lake.bronze(PAYMENTS), PAYMENTS).first()
+    found = ingested_quality(spark, notes).first()
+    names = ["total", "after_nulls", "after_validation", "dropped_nulls", "dropped_invalid"]
+    assert [found[n] for n in names] == [expected[n] for n in names]
+    assert found["unnoted_batches"] == 0 and batch_quality(spark, notes).count() == 3
+    # A batch that ran again is noted again, and counts once; a lost note is told.
+    spark.read.parquet(notes).where("batch = 1").withColumn(
+        "noted_at", F.expr("noted_at + interval 1 hour")
+    ).write.mode("append").parquet(notes)
+    assert ingested_quality(spark, notes).first() == found
+    spark.read.parquet(notes).where("batch <> 1").write.parquet(f"{notes}-lost")
+    assert ingested_quality(spark, f"{notes}-lost").first()["unnoted_batches"] == 1
+
+
+def rank_error(rates, threshold, share):
+    """How far ``share`` lies from the ranks that the threshold covers."""
+    below, upto = sum(r < threshold for r in rates), sum(r <= threshold for r in rates)
+    return max(below / len(rates) - share, share - upto / len(rates), 0)
+
+
+def test_percentiles_of_sketches(spark):
+    draw = random.Random(5)
+    rates = {"a": [round(draw.random() * 100, 2) for _ in range(6000)], "b": [3.0], "c": [1.0, None]}
+    hours = gold(spark, rates)
+    for items, error in ((8192, 0), (256, 0.015)):
+        sketches = day_sketches(hours, PAYMENTS, "day", items)
+        for share in (0.5, 0.95, 0.99):
+            found = {
+                row["merchant_id"]: row[THRESHOLD]
+                for row in thresholds_of_sketches(sketches, PAYMENTS, share).collect()
+            }
+            assert rank_error(rates["a"], found["a"], share) <= error
+            assert found["a"] in rates["a"] and (found["b"], found["c"]) == (3.0, 1.0)
+    known = thresholds_of_sketches(sketches, PAYMENTS, 0.5, min_hours=2).collect()
+    assert {row["merchant_id"] for row in known if row[THRESHOLD] is None} == {"b"}
+    none = day_sketches(gold(spark, {"d": [None]}), PAYMENTS, "day")
+    assert thresholds_of_sketches(none, PAYMENTS).first()[THRESHOLD] is None
+
+
+def test_percentiles_follow_changed_days(spark, tmp_path):
+    draw, lake = random.Random(6), Lakehouse(spark, str(tmp_path))
+
+    def stored(days, seed):
+        rows = [
+            {
+                "event_id": f"e{seed}-{n}",
+                "merchant_id": draw.choice("ab"),
+                "status": draw.choice(["failed", "completed"]),
+                "timestamp": (NOON + timedelta(days=draw.choice(days), hours=n % 11)).isoformat(),
+            }
+            for n in range(200)
+        ]
+        return bronze(spark, PAYMENTS, rows)
+
+    def expected():
+        share = F.expr("percentile_disc(0.95) within group (order by failure_rate_pct)")
+        return sorted(lake.gold(PAYMENTS).groupBy("merchant_id").agg(share.alias("t")).collect())
+
+    first = stored(range(5), 0)
+    replace_table(first, lake.bronze_path(PAYMENTS))
+    lake.refresh_silver(PAYMENTS)
+    lake.refresh_gold(PAYMENTS)
+    assert sorted(lake.refresh_percentile_days(PAYMENTS).collect()) == expected()
+    day = F.to_date(F.substring("timestamp", 1, 10))
+    replace_table(
+        first.where(day != "2024-05-04").unionByName(stored([4, 6], 1)), lake.bronze_path(PAYMENTS)
+    )
+    lake.refresh_silver(PAYMENTS)
+    lake.refresh_gold_days(PAYMENTS, "2024-05-04", None)
+    found = lake.refresh_percentile_days(PAYMENTS, "2024-05-04", "2024-06-30")
+    assert sorted(found.collect()) == expected()
+    kept = {str(row[EVENT_DATE]) for row in lake.percentile_days(PAYMENTS).collect()}
+    assert "2024-05-04" not in kept and "2024-05-07" in kept
+
+
+def test_command_line(spark, tmp_path, capsys):
+    rows = bronze(spark, PAYMENTS, [{"merchant_id": f"m{n % 300 * (n % 5 == 0)}"} for n in range(900)])
+    append_log_files(log_records(rows, PAYMENTS), f"{tmp_path}/log")
+    common = ["payments", "--root", f"{tmp_path}/lake"]
+    main(["bronze", *common, "--log", f"{tmp_path}/log", "--once", "--count-steps"])
+    assert ingested_quality(spark, f"{tmp_path}/lake/quality/payments_batches").first()[0] == 900
+    for layer in ("silver", "gold"):
+        main([layer, *common])
+    capsys.readouterr()
+    main(["keys", *common, "--log", f"{tmp_path}/log", "--once"])
+    assert re.search(r"\|m0 +\|723 ", capsys.readouterr().out)
+    for options in ([], ["--percentile", "0.9"]):
+        main(["baseline", *common, "--by-days", *options])
+    assert "anomaly_threshold_pct" in capsys.readouterr().out

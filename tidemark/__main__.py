@@ -7,21 +7,25 @@
 from __future__ import annotations
 
 import argparse
+from contextlib import nullcontext
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import report
-from tidemark.operators.baseline import worst_first
+from tidemark.operators.baseline import flagged_hours, worst_first
 from tidemark.operators.envelope import decode
 from tidemark.operators.hourly import highest
+from tidemark.operators.keys import hot_keys
 from tidemark.operators.timeline import payment_trace, timeline_of_log
 from tidemark.plans.incremental import IncrementalSilver
 from tidemark.plans.layers import Lakehouse
 from tidemark.plans.streams import HOUR, PAYMENTS, STREAMS, StreamSpec
 from tidemark.session import build_session
+from tidemark.sources.tables import read_table
 from tidemark.sources.topics import kafka_options, stream_log_files, stream_topics
 from tidemark.streaming.ingest import DEFAULT_INTERVAL, show_feed, start_bronze, start_feed
+from tidemark.streaming.watch import ingested_quality, noting_steps, start_key_watch
 
 
 def preview(title: str, rows: DataFrame, n: int = 20) -> None:
@@ -44,15 +48,37 @@ def open_log(spark: SparkSession, options: argparse.Namespace, topics: list[str]
 
 
 def run_bronze(lake: Lakehouse, spec: StreamSpec, options: argparse.Namespace) -> None:
-    start_bronze(
-        open_log(lake.spark, options, [spec.topic]),
+    """Appends to Bronze; ``--count-steps`` notes the quality of every batch beside it."""
+    notes = lake.path("quality", f"{spec.name}_batches")
+    noting = noting_steps(lake.spark, spec, notes) if options.count_steps else nullcontext()
+    with noting:
+        start_bronze(
+            open_log(lake.spark, options, [spec.topic]),
+            spec,
+            lake.bronze_path(spec),
+            lake.checkpoint(spec),
+            lake.table_format,
+            keep_raw=options.keep_raw,
+            interval=None if options.once else options.interval,
+            count_steps=options.count_steps,
+        ).awaitTermination()
+    if options.count_steps:
+        preview("Data quality of all batches", ingested_quality(lake.spark, notes))
+
+
+def run_keys(lake: Lakehouse, spec: StreamSpec, options: argparse.Namespace) -> None:
+    """Keeps the summary of a stream's keys, and shows the hot ones when it ends."""
+    path = lake.path("keys", spec.name)
+    start_key_watch(
+        decode(open_log(lake.spark, options, [spec.topic]), spec),
         spec,
-        lake.bronze_path(spec),
-        lake.checkpoint(spec),
+        path,
+        lake.path("checkpoints/keys", spec.name),
         lake.table_format,
-        keep_raw=options.keep_raw,
-        interval=None if options.once else options.interval,
+        None if options.once else options.interval,
     ).awaitTermination()
+    found = hot_keys(read_table(lake.spark, path, lake.table_format), spec)
+    preview("Hot keys", found.orderBy(found["events"].desc()))
 
 
 def run_silver(lake: Lakehouse, spec: StreamSpec, options: argparse.Namespace) -> None:
@@ -76,11 +102,28 @@ def run_gold(lake: Lakehouse, spec: StreamSpec, options: argparse.Namespace) ->
 
 def run_baseline(lake: Lakehouse, spec: StreamSpec, options: argparse.Namespace) -> None:
     """Stores thresholds and flagged hours in full, and shows the first of them."""
+    if options.by_days:
+        run_baseline_days(lake, spec, options)
+        return
     thresholds, flagged = lake.refresh_baseline(spec, options.min_hours, options.percentile)
     preview("Baselines and thresholds", thresholds)
     preview("Hours above their threshold", worst_first(flagged, spec))
 
 
+def run_baseline_days(lake: Lakehouse, spec: StreamSpec, options: argparse.Namespace) -> None:
+    """Thresholds from stored days, of which those of the range are made anew."""
+    days = (options.first_date, options.last_date)
+    if options.percentile is None:
+        thresholds = lake.refresh_baseline_days(spec, *days, options.min_hours)
+    else:
+        thresholds = lake.refresh_percentile_days(
+            spec, *days, options.percentile, options.min_hours
+        )
+    flagged = flagged_hours(lake.gold(spec, *days), thresholds, spec)
+    preview("Thresholds", thresholds)
+    preview("Hours above their threshold", worst_first(flagged, spec))
+
+
 def run_report(lake: Lakehouse) -> None:
     """Stores every answer in full, and shows the first rows of each."""
     bronze = lake.bronze(PAYMENTS)
@@ -128,7 +171,9 @@ def parse_options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tidemark", description=__doc__.splitlines()[0])
     parser.add_argument(
         "layer",
-        choices=["bronze", "silver", "gold", "baseline", "report", "timeline", "trace", "expire"],
+        choices=[
+            "bronze", "silver", "gold", "baseline", "report", "timeline", "trace", "expire", "keys"
+        ],
     )
     parser.add_argument("stream", nargs="?", choices=sorted(STREAMS), default=PAYMENTS.name)
     parser.add_argument("--root", default="./lake", help="folder of all tables")
@@ -138,6 +183,12 @@ def parse_options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--servers", help="Kafka bootstrap servers, unless there is --log")
     parser.add_argument("--log", help="read log records from parquet files, not from Kafka")
     parser.add_argument("--keep-raw", action="store_true", help="keep undecoded bytes in Bronze")
+    parser.add_argument(
+        "--count-steps", action="store_true", help="Bronze: note what Silver will keep of a batch"
+    )
+    parser.add_argument(
+        "--by-days", action="store_true", help="baseline: merge days, read those of the range only"
+    )
     parser.add_argument("--interval", default=DEFAULT_INTERVAL, help="time between batches")
     parser.add_argument("--max-offsets", type=int, help="most Kafka records per batch")
     parser.add_argument("--min-partitions", type=int, help="fewest tasks per Kafka batch")
@@ -147,7 +198,7 @@ def parse_options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--incremental", action="store_true", help="Silver: read new days of Bronze only"
     )
-    parser.add_argument("--first-date", help="first day of Gold to rebuild")
+    parser.add_argument("--first-date", help="first day of Gold to rebuild, or to read")
     parser.add_argument("--last-date", help="last day of Gold to rebuild")
     parser.add_argument("--min-hours", type=int, default=1, help="history that a threshold needs")
     parser.add_argument("--percentile", type=float, help="threshold: this share of the history")
@@ -176,6 +227,8 @@ def main(arguments: list[str] | None = None) -> None:
         run_baseline(lake, spec, options)
     elif options.layer == "report":
         run_report(lake)
+    elif options.layer == "keys":
+        run_keys(lake, spec, options)
     elif options.layer == "expire":
         run_expire(lake, spec, options)
     elif options.layer == "timeline":

@@ -104,6 +104,38 @@ def percentile_baseline(
     return figures.withColumn(THRESHOLD, known).drop("_hours")
 
 
+# Items that a sketch of rates holds in full; beyond it keeps a sample with a bounded error of rank.
+SKETCH_ITEMS = 4096
+
+
+def day_sketches(
+    gold: DataFrame, spec: StreamSpec, day: str, items: int = SKETCH_ITEMS
+) -> DataFrame:
+    """Per entity and day of Gold: its hours, and a sketch of their rates that merges."""
+    return gold.groupBy(*spec.entities, F.to_date(HOUR).alias(day)).agg(
+        F.count("*").alias("hours"),
+        F.kll_sketch_agg_double(F.col(spec.rate), items).alias("rates"),
+    )
+
+
+def thresholds_of_sketches(
+    sketches: DataFrame, spec: StreamSpec, share: float = 0.95, min_hours: int = 1
+) -> DataFrame:
+    """Percentile thresholds from the sketches of all days of each entity.
+
+    The threshold is a rate that occurred, the least one with ``share`` of the hours at or
+    below it; :func:`percentile_baseline` takes the value between two rates instead. It is
+    exact up to the sketch's number of items, which at 4,096 hours are 170 days; beyond, its
+    rank is off by a small share of the history. Hours without a rate count as history only.
+    """
+    merged = sketches.groupBy(*spec.entities).agg(
+        F.kll_merge_agg_double("rates").alias("_rates"), F.sum("hours").alias("_hours")
+    )
+    known = (F.col("_hours") >= min_hours) & (F.kll_sketch_get_n_double("_rates") > 0)
+    found = F.kll_sketch_get_quantile_double("_rates", F.lit(float(share)))
+    return merged.select(*spec.entities, F.when(known, found).alias(THRESHOLD))
+
+
 def flagged_hours(
     gold: DataFrame, thresholds: DataFrame, spec: StreamSpec, time: str = HOUR
 ) -> DataFrame:

@@ -8,6 +8,10 @@ from tidemark.operators.cleaning import is_usable, is_valid
 from tidemark.plans.streams import StreamSpec
 
 
+# Name of the step counts in the progress of a stream.
+STEPS = "silver_steps"
+
+
 def _step_counts(spec: StreamSpec) -> list[Column]:
     return [
         F.count("*").alias("total"),
@@ -52,6 +56,11 @@ def observed(rows: DataFrame, spec: StreamSpec) -> tuple[DataFrame, Observation]
     return rows.observe(steps, *_step_counts(spec)), steps
 
 
+def observed_in_batches(rows: DataFrame, spec: StreamSpec) -> DataFrame:
+    """A stream of Bronze rows that counts its steps in the progress of each micro-batch."""
+    return rows.observe(STEPS, *_step_counts(spec))
+
+
 def quality_of_run(spark: SparkSession, steps: dict, after_dedup: int) -> DataFrame:
     """The same row from the counts that a Silver run has observed."""
     row = (steps["total"], steps["after_nulls"], steps["after_validation"], after_dedup)

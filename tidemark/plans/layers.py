@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -10,9 +11,11 @@ from pyspark.sql.types import StructType
 from tidemark.operators.baseline import (
     baseline,
     day_figures,
+    day_sketches,
     flagged_hours,
     percentile_baseline,
     thresholds_of_days,
+    thresholds_of_sketches,
 )
 from tidemark.operators.cleaning import clean
 from tidemark.operators.envelope import LOG_DATE, LOG_POSITION_DDL
@@ -223,7 +226,11 @@ class Lakehouse:
         return self._read(self._figures_path(spec), schema)
 
     def refresh_baseline_days(
-        self, spec: StreamSpec, first_date: str | None = None, last_date: str | None = None
+        self,
+        spec: StreamSpec,
+        first_date: str | None = None,
+        last_date: str | None = None,
+        min_hours: int = 1,
     ) -> DataFrame:
         """Thresholds after some days of Gold have changed, from those days alone.
 
@@ -231,21 +238,56 @@ class Lakehouse:
         of the range are made anew from Gold's days, all others are only merged. Without a
         range all days are, those without a time among them. Returns the stored thresholds.
         """
+        self._refresh_days(spec, first_date, last_date, day_figures, self._figures_path(spec))
+        merged = thresholds_of_days(self.baseline_days(spec), spec, EVENT_DATE, min_hours)
+        return self.store(merged, "baseline", f"{spec.name}_thresholds")
+
+    def _sketches_path(self, spec: StreamSpec) -> str:
+        return self.path("baseline", f"{spec.name}_sketches")
+
+    def percentile_days(self, spec: StreamSpec) -> DataFrame:
+        """Stored sketches of each entity's days, which merge into its percentiles."""
+        schema = day_sketches(self.gold(spec).limit(0), spec, EVENT_DATE).schema
+        return self._read(self._sketches_path(spec), schema)
+
+    def refresh_percentile_days(
+        self,
+        spec: StreamSpec,
+        first_date: str | None = None,
+        last_date: str | None = None,
+        share: float = 0.95,
+        min_hours: int = 1,
+    ) -> DataFrame:
+        """Percentile thresholds after some days of Gold have changed, from those days alone.
+
+        As :meth:`refresh_baseline_days`, with a sketch of rates per entity and day. Any other
+        share of the history comes from the same stored sketches.
+        """
+        self._refresh_days(spec, first_date, last_date, day_sketches, self._sketches_path(spec))
+        merged = thresholds_of_sketches(self.percentile_days(spec), spec, share, min_hours)
+        return self.store(merged, "baseline", f"{spec.name}_thresholds")
+
+    def _refresh_days(
+        self,
+        spec: StreamSpec,
+        first_date: str | None,
+        last_date: str | None,
+        figures_of: Callable[[DataFrame, StreamSpec, str], DataFrame],
+        path: str,
+    ) -> None:
+        """Makes the stored rows of some days of Gold anew; days that Gold has lost go."""
         size_for(self.spark, self.gold_path(spec))
-        figures = day_figures(self.gold(spec, first_date, last_date), spec, EVENT_DATE)
-        path = self._figures_path(spec)
+        figures = figures_of(self.gold(spec, first_date, last_date), spec, EVENT_DATE)
         whole = first_date is None and last_date is None
         if whole or not table_exists(self.spark, path):
             replace_table(figures, path, self.table_format, [EVENT_DATE])
-        else:
-            own = self._gold_days(spec, first_date, last_date).select(EVENT_DATE).distinct()
-            kept = {str(row[0]) for row in own.collect()}
-            before = _of_days(self.baseline_days(spec), first_date, last_date)
-            days = {str(row[0]) for row in before.select(EVENT_DATE).distinct().collect()}
-            replace_partitions(figures, path, [EVENT_DATE], self.table_format)
-            remove_partitions(self.spark, path, EVENT_DATE, days - kept, self.table_format)
-        merged = thresholds_of_days(self.baseline_days(spec), spec, EVENT_DATE)
-        return self.store(merged, "baseline", f"{spec.name}_thresholds")
+            return
+        own = self._gold_days(spec, first_date, last_date).select(EVENT_DATE).distinct()
+        kept = {str(row[0]) for row in own.collect()}
+        stored = _of_days(self._read(path, figures.schema), first_date, last_date)
+        days = {str(row[0]) for row in stored.select(EVENT_DATE).distinct().collect()}
+        replace_partitions(figures, path, [EVENT_DATE], self.table_format)
+        remove_partitions(self.spark, path, EVENT_DATE, days - kept, self.table_format)
 
     def store(self, rows: DataFrame, layer: str, name: str) -> DataFrame:
         """Replaces a table that holds the complete ``rows``; returns it."""

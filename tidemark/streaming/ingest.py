@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.operators.envelope import LOG_DATE, decode
+from tidemark.operators.quality import observed_in_batches
 from tidemark.plans.streams import StreamSpec
 
 # Each micro-batch writes one file per task; a pause between batches keeps them few.
 DEFAULT_INTERVAL = "1 minute"
 
 
+def bronze_name(spec: StreamSpec) -> str:
+    return f"bronze_{spec.name}"
+
+
 def start_bronze(
     log: DataFrame,
     spec: StreamSpec,
@@ -20,24 +25,28 @@ def start_bronze(
     table_format: str = "parquet",
     keep_raw: bool = False,
     interval: str | None = DEFAULT_INTERVAL,
+    count_steps: bool = False,
 ) -> StreamingQuery:
     """Starts appending a streaming log to Bronze.
 
     The checkpoint records which part of the log is written, so a restarted job goes
     on from there, without loss and without repeats. With ``interval=None`` the job
     takes what is available, in batches, and ends. Bronze lies by day of the log's clock,
-    so that old days can be dropped as a whole.
+    so that old days can be dropped as a whole. With ``count_steps`` the same scan counts
+    what Silver will keep, for :func:`tidemark.streaming.watch.noting_steps`.
     """
     rows = decode(log, spec, keep_raw)
+    if count_steps:
+        rows = observed_in_batches(rows, spec)
     writer = (
         rows.withColumn(LOG_DATE, F.to_date("kafka_timestamp"))
         .writeStream.format(table_format)
-        .queryName(f"bronze_{spec.name}")
+        .queryName(bronze_name(spec))
         .partitionBy(LOG_DATE)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
-    return _triggered(writer, interval).start(path)
+    return triggered(writer, interval).start(path)
 
 
 def start_feed(
@@ -55,7 +64,7 @@ def start_feed(
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
-    return _triggered(writer, interval).start(path)
+    return triggered(writer, interval).start(path)
 
 
 def show_feed(
@@ -73,10 +82,10 @@ def show_feed(
         .option("truncate", "false")
         .option("numRows", str(rows))
     )
-    return _triggered(writer, interval).start()
+    return triggered(writer, interval).start()
 
 
-def _triggered(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
+def triggered(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
     """A pause between batches, or (``None``) one run over what is available."""
     if interval is None:
         return writer.trigger(availableNow=True)
