@@ -1,9 +1,11 @@
 import math
 import random
 import re
+import resource
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from tests.llm.rows import AWKWARD, awkward, clashing, documents
@@ -114,3 +116,22 @@ def test_frequent_words_are_bounded_and_found(spark):
     rows = [(i, "the " * 50 + f"rare{i}") for i in range(50)]
     found = kneser_ney.frequent_words(documents(spark, rows).select("text"), 0.05)
     assert 1 <= len(found) <= 2 / 0.05
+
+
+def test_scoring_opens_few_files(spark, monkeypatch):
+    """Hundreds of buckets, five arrays each, read with 256 descriptors."""
+    monkeypatch.setattr(kneser_ney, "BUCKET_BYTES", 400)
+    rows = [(i, text) for i, text in corpus() if zlib.crc32(str(i).encode()) % 7 != 2]
+    model = kneser_ney.train(documents(spark, rows).select("text"))
+    assert model.buckets > 200
+    expected = {row[0]: row[6] for row in brute(rows)}
+    before = resource.getrlimit(resource.RLIMIT_NOFILE)
+    resource.setrlimit(resource.RLIMIT_NOFILE, (256, before[1]))
+    try:
+        reader = kneser_ney.Reader(model)
+        for i, text in rows[::20] * 2:
+            ((_, _, tokens),) = kneser_ney.bigrams(pa.array([text]))
+            assert reader.log10(tokens)[0].sum() == pytest.approx(expected[i])
+            assert len(reader.open) <= reader.limit
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, before)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.storage import mounted, saved, stored
+from tidemark.llm.storage import Arrays, bucketed, mounted, saved, stored
 from tidemark.llm.text import LOWER, Powers, held_out, mixed, pieces, text_bytes, words
 from tidemark.session import scratch_path
 
@@ -316,8 +316,7 @@ def train(texts: DataFrame) -> Model:
     frequent = np.union1d(frequent_words(texts, share), np.array([BEGIN]))
     sums = "".join(f", {name} long" for name in SUMS)
     words_ = (
-        counted(texts, frequent, buckets)
-        .groupBy("bucket")
+        bucketed(counted(texts, frequent, buckets), buckets, "bucket")
         .applyInPandas(
             bigram_bucket(folder, frequent, buckets), f"bucket long, payload binary{sums}"
         )
@@ -325,7 +324,7 @@ def train(texts: DataFrame) -> Model:
     names = [f"{kind}_{name}" for kind in ("bigram", "word") for name in SUMS]
     names += ["tokens", "vocabulary"]
     found = (
-        words_.groupBy("bucket")
+        bucketed(words_, buckets, "bucket")
         .applyInPandas(word_bucket_files(folder), ", ".join(f"{name} long" for name in names))
         .agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names])
         .first()
@@ -348,20 +347,14 @@ def train(texts: DataFrame) -> Model:
     )
 
 
-class Reader:
-    """The model's arrays, mapped when first needed."""
+class Reader(Arrays):
+    """The model's arrays, looked up by bucket."""
 
     def __init__(self, model: Model) -> None:
+        super().__init__(model.folder)
         self.model = model
-        self.open: dict[str, np.ndarray | None] = {}
 
-    def array(self, name: str) -> np.ndarray | None:
-        if name not in self.open:
-            path = f"{self.model.folder}/{name}.npy"
-            self.open[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
-        return self.open[name]
-
-    def by_bucket(self, keys: np.ndarray, bucket: np.ndarray):
+    def in_buckets(self, keys: np.ndarray, bucket: np.ndarray):
         """Buckets with the places of their keys, sorted by key."""
         order = np.lexsort((keys, bucket))
         cuts = np.flatnonzero(
@@ -376,7 +369,7 @@ class Reader:
         out = np.zeros((len(keys), 5), np.uint64)
         if not len(keys):
             return out
-        for bucket, own in self.by_bucket(keys, word_bucket(keys, self.model.buckets)):
+        for bucket, own in self.in_buckets(keys, word_bucket(keys, self.model.buckets)):
             there = self.array(f"words-{bucket}")
             if there is None or not len(there):
                 continue
@@ -395,7 +388,7 @@ class Reader:
         out = np.zeros(len(word), np.uint64)
         keys = paired(context, word)
         places = bucket_of(context, word, self.model.frequent, self.model.buckets)
-        for bucket, own in self.by_bucket(keys, places):
+        for bucket, own in self.in_buckets(keys, places):
             there = self.array(f"bigrams-{bucket}")
             if there is None or not len(there):
                 continue
