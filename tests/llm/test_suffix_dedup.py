@@ -1,5 +1,6 @@
 import hashlib
 import random
+import resource
 
 import numpy as np
 import pytest
@@ -93,3 +94,18 @@ def test_packed_values_come_back():
     columns = [np.arange(5), np.array([1, 2], np.uint8), np.zeros(0, np.uint32), np.array([7], np.uint64)]
     back = suffix.unpacked(suffix.packed(*columns))
     assert all(a.dtype == b.dtype and a.tolist() == b.tolist() for a, b in zip(columns, back))
+
+
+def test_answers_open_few_files(tmp_path):
+    for number in range(400):
+        suffix.saved(str(tmp_path), f"first-gone-{number}", np.full((3, 2), number, np.uint64))
+    before = resource.getrlimit(resource.RLIMIT_NOFILE)
+    resource.setrlimit(resource.RLIMIT_NOFILE, (256, before[1]))
+    try:
+        reader = suffix.Answers(str(tmp_path), 400)
+        for number in [*range(400), *range(400), 399, 0]:
+            assert (reader.array(f"first-gone-{number}") == number).all()
+            assert reader.array(f"second-gone-{number}") is None
+            assert len(reader.open) <= reader.limit
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, before)

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.storage import mounted, saved, stored
+from tidemark.llm.storage import Arrays, bucketed, mounted, saved, stored
 from tidemark.llm.text import Piece, Powers, mixed, pieces, sliding, text_bytes
 from tidemark.session import scratch_path
 
@@ -335,25 +335,19 @@ def filed(folder: str, name: str):
     return run
 
 
-class Answers:
-    """Stored answers about rows, mapped when first needed."""
+class Answers(Arrays):
+    """Stored answers about rows."""
 
     def __init__(self, folder: str, buckets: int) -> None:
-        self.folder, self.buckets = folder, buckets
-        self.open: dict[str, np.ndarray | None] = {}
-
-    def table(self, name: str) -> np.ndarray | None:
-        if name not in self.open:
-            path = f"{self.folder}/{name}.npy"
-            self.open[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
-        return self.open[name]
+        super().__init__(folder)
+        self.buckets = buckets
 
     def of(self, name: str, owner: np.ndarray, mark: np.ndarray):
         """Position of the row, first and second value of all entries about these rows."""
         rows, bucket = row_names(owner, mark), row_buckets(owner, mark, self.buckets)
         found = [np.zeros((3, 0), np.int64)]
         for one in np.unique(bucket).tolist():
-            table = self.table(f"{name}-{one}")
+            table = self.array(f"{name}-{one}")
             if table is None or not table.shape[1]:
                 continue
             own = np.flatnonzero(bucket == one)
@@ -507,13 +501,17 @@ def found_ranges(texts: DataFrame, length: int, q: int) -> tuple[str, int]:
     frequent = frequent_grams(texts, share, length, q)
 
     def file(rows: DataFrame, name: str) -> None:
-        grouped = rows.groupBy("bucket").applyInPandas(filed(folder, name), "ranges long")
+        grouped = bucketed(rows, buckets, "bucket").applyInPandas(
+            filed(folder, name), "ranges long"
+        )
         grouped.agg(F.sum("ranges")).collect()
 
     sent = sent_runs(texts, frequent, buckets, length, q)
-    file(sent.groupBy("kind", "bucket").applyInPandas(judged(buckets), SENT), "first")
+    # Three kinds of what is sent share a bucket's text.
+    file(bucketed(sent, 3 * buckets, "kind", "bucket").applyInPandas(judged(buckets), SENT), "first")
     bytes_ = sent_bytes(texts, folder, buckets, length, q)
-    file(bytes_.groupBy("bucket").applyInPandas(sorted_bucket(buckets, length), SENT), "second")
+    sorted_ = bucketed(bytes_, buckets, "bucket")
+    file(sorted_.applyInPandas(sorted_bucket(buckets, length), SENT), "second")
     return folder, buckets
 
 
