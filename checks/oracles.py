@@ -429,11 +429,11 @@ select coalesce(merchant_id, 'unknown') || '_' || coalesce(strftime(kafka_timest
     found["expired_carts"] = f"with {silver_parts('user_events')} {EXPIRED_CARTS}"
     found["abandoned_carts"] = f"with {silver_parts('user_events')} {ABANDONED}"
     found["incident_hours"] = INCIDENTS
-    found["user_hot_keys_live"] = f"""with {raw("user_events")},
+    found["user_busy_keys_live"] = f"""with {raw("user_events")},
 volumes as (select user_id, count(*) as events from raw where user_id is not null group by user_id),
 level as (select avg(events) as mean from volumes)
 select user_id, events, round(mean, 2) as mean_events from volumes cross join level
-where events > 10 * mean"""
+where events > mean"""
     for stream in FIELDS:
         found[f"dq_{stream}_observed"] = f"""select total, after_nulls, after_validation,
   dropped_nulls, dropped_invalid, 0::bigint as unnoted_batches from ({dq(stream)})"""
