@@ -234,7 +234,10 @@ def matches(
 
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``documents`` in which no benchmark item is found; columns stay as they are."""
+    """``documents`` in which no benchmark item is found; columns stay as they are.
+
+    Rows without an id stay, whatever they hold. Of a repeated id all rows go if one leaks.
+    """
     leaking = (
         matches(documents, benchmark)
         .where("doc_id is not null")
