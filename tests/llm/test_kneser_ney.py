@@ -27,46 +27,50 @@ def brute_discounts(counts):
     return {k: min(max(d, 0.05), k) for k, d in raw.items()}
 
 
-def brute(rows):
+def brute(rows, order=2):
     """Scores by the textbook formulas, from plain counts."""
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
-    single, pair = Counter(), Counter()
-    for i, text in rows:
-        if not held[i]:
-            own = tokens(text)
-            single.update(own)
-            pair.update(zip(["<s>"] + own, own))
-    n, v, types = sum(single.values()), len(single), len(pair)
-    continued, followers, totals = Counter(), defaultdict(Counter), Counter()
-    for (u, w), c in pair.items():
-        continued[w] += 1
-        followers[u][min(c, 3)] += 1
-        totals[u] += c
-    d2, d1 = brute_discounts(pair.values()), brute_discounts(continued.values())
-    mass = sum(d1[min(c, 3)] for c in continued.values())
-    out = []
 
-    def low(w):
-        c = continued[w]
-        if not types:
-            return 1 / (v + 1)
-        return ((c - d1[min(c, 3)] if c else 0) + mass / (v + 1)) / types
+    def grams(own):
+        padded = ["<s>"] * (order - 1) + own
+        return [tuple(padded[j : j + order]) for j in range(len(own))]
 
-    def high(u, w):
-        if not totals[u]:
-            return low(w)
-        c = pair[u, w]
-        gamma = sum(d2[k] * m for k, m in followers[u].items())
-        return ((c - d2[min(c, 3)] if c else 0) + gamma * low(w)) / totals[u]
+    single, counts = Counter(), {order: Counter()}
+    for i, text in rows:
+        if not held[i]:
+            single.update(tokens(text))
+            counts[order].update(grams(tokens(text)))
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(gram[1:] for gram in counts[k + 1])
+    n, v, types = sum(single.values()), len(single), len(counts[2])
+    taken = {k: brute_discounts(counts[k].values()) for k in counts}
+    followers, totals = defaultdict(Counter), Counter()
+    for k in range(2, order + 1):
+        for gram, c in counts[k].items():
+            followers[gram[:-1]][min(c, 3)] += 1
+            totals[gram[:-1]] += c
+    mass = sum(taken[1][min(c, 3)] for c in counts[1].values())
+
+    def probability(gram):
+        k, c = len(gram), counts[len(gram)][gram]
+        less = c - taken[k][min(c, 3)] if c else 0
+        if k == 1:
+            return (less + mass / (v + 1)) / types if types else 1 / (v + 1)
+        if not totals[gram[:-1]]:
+            return probability(gram[1:])
+        gamma = sum(taken[k][kind] * m for kind, m in followers[gram[:-1]].items())
+        return (less + gamma * probability(gram[1:])) / totals[gram[:-1]]
 
+    out = []
     for i, text in rows:
         own = tokens(text)
         base = sum(math.log10((single[w] + 1) / (n + v + 1)) for w in own)
-        score = sum(math.log10(high(u, w)) for u, w in zip(["<s>"] + own, own))
+        score = sum(math.log10(probability(gram)) for gram in grams(own))
         out.append((i, held[i], len(own), sum(single[w] > 0 for w in own), n, base, score))
     # The probabilities of all words after any context add up to one.
-    for u in ["<s>", *list(single)[:3], "never seen"]:
-        mass_ = math.fsum(high(u, w) for w in single) + high(u, "never seen either")
+    for context in list(counts[order])[:4] + [("never", "seen") * order]:
+        context = context[: order - 1]
+        mass_ = math.fsum(probability((*context, w)) for w in [*single, "never seen either"])
         assert mass_ == pytest.approx(1)
     return out
 
@@ -89,19 +93,23 @@ def corpus():
     ]
 
 
-@pytest.mark.parametrize(("bucket_bytes", "share"), [(8 << 20, 1e-3), (5000, 1e-3), (5000, 1e-9)])
-def test_equals_brute_force(spark, monkeypatch, bucket_bytes, share):
+@pytest.mark.parametrize(
+    ("bucket_bytes", "share", "order"),
+    [(8 << 20, 1e-3, 2), (5000, 1e-3, 2), (5000, 1e-9, 2), (8 << 20, 1e-3, 3), (9000, 2e-2, 3), (9000, 1e-9, 4)],
+)
+def test_equals_brute_force(spark, monkeypatch, bucket_bytes, share, order):
     monkeypatch.setattr(kneser_ney, "LEAST_SHARE", share)
     monkeypatch.setattr(kneser_ney, "MOST_SHARE", share)
     monkeypatch.setattr(kneser_ney, "BUCKET_BYTES", bucket_bytes)
     monkeypatch.setattr(kneser_ney, "FLUSH_TOKENS", 2000)
     monkeypatch.setattr(kneser_ney, "SCORE_TOKENS", 700)
     rows = corpus()
-    same(kneser_ney.scores(documents(spark, rows)), brute(rows))
+    same(kneser_ney.scores(documents(spark, rows), order=order), brute(rows, order))
 
 
 def test_awkward_rows(spark):
     same(kneser_ney.scores(awkward(spark)), brute(AWKWARD))
+    same(kneser_ney.scores(awkward(spark), order=3), brute(AWKWARD, 3))
     same(kneser_ney.scores(clashing(spark)), brute(AWKWARD))
 
 
@@ -114,7 +122,7 @@ def test_empty_and_unlearnt_tables(spark):
 
 def test_frequent_words_are_bounded_and_found(spark):
     rows = [(i, "the " * 50 + f"rare{i}") for i in range(50)]
-    found = kneser_ney.frequent_words(documents(spark, rows).select("text"), 0.05)
+    found = kneser_ney.frequent_contexts(documents(spark, rows).select("text"), 0.05)
     assert 1 <= len(found) <= 2 / 0.05
 
 
@@ -130,7 +138,7 @@ def test_scoring_opens_few_files(spark, monkeypatch):
     try:
         reader = kneser_ney.Reader(model)
         for i, text in rows[::20] * 2:
-            ((_, _, tokens),) = kneser_ney.bigrams(pa.array([text]))
+            ((_, _, tokens),) = kneser_ney.ngrams(pa.array([text]), 2)
             assert reader.log10(tokens)[0].sum() == pytest.approx(expected[i])
             assert len(reader.open) <= reader.limit
     finally:
