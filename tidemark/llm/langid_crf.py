@@ -6,8 +6,8 @@ between languages are learned too. Forward-backward gives each word's distributi
 the languages, also in code-switched text; a text's language is that of the largest share.
 
 Training sequences are spliced from labelled texts of different languages, so that
-switches are seen. They come from at most about ``TRAIN_TEXTS`` texts of each language, of
-a longer one ``TRAIN_CHARS`` characters from somewhere in it, and training runs on the driver.
+switches are seen. They come from at most about ``TRAIN_TEXTS`` whole texts of each language.
+Training runs on the driver and takes features of the words in its sequences alone.
 
 Inference runs forward-backward for many texts at once: texts are cut into blocks of
 ``BLOCK`` words, block transfer matrices are chained along each text, and all blocks then
@@ -26,9 +26,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.text import LETTER, LOWER, Powers, held_out, pieces, words
 
-#: Bounds of the learning sample: texts per language, and characters of a text.
+#: Bound of the learning sample: texts per language.
 TRAIN_TEXTS = 250
-TRAIN_CHARS = 20_000
 #: Words of a training sequence and mean words between switches in it.
 SEQUENCE, STRETCH = 48, 16
 #: Sequences drawn for each language, steps of gradient ascent and their size.
@@ -218,25 +217,40 @@ def slopes(weights: np.ndarray, transitions: np.ndarray, target: np.ndarray):
     return by_word, by_step
 
 
+def chosen(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The bytes of some words one after the other, a space behind each, and their bounds."""
+    sizes = ends - starts + 1
+    stops = np.cumsum(sizes)
+    place = np.arange(int(sizes.sum())) - np.repeat(stops - sizes, sizes)
+    text = data[np.minimum(np.repeat(starts, sizes) + place, len(data) - 1)]
+    text[stops - 1] = 32
+    return text, stops - sizes, stops - 1
+
+
 def train(texts: list[str], labels: list[str]) -> Model | None:
     """A model of the labelled texts; none where no text has a word."""
     powers = Powers()
-    data = [np.frombuffer(text.encode(), np.uint8) for text in texts]
+    data = [LOWER[np.frombuffer(text.encode(), np.uint8)] for text in texts]
     offsets = np.cumsum([0] + [len(d) for d in data])
-    lowered = LOWER[np.concatenate(data)] if data else np.zeros(0, np.uint8)
+    lowered = np.concatenate(data) if data else np.zeros(0, np.uint8)
     starts, ends, rows = letter_words(lowered, offsets)
     languages = sorted({labels[row] for row in np.unique(rows)})
     if not languages:
         return None
     k = len(languages)
-    found = evidence(lowered, starts, ends, powers)
     label = np.array([languages.index(name) if name in languages else -1 for name in labels])[rows]
-    keys, counts = np.unique(found.hashes, return_counts=True)
+    bounds = np.searchsorted(starts, offsets)
+    hashes = np.empty(len(starts), np.uint64)
+    for text, offset, first, last in zip(data, offsets, bounds, bounds[1:]):
+        own = slice(first, last)
+        sums = powers.prefix(text)
+        hashes[own] = powers.spans(sums, starts[own] - offset, ends[own] - offset)
+    keys, counts = np.unique(hashes, return_counts=True)
     lexicon = keys[counts >= LEXICON_COUNT]
     model = Model(
         languages,
         np.zeros((1 << TRIGRAM_BITS, k)),
-        np.zeros((found.affixes.shape[1] << AFFIX_BITS, k)),
+        np.zeros((len(PREFIXES + SUFFIXES) << AFFIX_BITS, k)),
         lexicon,
         np.zeros((len(lexicon) + 1, k)),
         np.zeros((k, k)),
@@ -244,14 +258,17 @@ def train(texts: list[str], labels: list[str]) -> Model | None:
     if k == 1:
         return model
     number, target = spliced(label, k, np.random.default_rng(1))
+    used, number = np.unique(number, return_inverse=True)
+    number = number.reshape(target.shape)
+    found = evidence(*chosen(lowered, starts[used], ends[used]), powers)
     entry = model.entry(found.hashes)
-    uses = np.bincount(number.ravel(), minlength=len(starts)).astype(float)
+    uses = np.bincount(number.ravel(), minlength=len(used)).astype(float)
     parameters = [model.trigrams, model.affixes, model.entries, model.transitions]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parameters]
     for turn in range(1, STEPS + 1):
         by_word, by_step = slopes(model.weigh(found)[number], model.transitions, target)
         own = np.stack(
-            [np.bincount(number.ravel(), by_word[:, :, j].ravel(), len(starts)) for j in range(k)],
+            [np.bincount(number.ravel(), by_word[:, :, j].ravel(), len(used)) for j in range(k)],
             axis=1,
         )
 
@@ -309,13 +326,8 @@ def sample(documents: DataFrame) -> tuple[list[str], list[str]]:
         *[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, TRAIN_TEXTS / n))]
     )
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
-    beyond = F.greatest(F.char_length("text") - TRAIN_CHARS, F.lit(0))
-    start = F.pmod(F.xxhash64("text"), beyond + 1).cast("int") + 1
-    rows = (
-        fit.where(place < shares[F.col("lang")] * (1 << 20))
-        .select(F.substring("text", start, F.lit(TRAIN_CHARS)).alias("text"), "lang")
-        .collect()
-    )
+    drawn = fit.where(place < shares[F.col("lang")] * (1 << 20))
+    rows = drawn.select("text", "lang").collect()
     rows.sort()
     return [row["text"] for row in rows], [row["lang"] for row in rows]
 
