@@ -42,7 +42,7 @@ def test_stages_on_the_given_table(spark):
                 for row in spark.read.parquet(f"{SMALL}/benchmark.parquet").limit(6).collect()
             ]
             short = [(i, text) for i, text in rows if len(text) < 400]
-            leaks = {i for i, _, _ in brute_leaks(short, items, qgram_decontam.Q, qgram_decontam.EDIT_RATE)}
+            leaks = {i for i, _, _ in brute_leaks(short, items, qgram_decontam.EDIT_RATE)}
             found = set(i for i, _ in pairs(docs))
             assert leaks.isdisjoint(found) and found < expected
             whole = {i for i, text in rows if any(item in text for _, item in items)}

@@ -24,15 +24,15 @@ def least_edits(passage, text):
     return min(row)
 
 
-def brute(rows, items, q, rate):
+def brute(rows, items, rate, least=qgram.LEAST_BYTES):
     found = []
     for i, text in rows:
         for name, passage in items:
             own = folded(passage).strip()
-            if name is None or passage is None or len(own) < q:
+            if name is None or passage is None or len(own) < least:
                 continue
             edits = least_edits(own, folded(text))
-            if edits <= qgram.budget(len(own), q, rate):
+            if edits <= qgram.budget(len(own), rate):
                 found.append((i, name, edits))
     return sorted(found, key=repr)
 
@@ -48,28 +48,41 @@ def edited(draw, text, n):
     return text
 
 
-@pytest.mark.parametrize(("q", "rate"), [(10, 0.08), (4, 0.15)])
-def test_equals_brute_force_around_the_budget(spark, monkeypatch, q, rate):
+@pytest.mark.parametrize(("q", "rate", "least"), [(10, 0.08, 10), (10, 0.08, 1), (4, 0.15, 4)])
+def test_equals_brute_force_around_the_budget(spark, monkeypatch, q, rate, least):
     monkeypatch.setattr(qgram, "PAIRS", 50)
     draw = random.Random(q)
     word = lambda: "".join(draw.choice("etaoin") for _ in range(draw.randrange(1, 8)))
     prose = lambda n: " ".join(word() for _ in range(n))
     items = [(i, prose(draw.randrange(3, 30))) for i in range(6)] + [(7, "aaaaaaaaaaaaaaaaaaaa")]
+    items += [(8 + i, prose(9)[:n].strip()) for i, n in enumerate((13, 17, 19, 26, 29, 38))]
+    shortest = [(20, "eta"), (21, "no"), (22, "i")]
     rows = []
-    for i in range(40):
+    for i in range(60):
         _, passage = draw.choice(items)
-        most = qgram.budget(len(passage), q, rate)
+        most = qgram.budget(len(passage), rate)
         planted = edited(draw, passage, draw.randrange(most + 3))
         rows.append((i, f"{prose(draw.randrange(9))} {planted}  {prose(draw.randrange(9))}".upper()))
     rows += [(50, "a" * 300), (51, None), (52, prose(200))]
-    found = qgram.matches(documents(spark, rows), benchmark(spark, items), q, rate)
-    assert collected(found.drop("shared_qgrams")) == brute(rows, items, q, rate)
+    items += shortest
+    found = qgram.matches(documents(spark, rows), benchmark(spark, items), q, rate, least)
+    assert collected(found.drop("shared_qgrams")) == brute(rows, items, rate, least)
+
+
+def test_rows_without_id_and_of_a_repeated_id_are_judged_each(spark):
+    passage = "a passage of the benchmark that must not be learned"
+    rows = [(None, passage), (None, "clean words of a row without an id"), (5, f"so: {passage}."),
+            (5, "clean words under the same id"), (6, None), (None, None), (None, passage)]
+    kept = qgram.without_leaks(documents(spark, rows), benchmark(spark, [(1, passage)]))
+    assert collected(kept.select("doc_id", "text")) == sorted(
+        [r for r in rows if passage not in (r[1] or "")], key=repr
+    )
 
 
 def test_awkward_tables(spark, monkeypatch):
     items = [(1, "ONE two three\tfour five six seven"), (2, None), (None, "word0 runs0. word1"),
              (3, ""), (4, "short"), (5, "no id here"), (1, "ONE two three\tfour five six seven")]
-    expected = sorted({(i, n, e) for i, n, e in brute([r for r in AWKWARD if len(r[1] or "") < 9000], items[:-1], 10, 0.08)}, key=repr)
+    expected = sorted({(i, n, e) for i, n, e in brute([r for r in AWKWARD if len(r[1] or "") < 9000], items[:-1], 0.08)}, key=repr)
     for table in (awkward(spark), clashing(spark)):
         found = qgram.matches(table, benchmark(spark, items)).drop("shared_qgrams")
         assert sorted(set(collected(found)), key=repr) == expected

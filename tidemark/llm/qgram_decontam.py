@@ -27,6 +27,8 @@ from tidemark.llm.text import IS_SPACE, LOWER, Powers, pieces
 Q = 10
 #: Edits allowed per byte of a passage.
 EDIT_RATE = 0.08
+#: Bytes from which on an item is a passage that can identify its source.
+LEAST_BYTES = 10
 #: Bytes of passages sent to the tasks at once.
 BLOCK_BYTES = 4 << 20
 #: Pairs of text and passage positions looked at together.
@@ -47,9 +49,14 @@ def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return FOLDED[data[keep]], kept[offsets]
 
 
-def budget(length: int, q: int, rate: float) -> int:
-    """Edits allowed in a passage; few enough for the lemma to ask for a shared q-gram."""
-    return max(0, min(int(rate * length), (length - q) // q))
+def budget(length: int, rate: float) -> int:
+    """Edits allowed in a passage."""
+    return int(rate * length)
+
+
+def own_q(length: int, q: int, rate: float) -> int:
+    """``q``, or for a short passage the largest with which the lemma asks for a shared q-gram."""
+    return max(1, min(q, length // (budget(length, rate) + 1)))
 
 
 class Passages:
@@ -57,9 +64,9 @@ class Passages:
 
     def __init__(self, items: list[tuple[int, bytes]], q: int = Q, rate: float = EDIT_RATE) -> None:
         self.q = q
-        self.items = [(name, data) for name, data in items if len(data) >= q]
+        self.items = items
         self.length = np.array([len(data) for _, data in self.items], np.int64)
-        self.edits = np.array([budget(n, q, rate) for n in self.length], np.int64)
+        self.edits = np.array([budget(n, rate) for n in self.length], np.int64)
         self.least = self.length + 1 - q * (self.edits + 1)
         powers = Powers()
         keys, item, place = [], [], []
@@ -169,51 +176,76 @@ class Passages:
         return table[best]
 
 
-FOUND = "doc_id long, item_id long, edits int, shared_qgrams int"
+FOUND = "doc_id long, item_id long, edits int, shared_qgrams int, text_key long"
 
 
 def search_block(
     documents: DataFrame, items: list[tuple[int, bytes]], q: int, rate: float
 ) -> DataFrame:
     """What one block of passages finds; its size is bounded by ``BLOCK_BYTES`` on average."""
-    shared = documents.sparkSession.sparkContext.broadcast(items)
+    by_q: dict[int, list[tuple[int, bytes]]] = {}
+    for name, data in items:
+        by_q.setdefault(own_q(len(data), q, rate), []).append((name, data))
+    shared = documents.sparkSession.sparkContext.broadcast(by_q)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, powers = Passages(shared.value, q, rate), Powers()
-        names = np.array([name for name, _ in index.items], np.int64)
+        powers = Powers()
+        indexes = [Passages(own, size, rate) for size, own in sorted(shared.value.items())]
+        names = [np.array([name for name, _ in index.items], np.int64) for index in indexes]
         for batch in batches:
-            ids = batch.column(0)
             for piece in pieces(batch.column(1)):
-                found = index.search(piece.data, piece.offsets, powers)
-                if len(found):
+                for index, known in zip(indexes, names):
+                    found = index.search(piece.data, piece.offsets, powers)
+                    if not len(found):
+                        continue
+                    row = pa.array(found[:, 0] + piece.first)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            ids.take(pa.array(found[:, 0] + piece.first)),
-                            pa.array(names[found[:, 1]]),
+                            batch.column(0).take(row),
+                            pa.array(known[found[:, 1]]),
                             pa.array(found[:, 2].astype(np.int32)),
                             pa.array(found[:, 3].astype(np.int32)),
+                            batch.column(2).take(row),
                         ],
-                        ["doc_id", "item_id", "edits", "shared_qgrams"],
+                        ["doc_id", "item_id", "edits", "shared_qgrams", "text_key"],
                     )
 
     return documents.mapInArrow(run, FOUND)
 
 
 def matches(
-    documents: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = EDIT_RATE
+    documents: DataFrame,
+    benchmark: DataFrame,
+    q: int = Q,
+    rate: float = EDIT_RATE,
+    least_bytes: int = LEAST_BYTES,
 ) -> DataFrame:
     """One row for each document and benchmark item found in it within the edit budget.
 
-    The budget is ``rate`` times the item's bytes, or what the lemma still can filter.
-    Items that are null, lack an id or have fewer than ``q`` bytes identify nothing; a null
-    or empty text contains nothing, a row without an id is reported without one. Repeated
-    rows are reported each. Documents in which nothing is found give no row. Of
-    ``documents`` only ``doc_id`` and ``text`` are read, of ``benchmark`` ``item_id`` and
-    ``text``.
+    The budget is ``rate`` times the item's bytes. An item too short for the lemma to ask for
+    a shared q-gram at that budget is searched with the largest smaller ``q`` that does.
+    Items that are null, lack an id or have fewer than ``least_bytes`` bytes identify nothing
+    (a word of every text would); a null or empty text contains nothing, a row without an id
+    is reported without one. Repeated rows are reported each. Documents in which nothing is
+    found give no row. Of ``documents`` only ``doc_id`` and ``text`` are read, of
+    ``benchmark`` ``item_id`` and ``text``.
 
     Columns: ``doc_id, item_id, edits, shared_qgrams`` (of the best band).
     """
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return located(documents, benchmark, q, rate, least_bytes).drop("text_key")
+
+
+def located(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    q: int = Q,
+    rate: float = EDIT_RATE,
+    least_bytes: int = LEAST_BYTES,
+) -> DataFrame:
+    """The rows of ``matches``, with a hash of the text in ``text_key``."""
+    rows = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")
+    )
     items = (
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
         .where("item_id is not null and text is not null")
@@ -228,7 +260,8 @@ def matches(
         for row in own:
             data = np.frombuffer(row["text"].encode(), np.uint8)
             plain, _ = normalised(data, np.array([0, len(data)]))
-            folded.append((row["item_id"], plain.tobytes().strip()))
+            if len(passage := plain.tobytes().strip()) >= max(1, least_bytes):
+                folded.append((row["item_id"], passage))
         parts.append(search_block(rows, folded, q, rate))
     return reduce(DataFrame.union, parts)
 
@@ -236,15 +269,15 @@ def matches(
 def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``documents`` in which no benchmark item is found; columns stay as they are.
 
-    Rows without an id stay, whatever they hold. Of a repeated id all rows go if one leaks.
+    Each row is judged by its own text, whether its id is repeated, null or neither. Rows are
+    found again by id and a 64-bit hash of the text.
     """
     leaking = (
-        matches(documents, benchmark)
-        .where("doc_id is not null")
-        .select(F.col("doc_id").alias("leaking_id"))
+        located(documents, benchmark)
+        .select(F.col("doc_id").alias("leaking_id"), F.col("text_key").alias("leaking_key"))
         .distinct()
         .hint("shuffle_hash")
     )
-    return documents.join(
-        leaking, documents["doc_id"].cast("long") == leaking["leaking_id"], "left_anti"
-    )
+    same = documents["doc_id"].cast("long").eqNullSafe(leaking["leaking_id"])
+    own = F.xxhash64(documents["text"])
+    return documents.join(leaking, same & (own == leaking["leaking_key"]), "left_anti")
