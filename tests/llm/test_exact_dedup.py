@@ -54,6 +54,15 @@ def test_without_copies_keeps_columns_and_rows_without_id(spark):
     assert None in ids and ids.count(5) == 2 and 6 not in ids and sum(i in ids for i in (1, 2, 3)) == 1
 
 
+def test_rows_without_an_id_go_as_copies_too(spark):
+    rows = [(1, "a b c"), (None, "abc"), (None, "its own"), (None, "its own"), (2, "longest"),
+            (None, "lon gest"), (None, "longes t"), (4, "x"), (7, "x")]
+    kept = exact_dedup.without_copies(documents(spark, rows))
+    assert collected(kept.select("doc_id", "text")) == sorted(
+        [(1, "a b c"), (4, "x")] + [row for row in rows[2:7] if row[0] is None], key=repr
+    )
+
+
 def test_a_repeated_id_loses_only_the_copied_text(spark):
     rows = [(1, "a b c"), (5, "abc"), (5, "its own text"), (9, "its own  text")]
     kept = exact_dedup.without_copies(documents(spark, rows))

@@ -141,8 +141,8 @@ def exact_duplicates(documents: DataFrame, moduli: Sequence[int] = MODULI) -> Da
 
     Texts are equal when identical without white space; null counts as empty, so empty and
     null texts form one group. Of equal texts the longest original stays, then the smallest
-    id; a row without an id stays only where no row of its group has one. An empty table
-    gives no rows. Only ``doc_id`` and ``text`` are read, so other columns cannot clash.
+    id, and rows without an id come last: where one of them alone is longest, ``keep_id`` is
+    null and the group's rows without an id stay. An empty table gives no rows. Only ``doc_id`` and ``text`` are read, so other columns cannot clash.
 
     Columns: ``doc_id, keep_id, group_size, kept, text_sha256``.
     """
@@ -187,19 +187,23 @@ def keepers(marks: DataFrame, key: list[str]) -> DataFrame:
 def without_copies(documents: DataFrame) -> DataFrame:
     """``documents`` with one id per text; columns and order of columns stay.
 
-    Rows that repeat an id and its text stay together, and rows without an id stay. Of a
-    repeated id with several texts only the rows go whose text is another row's.
+    Rows that repeat an id and its text stay or go together, as do the rows of a text that have
+    no id. Of a repeated id with several texts only the rows go whose text is another row's.
     """
     found = exact_duplicates(documents)
     dropped = (
-        found.where(~F.col("kept") & F.col("doc_id").isNotNull())
+        found.where(~F.col("kept"))
         .select(F.col("doc_id").alias("dropped_id"), F.col("text_sha256").alias("dropped_sha"))
         .distinct()
         .hint("shuffle_hash")
     )
-    same = documents["doc_id"].cast("long") == dropped["dropped_id"]
+    doc_id = documents["doc_id"].cast("long")
     own = F.coalesce(documents["text"], F.lit(""))
     own = F.sha2(F.regexp_replace(own, WHITE_SPACE, ""), 256)
+    # Rows without an id may be many; these alone are joined on their texts as well.
+    same = doc_id.eqNullSafe(dropped["dropped_id"]) & F.when(doc_id.isNull(), own).eqNullSafe(
+        F.when(dropped["dropped_id"].isNull(), dropped["dropped_sha"])
+    )
     # An equality would be joined on, and so be computed for all texts; this is evaluated for
     # rows of a dropped id only. Digests have one length, so it means the same.
     return documents.join(dropped, same & F.contains(own, dropped["dropped_sha"]), "left_anti")
