@@ -91,7 +91,8 @@ def ngrams(column: pa.Array, order: int) -> Iterator[tuple[int, int, Tokens]]:
         word[at] = hashes
         before[0, at + 1] = hashes
         first = np.searchsorted(rows, np.arange(piece.rows), "left") + np.arange(piece.rows)
-        place = np.arange(len(word)) - np.repeat(first, np.diff(np.append(first, len(word))))
+        if order > 2:
+            place = np.arange(len(word)) - np.repeat(first, np.diff(np.append(first, len(word))))
         for m in range(1, order - 1):
             older = np.full(len(word), BEGIN, np.uint64)
             older[m:] = np.where(place[m:] >= m, before[0, :-m], BEGIN)
