@@ -24,7 +24,7 @@ from tidemark.operators.envelope import LOG_DATE, decode, encode, log_records
 from tidemark.operators.hourly import highest, hourly
 from tidemark.operators.incidents import incidents
 from tidemark.operators.journeys import abandoned_carts, expired_carts, funnel, journeys
-from tidemark.operators.keys import dated_key, hot_keys, key_load
+from tidemark.operators.keys import dated_key, key_load, load_of_volumes
 from tidemark.operators.patterns import escalations
 from tidemark.operators.quality import quality
 from tidemark.operators.retention import retained
@@ -38,7 +38,7 @@ from tidemark.session import scratch_path
 from tidemark.sources.tables import read_table, replace_table
 from tidemark.sources.topics import append_log_files, stream_log_files
 from tidemark.streaming.ingest import start_bronze
-from tidemark.streaming.watch import ingested_quality, noting_steps, start_key_watch
+from tidemark.streaming.watch import ingested_quality, noting_steps, start_key_counts
 from tidemark.streaming.windows import windowed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -316,7 +316,7 @@ def load_of_keys(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFram
 
 
 def live_busy_keys(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:
-    """Keys above the mean of a streaming log that arrives in two parts, by a fixed summary.
+    """Keys above the mean of a streaming log that arrives in two parts, counted exactly.
 
     The multiple is one: at ten the smallest test table has no such key.
     """
@@ -325,10 +325,11 @@ def live_busy_keys(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFr
     for part in ("partition = 0", "partition <> 0"):
         append_log_files(records.where(part), f"{root}/log")
         stream = decode(stream_log_files(spark, f"{root}/log"), spec)
-        start_key_watch(
+        start_key_counts(
             stream, spec, f"{root}/keys", f"{root}/checkpoint", interval=None
         ).awaitTermination()
-    return hot_keys(read_table(spark, f"{root}/keys"), spec, factor=1).drop("sure_above")
+    volumes = read_table(spark, f"{root}/keys")
+    return load_of_volumes(volumes, spec, factor=1).where("hot").drop("hot")
 
 
 def observed_quality(spark: SparkSession, sf_dir: str, spec: StreamSpec) -> DataFrame:

@@ -7,11 +7,19 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from checks.compare import differences
 from tests.rows import NOON, bronze, gold
 from tidemark.__main__ import main
 from tidemark.operators.baseline import THRESHOLD, day_sketches, thresholds_of_sketches
 from tidemark.operators.envelope import decode, log_records
-from tidemark.operators.keys import hot_keys, key_load, key_summary, merged_summaries
+from tidemark.operators.keys import (
+    TRACKED_KEYS,
+    hot_keys,
+    key_load,
+    key_summary,
+    load_of_volumes,
+    merged_summaries,
+)
 from tidemark.operators.quality import quality
 from tidemark.plans.layers import EVENT_DATE, Lakehouse
 from tidemark.plans.streams import PAYMENTS, USER_EVENTS
@@ -22,6 +30,7 @@ from tidemark.streaming.watch import (
     batch_quality,
     ingested_quality,
     noting_steps,
+    start_key_counts,
     start_key_watch,
 )
 
@@ -85,6 +94,42 @@ def test_keys_of_a_stream_over_restarts(spark, tmp_path):
     assert sorted(found.collect()) == sorted(expected.collect()) and found.count() == 2
 
 
+def test_counts_of_a_stream_are_exact_beyond_the_summary(spark, tmp_path):
+    """More keys than a summary counts, in two runs; none but those above the mean are listed."""
+    keys = "explode(array_repeat('u' || id, cast(if(id % 1000 = 0, 30, 1) as int)))"
+    rows = spark.range(TRACKED_KEYS + 5000).selectExpr(f"{keys} as user_id", "id % 2 as run")
+    for run in (0, 1):
+        rows.where(f"run = {run}").drop("run").write.mode("append").parquet(f"{tmp_path}/rows")
+        start_key_counts(
+            spark.readStream.schema("user_id string").parquet(f"{tmp_path}/rows"),
+            USER_EVENTS,
+            f"{tmp_path}/keys",
+            f"{tmp_path}/point",
+            interval=None,
+        ).awaitTermination()
+    found = load_of_volumes(read_table(spark, f"{tmp_path}/keys"), USER_EVENTS, factor=1)
+    listed = sorted(found.where("hot").drop("hot").collect())
+    hot = range(0, TRACKED_KEYS + 5000, 1000)
+    mean = round(1 + 29 * len(hot) / (TRACKED_KEYS + 5000), 2)
+    assert listed == sorted((f"u{key}", 30, mean) for key in hot)
+
+
+def test_busy_keys_equal_sql_beyond_the_summary(spark, tmp_path):
+    names = ["event_id", "ts", "user_id", "event_type", "value"]
+    events = spark.range(3 * (TRACKED_KEYS + 5000)).selectExpr(
+        "id as event_id",
+        "timestamp_ntz '2024-01-01 00:00:00' as ts",
+        "if(id % 1000 = 1, 7, id - id % 3) as user_id",
+        "'view' as event_type",
+        "1.0D as value",
+    )
+    events.select(names).coalesce(1).write.parquet(f"{tmp_path}/written")
+    (part,) = (tmp_path / "written").glob("*.parquet")
+    part.rename(tmp_path / "events.parquet")
+    rows, only_spark, only_sql = differences(spark, str(tmp_path), "user_busy_keys_live")
+    assert (only_spark, only_sql) == ([], []) and rows > 0
+
+
 def test_quality_of_batches_adds_up(spark, tmp_path):
     changes = [{}, {"event_id": None}, {"amount": -1.0}, {"status": "odd"}, {"merchant_id": None}]
     rows = bronze(spark, PAYMENTS, [changes[n * n % 5] for n in range(60)])

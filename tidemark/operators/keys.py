@@ -13,11 +13,22 @@ HOT_FACTOR = 10
 
 def key_load(rows: DataFrame, spec: StreamSpec, factor: float = HOT_FACTOR) -> DataFrame:
     """Events per key beside the mean over keys; ``hot`` above ``factor`` times that."""
-    volumes = (
+    return load_of_volumes(key_volumes(rows, spec), spec, factor)
+
+
+def key_volumes(rows: DataFrame, spec: StreamSpec) -> DataFrame:
+    """Events per key. Of a stream, the state has one row per key, spread over the tasks."""
+    return (
         rows.where(F.col(spec.key).isNotNull())
         .groupBy(spec.key)
         .agg(F.count("*").alias("events"))
     )
+
+
+def load_of_volumes(
+    volumes: DataFrame, spec: StreamSpec, factor: float = HOT_FACTOR
+) -> DataFrame:
+    """The answer of :func:`key_load` from stored events per key."""
     mean = volumes.agg(F.avg("events")).scalar()
     return volumes.select(
         spec.key,
@@ -70,6 +81,7 @@ def hot_keys(
     the answer is that of :func:`key_load`. Beyond, ``events`` may be too high but not too low,
     the mean is taken as low as the sketch of their number allows, and no hot key with more
     events than ``sure_above`` is left out; some listed keys may lie below the limit.
+    :func:`load_of_volumes` is exact for any number of keys, by a state that grows with it.
     """
     # The summary's table is the power of two from 4/3 of its keys on; 3.5 events in a
     # table's length is the error its authors state, and twice that is surely listed.
