@@ -6,6 +6,7 @@ import pytest
 
 from tests.conftest import SMALL
 from tests.llm.rows import AWKWARD, awkward, clashing, collected, documents
+from tidemark.llm import all_pairs
 from tidemark.llm import pairwise_quality as quality
 from tidemark.llm import text as text_helpers
 
@@ -118,3 +119,91 @@ def test_equals_slow_ranking(spark):
     assert model.cut == pytest.approx(cut, abs=1e-3)
     expected = 1 / (1 + np.exp(-(strengths - cut) - np.log(0.7 / 0.3)))
     assert model.score(table) == pytest.approx(expected, abs=1e-3)
+
+
+def all_pairs_scores(tables, table, label):
+    """Scores by the likelihood of every pair of a good and a poor row, each pair by itself."""
+    mean, scale = table.mean(axis=0), table.std(axis=0) + 1e-6
+
+    def plain(rows):
+        clipped = np.clip((rows - mean) / scale, -8, 8)
+        return np.hstack([clipped, clipped**2])
+
+    known = plain(table)
+    good, poor = known[label == 1], known[label == 0]
+    gaps = (good[:, None] - poor[None, :]).reshape(-1, known.shape[1])
+    share, weights = quality.PAIRS / len(gaps), np.zeros(known.shape[1])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(gaps @ weights))
+        slope = share * gaps.T @ p - quality.RIDGE * weights
+        curve = share * (gaps * (p * (1 - p))[:, None]).T @ gaps
+        step = np.linalg.solve(curve + quality.RIDGE * np.eye(len(weights)), slope)
+        weights += step
+    assert np.abs(step).max() < 1e-9
+    cut = np.quantile(known @ weights, (label == 0).mean())
+    return 1 / (1 + np.exp(-(plain(tables) @ weights - cut) - np.log(0.7 / 0.3)))
+
+
+def brute_scores(rows):
+    """Brute-force scores by id of rows ``doc_id, text, quality``, the quality None where unknown."""
+    table = quality.features(pa.array([text for _, text, _ in rows])).astype(np.float64)
+    taught = [
+        i for i, (key, _, mark) in enumerate(rows)
+        if mark is not None and zlib.crc32(str(key).encode()) % 4 != 2
+    ]
+    label = np.array([rows[i][2] for i in taught])
+    return dict(zip([row[0] for row in rows], all_pairs_scores(table, table[taught], label)))
+
+
+def test_all_rows_and_pairs_teach(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    rows = [
+        (row["doc_id"], row["text"], row["quality"])
+        for row in docs.join(labels, "doc_id", "left").collect()
+    ]
+    expected = brute_scores(rows)
+    found = {row["doc_id"]: row["score"] for row in quality.scores(docs, labels).collect()}
+    assert found == pytest.approx(expected, abs=1e-6)
+
+
+def test_rows_beyond_the_old_sample_teach(spark):
+    """Of 36,000 short texts 27,001 teach; mean, scale and cut are those of all of them."""
+    texts = [f"{'(' * (i % 7)} w{i % 11} {'|' * (i % 13 == 0)} {i}" for i in range(36_000)]
+    rows = [(i, text) for i, text in enumerate(texts)]
+    marks = [int(i % 13 != 0) for i in range(36_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame(list(enumerate(marks)), "doc_id long, quality int")
+    known = quality.described(docs).join(labels, "doc_id")
+    known = known.where(~text_helpers.held_out(known["doc_id"], 4))
+    taught = np.array([zlib.crc32(str(i).encode()) % 4 != 2 for i in range(36_000)])
+    table = quality.features(pa.array(texts)).astype(np.float64)[taught]
+    model = quality.learned(known.localCheckpoint())
+    assert len(table) == 27_001
+    assert model.mean == pytest.approx(table.mean(axis=0), rel=1e-9)
+    assert model.scale == pytest.approx(table.std(axis=0) + 1e-6, rel=1e-9)
+    poor = 1 - np.array(marks)[taught].mean()
+    assert model.cut == pytest.approx(np.quantile(model.strength(table), poor), abs=1e-9)
+
+
+def test_quantile_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FEW", 5)
+    draw = np.random.default_rng(4)
+    values = [*draw.normal(size=300), *[0.25] * 200, 1e9, -1e-300, 0.0]
+    rows = spark.createDataFrame([(float(v),) for v in values], "strength double")
+    for share in (0.0, 0.1, 0.5, 0.61, 0.999, 1.0):
+        assert quality.quantile(rows, share) == np.quantile(values, share)
+
+
+def test_sums_over_pairs_of_far_and_near_numbers():
+    draw = np.random.default_rng(1)
+    left, right = draw.normal(0, 9, 200), draw.normal(3, 20, 150)
+    found = np.unique(np.concatenate([all_pairs.cells(left), all_pairs.cells(right)]))
+    places = all_pairs.nodes(found).ravel()
+    on = []
+    for values in (left, right):
+        cell, weights = all_pairs.spread(values)
+        on.append(sum(np.outer(found == c, w).ravel() for c, w in zip(cell, weights)))
+    for function in (all_pairs.sigmoid, all_pairs.sigmoid_slope, all_pairs.softplus):
+        expected = function(right[None, :] - left[:, None]).sum()
+        assert on[0] @ all_pairs.paired(function, places, on[1]) == pytest.approx(expected, rel=1e-10)
