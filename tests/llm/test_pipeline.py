@@ -2,6 +2,7 @@
 
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SMALL
@@ -10,6 +11,7 @@ from tests.llm.test_exact_dedup import brute as brute_exact
 from tests.llm.test_qgram_decontam import brute as brute_leaks
 from tests.llm.test_simhash import brute_components, brute_fingerprint
 from tidemark.llm import bpe_tree, pairwise_quality, qgram_decontam
+from tidemark.llm.text import held_out
 
 
 def pairs(rows):
@@ -75,3 +77,18 @@ def test_every_stage_takes_awkward_and_empty_tables(spark):
             assert out.columns == table.columns
             assert out.count() <= len(AWKWARD)
         assert corpus_pipeline.tokenize(spark, table, SMALL).count() == table.count()
+
+
+def test_quality_stage_learns_from_rows_that_a_draw_would_leave_out(spark, tmp_path):
+    """All poor rows lie beyond the 20,000 that were once drawn by a hash of the id."""
+    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
+    taught = spark.range(32_000).where(~held_out(F.col("id"), 4))
+    ids = [row["id"] for row in taught.orderBy(draw, "id").collect()]
+    good, poor = ids[:20_000], ids[20_000:]
+    text = {i: f"This is text {i} written with care." for i in good}
+    text |= {i: f"## {i} || $$ BUY!! 00 ((" for i in poor}
+    labels = [(i, 1, 0) for i in good] + [(i, 0, 0) for i in poor]
+    frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    frame.write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.quality(spark, documents(spark, text.items()), str(tmp_path))
+    assert len(poor) > 3000 and {row["doc_id"] for row in kept.collect()} == set(good)
