@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 from tests.conftest import SMALL
 from tests.llm.rows import AWKWARD, awkward, clashing, collected, documents
@@ -186,6 +187,32 @@ def test_rows_beyond_the_old_sample_teach(spark):
     assert model.cut == pytest.approx(np.quantile(model.strength(table), poor), abs=1e-9)
 
 
+def test_rows_of_a_repeated_id_teach_alike_in_any_order(spark):
+    """An id teaches once, by the text with the least hash, wherever its rows lie."""
+    rows = [
+        (i, f"{'(' * (i * (1 + 2 * second) % 7)} w{i % 11}{second} {'|' * (i % 3 == 0)} {i}")
+        for i in range(120)
+        for second in (0, 1)
+    ]
+    mark = {i: int(i % 3 != 0 or i % 4 == 0) for i in range(120)}
+    key = {text: np.uint64(xxhash.xxh64_intdigest(text, 42)).astype(np.int64) for _, text in rows}
+    least = [min(rows[2 * i : 2 * i + 2], key=lambda row: key[row[1]]) for i in range(120)]
+    taught = [row for row in least if zlib.crc32(str(row[0]).encode()) % 4 != 2]
+    label = np.array([mark[i] for i, _ in taught])
+    table, own = (
+        quality.features(pa.array([text for _, text in some])).astype(np.float64)
+        for some in (rows, taught)
+    )
+    scores = all_pairs_scores(table, own, label)
+    expected = [score for _, score in sorted((i, s) for (i, _), s in zip(rows, scores))]
+    labels = labels_of(spark, [(i, one, 0) for i, one in mark.items()])
+    for order in (rows, rows[::-1]):
+        found = quality.scores(documents(spark, order).coalesce(1), labels).collect()
+        assert [s for _, s in sorted((row["doc_id"], row["score"]) for row in found)] == pytest.approx(
+            expected, abs=1e-6
+        )
+
+
 def test_quantile_is_exact(spark, monkeypatch):
     monkeypatch.setattr(quality, "FEW", 5)
     draw = np.random.default_rng(4)

@@ -367,8 +367,8 @@ def scores(documents: DataFrame, labels: DataFrame, modulus: int = 4) -> DataFra
     Labels are learned from rows that are not held out. Null labels and documents with
     contradicting labels teach nothing; without good and poor examples every score is 0.7.
     Null texts count as empty and are scored too. A repeated document is scored each time
-    and taught once. Of ``documents`` only ``doc_id`` and ``text`` are read, of ``labels``
-    ``doc_id`` and ``quality``.
+    and taught once, of several texts the one with the least hash. Of ``documents`` only
+    ``doc_id`` and ``text`` are read, of ``labels`` ``doc_id`` and ``quality``.
 
     Columns: ``doc_id, held_out, score, predicted``.
     """
@@ -391,7 +391,7 @@ def judged(documents: DataFrame, labels: DataFrame, modulus: int = 4) -> DataFra
         .groupBy("doc_id")
         .agg(
             F.first("quality").cast("double").alias("quality"),
-            F.first("features").alias("features"),
+            F.min_by("features", "text_key").alias("features"),
         )
     )
     model = learned(stored(known, "quality-learning"))
